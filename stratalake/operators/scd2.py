@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expressions import version_key
-from .dedup import _order
+from .dedup import _order, latest_per_key
 
 SCD_COLS = ("scd_id", "valid_from", "valid_to")
 
@@ -37,18 +37,15 @@ def scd2_rebuild(history: DataFrame, key: str, updated_at: str, batch: str,
        batch's (running max over preceding batches);
     3. ``valid_to`` is the next kept version's ``valid_from``.
 
-    All three windows are clustered on ``key``; one explicit repartition on
-    the key is their only shuffle.  After step 1 a key holds at most one row
-    per ingested batch, so no window partition grows with the fact volume.
+    Step 1 is a top-1 per (key, batch) that Catalyst runs partly before its
+    shuffle (``WindowGroupLimit``), so even a key sent many times in one
+    extract ships at most one row per map partition.  After it a key holds at
+    most one row per ingested batch; steps 2-3 share one shuffle on the key.
     """
     ordered = [F.col(updated_at).desc_nulls_last(), *[_order(c) for c in tie_break]]
-    per_batch = Window.partitionBy(key, batch).orderBy(*ordered)
     by_batch = Window.partitionBy(key).orderBy(batch)
     before = by_batch.rowsBetween(Window.unboundedPreceding, -1)
-    staged = (history.select(*attrs, batch)
-              .repartition(key)
-              .withColumn("__rn", F.row_number().over(per_batch))
-              .where(F.col("__rn") == 1)
+    staged = (latest_per_key(history.select(*attrs, batch), [key, batch], ordered)
               .withColumn("__prev", F.max(updated_at).over(before))
               .where(F.col("__prev").isNull() | (F.col(updated_at) > F.col("__prev"))))
     return staged.select(

@@ -53,8 +53,9 @@ class Lake:
     # ---- sources (S1, S2, S6) ----------------------------------------------
     def read(self, spark: SparkSession, path: str, schema: StructType | None = None,
              fmt: str | None = None) -> DataFrame:
-        reader = spark.read.format(fmt or self.fmt)
-        if schema is not None:
+        fmt = fmt or self.fmt
+        reader = spark.read.format(fmt)
+        if schema is not None and fmt != "delta":   # delta tables carry their schema
             reader = reader.schema(schema)
         return reader.load(path)
 
@@ -100,7 +101,7 @@ def table_history(bronze: DataFrame) -> DataFrame:
     # one row per commit: a handful of rows, so a single window partition is fine
     order = Window.orderBy(INGESTED_AT, EXTRACT_DATE)
     return commits.select(
-        (F.row_number().over(order) - 1).alias("version"),
+        (F.row_number().over(order) - 1).cast("bigint").alias("version"),
         F.col(EXTRACT_DATE).alias("extract_date"),
         F.col(INGESTED_AT).alias("ingested_at"),
         "rows",
