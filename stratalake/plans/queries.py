@@ -294,16 +294,14 @@ def recon_breaks(spark, sf_dir):
 # ---- inspection and the flagship ---------------------------------------------
 
 def layer_inspect(spark, sf_dir):
-    """(layer, table_name, version, rows) for every layer table."""
+    """(layer, table_name, rows) for every layer table.  Bronze versions
+    are reported by ``bronze_version``; overwrite layers keep no history."""
     ch = Chain(spark, sf_dir)
-    parts = [table_version(ch.bronze[t]).select(F.lit("bronze").alias("layer"),
-                                                F.lit(t).alias("table_name"), "version", "rows")
-             for t in TABLES]
-    for layer, tables in (("silver", ch.silver), ("gold", ch.gold)):
+    parts = []
+    for layer, tables in (("bronze", ch.bronze), ("silver", ch.silver), ("gold", ch.gold)):
         for t, df in tables.items():
             parts.append(df.agg(F.count(F.lit(1)).alias("rows")).select(
-                F.lit(layer).alias("layer"), F.lit(t).alias("table_name"),
-                F.lit(None).cast("bigint").alias("version"), "rows"))
+                F.lit(layer).alias("layer"), F.lit(t).alias("table_name"), "rows"))
     return _union(parts)
 
 
