@@ -74,13 +74,19 @@ def fact_sales(stg_items: DataFrame, stg_orders: DataFrame, dim_cust: DataFrame,
                open_upper: bool = True) -> DataFrame:
     """Order-line grain; the customer key is the version valid at order time.
 
+    The version depends only on the order's ``customer_id`` and ``order_ts``,
+    so it is resolved once per ORDER (the point-in-time join shuffles orders
+    by customer, not the much larger line table); lines then meet their
+    resolved order on ``order_id``.  Same rows as resolving per line,
+    including fan-out if versions ever overlapped.
+
     ``open_upper=False`` reproduces the classic bug of comparing against a
     null ``valid_to`` (used only to prove reconciliation catches it)."""
-    items = stg_items.join(
-        stg_orders.select("order_id", "customer_id", "order_ts", "status"), "order_id")
-    resolved = pit_join(items, dim_cust, key="customer_id", ts="order_ts",
+    orders = stg_orders.select("order_id", "customer_id", "order_ts", "status")
+    resolved = pit_join(orders, dim_cust, key="customer_id", ts="order_ts",
                         version_cols=["customer_sk"], open_upper=open_upper)
-    return resolved.select(
+    lines = stg_items.join(resolved.drop("customer_id"), "order_id")
+    return lines.select(
         "order_item_id", "order_id", "customer_sk",
         F.col("product_id").alias("product_sk"),
         to_day("order_ts").alias("date_day"),
