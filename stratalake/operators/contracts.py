@@ -106,26 +106,52 @@ def duplicate_rows(df: DataFrame, column: str) -> DataFrame:
 
 def evaluate(df: DataFrame, table: str, rules: Sequence[Rule],
              refs: dict[str, DataFrame] | None = None) -> DataFrame:
-    """Evaluate ``rules`` on one table; one report row per rule."""
-    row_rules = [r for r in rules if r.kind in ("not_null", "in_set", "between")]
-    parts: list[DataFrame] = []
-    if row_rules:
-        agg = df.agg(F.array(*[_row(table, r.kind, r.column, F.count_if(r.violation()))
-                               for r in row_rules]).alias("r"))
-        parts.append(agg.select(F.inline("r")))
-    for r in rules:
-        if r.kind == "unique":
-            d = duplicate_rows(df, r.column)
-            parts.append(d.select(F.inline(F.array(_row(table, r.kind, r.column, F.col("n"))))))
+    """Evaluate ``rules`` on one table in ONE plan; one report row per rule.
+
+    * row-level rules become ``count_if`` terms of one aggregate;
+    * a ``relationships`` rule is a correlated EXISTS on the referenced key,
+      planned as an existence join (never fans out, even if the key repeats);
+    * the first ``unique`` rule groups by its column first (map-side partial
+      counts, so a hot value collapses before the shuffle) and the other terms
+      are summed through that grouping; further ``unique`` rules get their own
+      grouped count.
+    """
+    base = df.alias("__t")
+    terms: list[tuple[Rule, Column]] = []
+    for i, r in enumerate(rules):
+        if r.kind in ("not_null", "in_set", "between"):
+            terms.append((r, r.violation()))
         elif r.kind == "relationships":
             if not refs or r.to not in refs:
                 raise KeyError(f"relationships rule needs table {r.to!r}")
-            m = missing_from(df.select(r.column), refs[r.to], r.column, r.field)
-            n = m.agg(F.count(F.lit(1)).alias("n"))
-            parts.append(n.select(F.inline(F.array(_row(table, r.kind, r.column, F.col("n"))))))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+            ref = refs[r.to].select(F.col(r.field).alias("__k")).alias(f"__r{i}")
+            hit = ref.where(F.col(f"__r{i}.__k") == F.col(f"__t.{r.column}").outer()).exists()
+            terms.append((r, F.col(f"__t.{r.column}").isNotNull() & ~hit))
+    uniques = [r for r in rules if r.kind == "unique"]
+    names = [f"__v{i}" for i in range(len(terms))]
+
+    if uniques:
+        u = uniques[0].column
+        per_value = base.groupBy(F.col(f"__t.{u}").alias("__u")).agg(
+            F.count(F.lit(1)).alias("__n"),
+            *[F.count_if(t).alias(n) for (_, t), n in zip(terms, names)])
+        totals = {n: F.sum(n) for n in names}
+        totals[u] = F.sum(F.when(F.col("__u").isNotNull() & (F.col("__n") > 1), F.col("__n")))
+        source = per_value
+    else:
+        totals = {n: F.count_if(t) for (_, t), n in zip(terms, names)}
+        source = base
+    cells = []
+    for r in rules:
+        if r.kind == "unique" and r is uniques[0]:
+            cells.append(_row(table, r.kind, r.column, F.coalesce(totals[r.column], F.lit(0))))
+        elif r.kind != "unique":
+            n = names[[t[0] for t in terms].index(r)]
+            cells.append(_row(table, r.kind, r.column, F.coalesce(totals[n], F.lit(0))))
+    out = source.agg(F.array(*cells).alias("r")).select(F.inline("r"))
+    for r in uniques[1:]:
+        d = duplicate_rows(df, r.column)
+        out = out.unionByName(d.select(F.inline(F.array(_row(table, r.kind, r.column, F.col("n"))))))
     return out.withColumn("success", F.col("violations") == 0)
 
 

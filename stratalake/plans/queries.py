@@ -10,13 +10,14 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import TABLES
 from ..functions.expressions import line_amount
 from ..operators import contracts as C
 from ..operators.joins import pit_join
+from ..operators.windows import next_in_key
 from ..operators.reconcile import CHECKS, METRICS, recon_checks, recon_metrics, validity_audit
 from ..sources import fixtures as fx
 from ..sources.lake import table_history, table_version
@@ -184,11 +185,13 @@ def _gold_table(table):
 
 def signup_versions(events: DataFrame) -> DataFrame:
     """Versions from ``signup`` events: one per signup, valid until the user's
-    next signup (ordered by ts, event_id)."""
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    next signup (ordered by ts, event_id).  The successor is found per
+    (user, hour) first, so a user with a huge share of signups is not one task."""
     s = events.where(F.col("event_type") == "signup").select("event_id", "user_id", "ts")
+    s = next_in_key(s, key="user_id", ts="ts", tie="event_id",
+                    bucket=F.date_trunc("hour", "ts"), out="valid_to")
     return s.select(F.col("event_id").alias("signup_event_id"), "user_id",
-                    F.col("ts").alias("valid_from"), F.lead("ts").over(w).alias("valid_to"))
+                    F.col("ts").alias("valid_from"), "valid_to")
 
 
 def pit_events(spark, sf_dir):
