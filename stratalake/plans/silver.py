@@ -36,37 +36,58 @@ def clean_customers(bronze: DataFrame) -> DataFrame:
     })
 
 
-def _latest(bronze: DataFrame, table: str) -> DataFrame:
-    return latest_per_key(bronze, KEYS[table], ORDER[table])
+def newest_rows(rows: DataFrame, table: str) -> DataFrame:
+    """The newest row per key (pre-filter, lineage kept) of bronze rows or of
+    a previous newest-row state plus new batches: the newest row over a union
+    is the newest of the parts' newest rows, so the state merges exactly."""
+    if table == "customers":
+        rows = clean_customers(rows)
+    return latest_per_key(rows, KEYS[table], ORDER[table])
 
 
 def _silver_cols(df: DataFrame, table: str) -> DataFrame:
     return df.select(*SILVER[table].fieldNames())
 
 
+def finish_customers(newest: DataFrame) -> DataFrame:
+    return _silver_cols(newest, "customers")
+
+
+def finish_products(newest: DataFrame) -> DataFrame:
+    return _silver_cols(newest, "products")
+
+
+def finish_orders(newest: DataFrame, customers: DataFrame) -> DataFrame:
+    kept = newest.where(F.col("status").isNotNull())
+    return _silver_cols(keep_matching(kept, customers, "customer_id"), "orders")
+
+
+def finish_order_items(newest: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
+    kept = newest.where(F.col("quantity") > 0)
+    kept = keep_matching(keep_matching(kept, orders, "order_id"), products, "product_id")
+    return _silver_cols(kept, "order_items")
+
+
 def refine_customers(bronze: DataFrame) -> DataFrame:
     """SV1: newest row per customer; segment upper/trimmed, null city UNKNOWN."""
-    return _silver_cols(_latest(clean_customers(bronze), "customers"), "customers")
+    return finish_customers(newest_rows(bronze, "customers"))
 
 
 def refine_products(bronze: DataFrame) -> DataFrame:
     """SV2: newest row per product."""
-    return _silver_cols(_latest(bronze, "products"), "products")
+    return finish_products(newest_rows(bronze, "products"))
 
 
 def refine_orders(bronze: DataFrame, customers: DataFrame) -> DataFrame:
     """SV3: newest row per order, then drop null status and orphan customers."""
-    newest = _latest(bronze, "orders").where(F.col("status").isNotNull())
-    return _silver_cols(keep_matching(newest, customers, "customer_id"), "orders")
+    return finish_orders(newest_rows(bronze, "orders"), customers)
 
 
 def refine_order_items(bronze: DataFrame, orders: DataFrame,
                        products: DataFrame) -> DataFrame:
     """SV4: newest row per line, then drop non-positive quantities and lines
     whose order or product did not survive."""
-    newest = _latest(bronze, "order_items").where(F.col("quantity") > 0)
-    kept = keep_matching(keep_matching(newest, orders, "order_id"), products, "product_id")
-    return _silver_cols(kept, "order_items")
+    return finish_order_items(newest_rows(bronze, "order_items"), orders, products)
 
 
 def refine_all(bronze: dict[str, DataFrame]) -> dict[str, DataFrame]:
@@ -98,5 +119,9 @@ def refine_stats(bronze: dict[str, DataFrame], silver: dict[str, DataFrame]) ->
     return out.withColumn("dropped", F.col("bronze_rows") - F.col("kept"))
 
 
-__all__ = ["ORDER", "refine_all", "refine_customers", "refine_products", "refine_orders",
-           "refine_order_items", "refine_stats", "as_of", "clean_customers", "EXTRACT_DATE"]
+FINISH = {"customers": finish_customers, "products": finish_products,
+          "orders": finish_orders, "order_items": finish_order_items}
+
+__all__ = ["ORDER", "FINISH", "newest_rows", "refine_all", "refine_customers",
+           "refine_products", "refine_orders", "refine_order_items", "refine_stats", "as_of",
+           "clean_customers", "EXTRACT_DATE"]
