@@ -9,6 +9,12 @@ Pipeline stages mirror the reference's published stage timings (bronze append,
 silver refine, gold build, reconcile) plus the contract gate; registry queries
 run from the source tables and are materialised into Spark's ``noop`` sink,
 so full results are computed without collecting them.
+
+Before timing, the whole pipeline runs once on the smallest fixture
+(``$BENCH_WARMUP_DIR``, default /root/testdata/sf0.001; set it empty to skip)
+so one-time JVM class loading and code generation are not charged to the
+first measured stage.  Nothing from the warm-up is reused: the timed run uses
+a fresh lake and the requested data.
 """
 
 from __future__ import annotations
@@ -50,7 +56,12 @@ def main() -> None:
                     "spark.sql.execution.arrow.pyspark.enabled": "true",
                     "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
-    # warm the JVM and the parquet reader (not timed)
+    # warm the JVM: one untimed pipeline run on the smallest fixture
+    warm = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001")
+    if warm and os.path.isdir(warm):
+        wlake = Lake(tempfile.mkdtemp(prefix="stratalake-warmup-"))
+        fx.land_extracts(spark, warm, wlake)
+        Pipeline(spark, wlake).run([(d, fx.ingested_at(b)) for b, d in fx.BATCHES])
     spark.read.parquet(f"{sf_dir}/nation.parquet").count()
 
     times: dict[str, float] = {}
@@ -58,10 +69,7 @@ def main() -> None:
     pipe = Pipeline(spark, lake)
 
     def land():
-        for b, d in fx.BATCHES:
-            for t in TABLES:
-                lake.overwrite(fx.raw_extract(spark, sf_dir, t, b), lake.raw_path(d, t),
-                               fmt="parquet")
+        fx.land_extracts(spark, sf_dir, lake)
 
     _timed(times, "land_extracts", land)
     _timed(times, "bronze_ingest", lambda: [pipe.ingest(d, fx.ingested_at(b))

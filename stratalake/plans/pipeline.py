@@ -166,41 +166,52 @@ class Pipeline:
 
     # ---- gold --------------------------------------------------------------
     def gold(self, table: str) -> DataFrame:
-        if table == "customer_snapshot" and self.mode == "incremental":
+        if table == "customer_snapshot":
             return self.snapshot()
         return self.lake.read(self.spark, self.lake.gold_path(table))
 
     def snapshot(self, before: str | None = None) -> DataFrame | None:
-        """The stored SCD2 history (incremental mode: its newest version)."""
+        """The SCD2 history.  Rebuild mode derives it from bronze on every
+        build, so it is not stored twice: it is read back from ``dim_customer``
+        (same rows, snapshot column names).  Incremental mode keeps it as
+        versioned state; this returns its newest version."""
         if self.mode == "rebuild":
-            return self.lake.read(self.spark, self.lake.gold_path("customer_snapshot"))
+            d = self.lake.read(self.spark, self.lake.gold_path("dim_customer"))
+            return d.select("customer_id", "name", "segment", "city",
+                            F.col("valid_from").alias("updated_at"),
+                            F.col("customer_sk").alias("scd_id"), "valid_from", "valid_to")
         path = self.lake.state_path("customer_snapshot")
         v = current_version(self.spark, path, before=before)
         return None if v is None else read_version(self.spark, path, v)
 
-    def _write_snapshot(self) -> None:
+    def _write_dim_customer(self) -> None:
+        w = lambda df: self.lake.overwrite(df, self.lake.gold_path("dim_customer"))
         if self.mode == "rebuild":
-            self.lake.overwrite(G.customer_snapshot_rebuild(self.bronze("customers")),
-                                self.lake.gold_path("customer_snapshot"))
+            w(G.dim_customer(G.customer_snapshot_rebuild(self.bronze("customers"))))
             return
         # one snapshot run per build, versioned like the state it reads
         tag = current_version(self.spark, self._newest_path("customers"))
         history = self.snapshot(before=tag)
         merged = G.customer_snapshot_merge(history, self.silver("customers"))
         write_version(merged, self.lake.state_path("customer_snapshot"), tag)
+        w(G.dim_customer(self.snapshot()))
 
     def build_gold(self) -> DataFrame:
-        """Snapshot, dims and fact, each written and read back; then the model
-        tests gate the layer."""
+        """Dims and fact, each written and read back; then the model tests
+        gate the layer.  The customer chain (snapshot -> dim_customer -> fact)
+        runs alongside the independent product and date dimensions."""
         silver = {t: self.silver(t) for t in TABLES}
         stg = G.stage_all(silver)
         w = lambda name, df: self.lake.overwrite(df, self.lake.gold_path(name))
-        _concurrently(
-            self._write_snapshot,
-            lambda: w("dim_product", G.dim_product(stg["products"])),
-            lambda: w("dim_date", G.dim_date(stg["orders"])))
-        w("dim_customer", G.dim_customer(self.gold("customer_snapshot")))
-        w("fact_sales", G.fact_sales(stg["order_items"], stg["orders"], self.gold("dim_customer")))
+
+        def customer_chain() -> None:
+            self._write_dim_customer()
+            w("fact_sales", G.fact_sales(stg["order_items"], stg["orders"],
+                                         self.gold("dim_customer")))
+
+        _concurrently(customer_chain,
+                      lambda: w("dim_product", G.dim_product(stg["products"])),
+                      lambda: w("dim_date", G.dim_date(stg["orders"])))
         report = C.model_test_report({t: self.gold(t) for t in GOLD_TABLES})
         failed = C.failed_rules(report)
         if failed:
@@ -246,7 +257,8 @@ class Pipeline:
                     F.lit("silver").alias("layer"), F.lit(t).alias("table_name"),
                     F.lit(None).cast("bigint").alias("version"), "rows"))
         for t in GOLD_TABLES:
-            if self.lake.exists(self.spark, self.lake.gold_path(t)):
+            stored = "dim_customer" if t == "customer_snapshot" else t
+            if self.lake.exists(self.spark, self.lake.gold_path(stored)):
                 parts.append(self.gold(t).agg(F.count(F.lit(1)).alias("rows")).select(
                     F.lit("gold").alias("layer"), F.lit(t).alias("table_name"),
                     F.lit(None).cast("bigint").alias("version"), "rows"))

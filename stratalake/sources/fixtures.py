@@ -207,3 +207,19 @@ def bronze_history(spark: SparkSession, sf_dir: str, table: str,
     """Every extract of ``table`` up to batch ``upto`` with its lineage columns:
     what bronze holds after ingesting batches 1..upto once each, in order."""
     return _build(spark, sf_dir, table, batch_numbers(upto), variant)
+
+
+def land_extracts(spark: SparkSession, sf_dir: str, lake, variant: str = "clean",
+                  upto: int | None = None) -> None:
+    """Land every day's extract of every table in the lake's landing zone.
+
+    One scan per source table writes all days at once, partitioned by the
+    extract date, so the daily ingest reads exactly its own folder."""
+    from .lake import RAW_PARTITION
+
+    for t in RAW:
+        df = bronze_history(spark, sf_dir, t, upto, variant)
+        out = df.select(*RAW[t].fieldNames(),
+                        F.col(EXTRACT_DATE).cast("string").alias(RAW_PARTITION))
+        (out.write.mode("overwrite").partitionBy(RAW_PARTITION)
+            .parquet(lake.raw_root(t)))

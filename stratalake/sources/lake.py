@@ -2,7 +2,7 @@
 
 One root holds every layer::
 
-    <root>/raw/<extract_date>/<table>   landing zone, one folder per day
+    <root>/raw/<table>/extract_date=<d> landing zone, one folder per table and day
     <root>/bronze/<table>               append-only history, partitioned by _extract_date
     <root>/silver/<table>               current clean snapshot (overwrite)
     <root>/serving/<table>              serving copy the contracts read
@@ -26,6 +26,9 @@ from pyspark.sql.types import StructType
 from .schemas import EXTRACT_DATE, INGESTED_AT
 
 
+RAW_PARTITION = "extract_date"
+
+
 @dataclass(frozen=True)
 class Lake:
     root: str
@@ -35,8 +38,11 @@ class Lake:
     def _p(self, *parts: str) -> str:
         return "/".join([self.root.rstrip("/"), *parts])
 
+    def raw_root(self, table: str) -> str:
+        return self._p("raw", table)
+
     def raw_path(self, extract_date: str, table: str) -> str:
-        return self._p("raw", extract_date, table)
+        return self._p("raw", table, f"{RAW_PARTITION}={extract_date}")
 
     def bronze_path(self, table: str) -> str:
         return self._p("bronze", table)

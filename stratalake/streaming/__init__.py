@@ -1,0 +1,8 @@
+"""Intentionally empty.
+
+The system this engine re-implements is a daily batch: every layer is built
+from complete extracts, and streaming ingestion is explicitly out of its
+scope.  The only state carried between runs is the bronze history, the
+newest-row state and the SCD2 snapshot, all handled by the batch pipeline
+(``stratalake.plans.pipeline``).  No streaming operator is provided.
+"""

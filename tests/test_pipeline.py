@@ -11,9 +11,7 @@ from stratalake.sources.lake import Lake
 
 
 def _land(spark, sf, lake):
-    for b, d in fx.BATCHES:
-        for t in TABLES:
-            lake.overwrite(fx.raw_extract(spark, sf, t, b), lake.raw_path(d, t), fmt="parquet")
+    fx.land_extracts(spark, sf, lake)
 
 
 @pytest.fixture(scope="module")
@@ -97,3 +95,12 @@ def test_incremental_ingest_retry_is_idempotent(spark, sf, built_incremental):
     b, d = fx.BATCHES[-1]
     inc._advance_newest(d, fx.ingested_at(b))
     assert {t: inc.newest(t).count() for t in TABLES} == before
+
+
+def test_landed_day_equals_single_extract(spark, sf, built):
+    pipe, _ = built
+    b, d = fx.BATCHES[1]
+    from stratalake.sources.schemas import RAW
+    for t in TABLES:
+        landed = pipe.lake.read_raw(spark, d, t, RAW[t])
+        assert _same(landed, fx.raw_extract(spark, sf, t, b)), t
