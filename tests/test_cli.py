@@ -1,0 +1,23 @@
+"""Command-line entry: exit codes and a full run on a scratch lake."""
+
+from stratalake.__main__ import main
+
+
+def test_run_validate_reconcile_inspect(spark, sf, scratch, capsys):
+    root = f"{scratch}/lake"
+    assert main(["land", "--root", root, "--sf-dir", sf]) == 0
+    assert main(["run", "--root", root, "--fixture-stamps"]) == 0
+    assert main(["validate", "--root", root]) == 0
+    assert main(["reconcile", "--root", root]) == 0
+    assert main(["inspect", "--root", root]) == 0
+    out = capsys.readouterr().out
+    assert "reconciled:" in out and "BREAK" not in out and "fact_sales" in out
+
+
+def test_missing_lake_is_an_io_error(spark, scratch):
+    assert main(["inspect", "--root", f"{scratch}/nothing"]) == 3
+
+
+def test_bad_arguments(spark):
+    assert main(["run"]) == 2
+    assert main(["nonsense"]) == 2
