@@ -20,6 +20,20 @@ REQUIRED_CONF = {
 }
 
 
+def shuffle_partitions_for(input_bytes: int, target_bytes: int = 128 * 1024 ** 2,
+                           floor: int = 200, ceiling: int = 200_000) -> int:
+    """Initial shuffle partition count for ``input_bytes`` of input.
+
+    AQE only ever *merges* small shuffle partitions (toward
+    ``spark.sql.adaptive.advisoryPartitionSizeInBytes``); it never splits a
+    large one except for skewed joins.  So the initial count must be sized for
+    the biggest shuffle: about one partition per 128 MB of input, e.g.
+    ~800,000 for 100 TB before ceiling, which is why the ceiling exists
+    (per-mapper block overhead); the default 200 would put ~500 GB in each."""
+    n = -(-int(input_bytes) // int(target_bytes))
+    return max(floor, min(ceiling, n))
+
+
 def build_session(master: str | None = None, app_name: str = "stratalake",
                   shuffle_partitions: int | None = None,
                   extra_conf: dict | None = None) -> SparkSession:
@@ -35,7 +49,9 @@ def build_session(master: str | None = None, app_name: str = "stratalake",
     conf = dict(REQUIRED_CONF)
     conf["spark.ui.enabled"] = "false"
     if shuffle_partitions:
+        # the initial count; AQE coalesces small partitions back down
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+        conf["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(shuffle_partitions)
     conf.update(extra_conf or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
