@@ -19,8 +19,6 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .joins import missing_from
-
 REPORT_COLS = ("table_name", "rule", "column_name", "violations", "success")
 
 

@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import TABLES
-from ..functions.expressions import line_amount
 from ..operators import contracts as C
 from ..operators.joins import pit_join
 from ..operators.windows import next_in_key
@@ -353,4 +352,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "revenue_by_status": revenue_by_status,
 }
 
-__all__ = ["QUERIES", "Chain", "line_amount"]
+__all__ = ["QUERIES", "Chain"]

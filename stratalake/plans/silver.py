@@ -15,7 +15,7 @@ from .. import TABLES
 from ..functions.expressions import fill_unknown, normalize_code
 from ..operators.dedup import latest_per_key
 from ..operators.joins import keep_matching
-from ..sources.schemas import EXTRACT_DATE, INGESTED_AT, KEYS, SILVER
+from ..sources.schemas import INGESTED_AT, KEYS, SILVER
 
 # Total orders for "newest row per key": ingest time first, then the extract's
 # own change time where it has one, then every remaining column so ties are
@@ -124,4 +124,4 @@ FINISH = {"customers": finish_customers, "products": finish_products,
 
 __all__ = ["ORDER", "FINISH", "newest_rows", "refine_all", "refine_customers",
            "refine_products", "refine_orders", "refine_order_items", "refine_stats", "as_of",
-           "clean_customers", "EXTRACT_DATE"]
+           "clean_customers"]
