@@ -51,7 +51,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     spark = build_session(
-        f"local[{cpus}]", app_name="stratalake-bench", shuffle_partitions=max(cpus * 2, 8),
+        f"local[{cpus}]", app_name="stratalake-bench", shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", max(cpus * 2, 8))),
         extra_conf={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEM", "16g"),
                     "spark.sql.execution.arrow.pyspark.enabled": "true",
                     "spark.ui.showConsoleProgress": "false"})
@@ -72,8 +72,9 @@ def main() -> None:
         fx.land_extracts(spark, sf_dir, lake)
 
     _timed(times, "land_extracts", land)
-    _timed(times, "bronze_ingest", lambda: [pipe.ingest(d, fx.ingested_at(b))
-                                            for b, d in fx.BATCHES])
+    counts = _timed(times, "bronze_ingest", lambda: [pipe.ingest(d, fx.ingested_at(b))
+                                                     for b, d in fx.BATCHES])
+    bronze_rows = sum(sum(c.values()) for c in counts)
     _timed(times, "silver_refine", lambda: pipe.refine().collect())
     _timed(times, "contracts", pipe.validate)
     _timed(times, "gold_build", pipe.build_gold)
@@ -108,6 +109,14 @@ def main() -> None:
         "queries": times,
         "sf": float(sf.group(1)) if sf else sf_dir,
         "incremental": inc,
+        # same denominators as the reference's published rates: bronze rows for
+        # ingest and refine, fact rows for reconcile
+        "rates_rows_per_sec": {
+            "bronze_ingest": round(bronze_rows / times["bronze_ingest"]),
+            "silver_refine": round(bronze_rows / times["silver_refine"]),
+            "reconcile": round(recon["fact_rows"] / times["reconcile"]),
+        },
+        "bronze_rows": bronze_rows,
         "fact_rows": recon["fact_rows"],
         "revenue": str(recon["fact_revenue"]),
     }))
