@@ -1,4 +1,5 @@
-"""Join operators: referential semi/anti joins and the point-in-time join.
+"""Join operators: referential semi/anti joins, the point-in-time join and the
+backward as-of join.
 
 No join here forces a broadcast.  Spark's adaptive execution turns a
 sort-merge join into a broadcast join only when the measured size of a side is
@@ -8,9 +9,9 @@ of the preserved side when one key dominates.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expressions import valid_to_or_open
@@ -62,3 +63,87 @@ def pit_join(facts: DataFrame, versions: DataFrame, key: str, ts: str,
             & (facts[ts] >= v["__vfrom"])
             & (facts[ts] < v["__vto"]))
     return facts.join(v, cond, "left").drop("__vkey", "__vfrom", "__vto")
+
+
+_KIND, _TIE, _EV = "__kind", "__tie", "__ev"      # as-of working columns
+
+
+def asof_join(facts: DataFrame, starts: DataFrame, key: str, ts: str, tie: str,
+              version_cols: Sequence[str], bucket: Callable[[Column], Column] | None = None,
+              start_key: str | None = None, start_ts: str | None = None) -> DataFrame:
+    """Backward as-of LEFT join: every fact row picks up ``version_cols`` of
+    the last row of ``starts`` with the same key and a start time at or
+    before the fact's ``ts`` (last in (start time, ``tie``) order).  Facts
+    with no such start keep nulls; every fact row is kept exactly once.
+
+    For versions that form a chain (each valid until the next one starts,
+    e.g. versions cut from an event stream) this is the same result as
+    :func:`pit_join` on the half-open windows, but its cost does not depend
+    on how many versions a key has: no fact is ever compared with more than
+    one candidate.
+
+    Plan: facts and starts are unioned and shuffled ONCE on (key, time
+    bucket); a running ``last`` inside each (key, bucket) window gives the
+    latest start so far in the bucket.  Facts that see none take the latest
+    start of the key's earlier buckets, from a table of one row per (key,
+    bucket) whose per-key window holds one row per bucket, not one per row.
+    ``bucket`` must be non-decreasing in time (default: the minute), so a key
+    holding a third of all rows is spread over as many tasks as it has
+    buckets.
+    """
+    sk, st = start_key or key, start_ts or ts
+    s = (starts.where(F.col(sk).isNotNull() & F.col(st).isNotNull())
+         .select(F.col(sk).alias(key), F.col(st).alias(ts), F.lit(0).alias(_KIND),
+                 F.col(tie).alias(_TIE),
+                 _start_struct(F.col(st), F.col(tie), {c: F.col(c) for c in version_cols})
+                 .alias(_EV)))
+    u = facts.withColumn(_KIND, F.lit(1)).unionByName(s, allowMissingColumns=True)
+    return _asof(u, facts.columns, key, ts, version_cols, bucket)
+
+
+def asof_within(df: DataFrame, key: str, ts: str, is_start: Column, tie: str,
+                fact_cols: Sequence[str], versions: dict[str, Column],
+                bucket: Callable[[Column], Column] | None = None) -> DataFrame:
+    """:func:`asof_join` when facts and starts are rows of ONE table (e.g.
+    purchase and signup events): rows where ``is_start`` holds are starts,
+    the others are facts, and the table is scanned once.  ``versions`` maps
+    output names to expressions evaluated on the start row.  Returns the
+    fact rows with ``fact_cols`` and the version columns."""
+    start = F.coalesce(is_start, F.lit(False))
+    # a start without key or time can never be found (as in asof_join)
+    rows = df.where(~(start & (F.col(key).isNull() | F.col(ts).isNull())))
+    u = rows.select(
+        *dict.fromkeys([*fact_cols, key, ts]),
+        F.when(start, 0).otherwise(1).alias(_KIND),
+        F.when(start, F.col(tie)).alias(_TIE),
+        F.when(start, _start_struct(F.col(ts), F.col(tie), versions)).alias(_EV),
+    )
+    return _asof(u, list(fact_cols), key, ts, list(versions), bucket)
+
+
+
+def _start_struct(t: Column, tie: Column, versions: dict[str, Column]) -> Column:
+    # fields (time, tie, ...) so that max() picks the latest start
+    return F.struct(t.alias("__t"), tie.alias("__k"),
+                    *[c.alias(n) for n, c in versions.items()])
+
+
+def _asof(u: DataFrame, fact_cols: Sequence[str], key: str, ts: str,
+          version_cols: Sequence[str], bucket: Callable[[Column], Column] | None) -> DataFrame:
+    bucket = bucket or (lambda c: F.date_trunc("minute", c))
+    b, first_in, before = "__bucket", "__in", "__before"
+    u = u.withColumn(b, bucket(F.col(ts)))
+    # one row per (key, bucket): its latest start (max compares __t, then
+    # __k), partially aggregated before its shuffle; then the latest start of
+    # all EARLIER buckets, a per-key window of one row per bucket
+    per_bucket = u.groupBy(key, b).agg(F.max(_EV).alias("__last"))
+    prior = Window.partitionBy(key).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
+    per_bucket = per_bucket.select(key, b, F.max("__last").over(prior).alias(before))
+    # the latest start so far inside the fact's own bucket
+    running = (Window.partitionBy(key, b).orderBy(ts, _KIND, _TIE)
+               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    u = u.withColumn(first_in, F.last(_EV, ignorenulls=True).over(running))
+    out = (u.where(F.col(_KIND) == 1)
+           .join(per_bucket, [key, b], "left")
+           .withColumn(_EV, F.coalesce(first_in, before)))
+    return out.select(*fact_cols, *[F.col(f"{_EV}.{c}").alias(c) for c in version_cols])

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from .. import TABLES
 from ..operators import contracts as C
-from ..operators.joins import pit_join
+from ..operators.joins import asof_within
 from ..operators.windows import next_in_key
 from ..operators.reconcile import CHECKS, METRICS, recon_checks, recon_metrics, validity_audit
 from ..sources import fixtures as fx
@@ -195,11 +195,18 @@ def signup_versions(events: DataFrame) -> DataFrame:
 
 def pit_events(spark, sf_dir):
     """J5 at microsecond grain: every purchase resolved to the signup version
-    valid at its timestamp; purchases before a user's first signup stay null."""
+    valid at its timestamp; purchases before a user's first signup stay null.
+
+    A signup version lasts until the user's next signup, so the versions form
+    a chain and the version valid at ``ts`` is the last signup at or before
+    it: an as-of join, whose cost does not grow with signups per user (the
+    window join of :func:`signup_versions` + ``pit_join`` would compare every
+    purchase of a user with every signup of that user)."""
     ev = read_source(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "value"])
-    purchases = ev.where(F.col("event_type") == "purchase").select("event_id", "user_id", "ts", "value")
-    return pit_join(purchases, signup_versions(ev), key="user_id", ts="ts",
-                    version_cols=["signup_event_id"])
+    ev = ev.where(F.col("event_type").isin("purchase", "signup"))
+    return asof_within(ev, key="user_id", ts="ts", is_start=F.col("event_type") == "signup",
+                       tie="event_id", fact_cols=["event_id", "user_id", "ts", "value"],
+                       versions={"signup_event_id": F.col("event_id")})
 
 
 def pit_validity_audit(spark, sf_dir):

@@ -45,3 +45,44 @@ def test_events_every_purchase_kept_once(spark, sf):
     ev = spark.read.parquet(f"{sf}/events.parquet")
     n = ev.where(F.col("event_type") == "purchase").count()
     assert out.count() == n == out.select("event_id").distinct().count()
+
+
+def test_asof_equals_pit_join_on_signup_chains(spark, sf):
+    """The as-of resolution of purchases equals the half-open window join on
+    the signup versions (the chain each signup starts)."""
+    from pyspark.sql import functions as F
+    from stratalake.plans.queries import signup_versions
+    ev = spark.read.parquet(f"{sf}/events.parquet")
+    purchases = ev.where(F.col("event_type") == "purchase").select("event_id", "user_id", "ts", "value")
+    want = pit_join(purchases, signup_versions(ev), key="user_id", ts="ts",
+                    version_cols=["signup_event_id"])
+    got = pit_events(spark, sf)
+    assert got.columns == want.columns
+    assert rows(got) == rows(want)
+
+
+def test_asof_ties_gaps_and_nulls(spark):
+    """Equal start times resolve to the last start by tie; a fact at a start
+    time takes that start; facts before any start, with unknown keys or null
+    times stay unresolved; buckets without starts look back across buckets."""
+    from stratalake.operators.joins import asof_join
+    starts = spark.createDataFrame([
+        (1, 100, _ts(1)), (1, 101, _ts(1)),      # tie at the same instant -> 101 wins
+        (1, 102, _ts(5, 7)),
+        (2, 200, _ts(3)),
+        (None, 300, _ts(1)), (2, 301, None),     # ignored: null key / null time
+    ], "k long, sid long, ts timestamp_ntz")
+    facts = spark.createDataFrame([
+        (10, 1, _ts(1)),      # at the tied start -> 101
+        (11, 1, _ts(4, 23)),  # other bucket, looks back -> 101
+        (12, 1, _ts(5, 7)),   # exactly at 102
+        (13, 1, _ts(28)),     # far later -> 102
+        (14, 2, _ts(2)),      # before the key's first start -> null
+        (15, 3, _ts(2)),      # unknown key -> null
+        (16, 1, None),        # null time -> null
+        (17, None, _ts(9)),   # null key -> null
+    ], "fid long, k long, ts timestamp_ntz")
+    out = asof_join(facts, starts, key="k", ts="ts", tie="sid", version_cols=["sid"])
+    assert out.columns == ["fid", "k", "ts", "sid"]
+    assert rows(out, "fid", "sid") == [(10, 101), (11, 101), (12, 102), (13, 102),
+                                       (14, None), (15, None), (16, None), (17, None)]

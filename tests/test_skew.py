@@ -86,3 +86,27 @@ def test_next_in_key_equals_plain_lead(spark):
         Window.partitionBy("user_id").orderBy("ts", "event_id")))
     got = next_in_key(df, "user_id", "ts", "event_id", F.date_trunc("hour", "ts"))
     assert rows(got, "event_id", "next_ts") == rows(want, "event_id", "next_ts")
+
+
+def test_asof_join_hot_key_equals_window_join(spark):
+    """A user with a third of all rows (and many same-second ties): the as-of
+    join equals the half-open window join on the signup chain."""
+    from stratalake.operators.joins import asof_join
+    random.seed(7)
+    data = []
+    for i in range(6000):
+        user = 1 if i % 3 == 0 else random.randint(2, 60)
+        kind = "signup" if random.random() < 0.3 else "purchase"
+        data.append((i, user, kind, f"2024-01-0{1 + random.randint(0, 4)} "
+                                    f"{random.randint(0, 23):02d}:{random.randint(0, 59):02d}:"
+                                    f"{random.randint(0, 1):02d}"))
+    ev = spark.createDataFrame(data, "event_id long, user_id long, event_type string, ts string") \
+        .withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    sign = ev.where("event_type = 'signup'").select(F.col("event_id").alias("sid"), "user_id", "ts")
+    facts = ev.where("event_type = 'purchase'").select("event_id", "user_id", "ts")
+    chain = sign.select("sid", "user_id", F.col("ts").alias("valid_from"),
+                        F.lead("ts").over(Window.partitionBy("user_id").orderBy("ts", "sid"))
+                        .alias("valid_to"))
+    want = pit_join(facts, chain, key="user_id", ts="ts", version_cols=["sid"])
+    got = asof_join(facts, sign, key="user_id", ts="ts", tie="sid", version_cols=["sid"])
+    assert rows(got) == rows(want)
