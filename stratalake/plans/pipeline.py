@@ -20,7 +20,7 @@ from ..operators import contracts as C
 from ..operators.reconcile import reconcile
 from ..sources.lake import (Lake, current_version, read_version, table_version, version_tag,
                             write_version)
-from ..sources.schemas import BRONZE, EXTRACT_DATE, INGESTED_AT, RAW, SILVER
+from ..sources.schemas import BRONZE, EXTRACT_DATE, GOLD, INGESTED_AT, RAW, SILVER
 from . import gold as G
 from . import silver as S
 from .bronze import conform_raw, ingest_stamp, stamp_lineage
@@ -168,7 +168,7 @@ class Pipeline:
     def gold(self, table: str) -> DataFrame:
         if table == "customer_snapshot":
             return self.snapshot()
-        return self.lake.read(self.spark, self.lake.gold_path(table))
+        return self.lake.read(self.spark, self.lake.gold_path(table), GOLD[table])
 
     def snapshot(self, before: str | None = None) -> DataFrame | None:
         """The SCD2 history.  Rebuild mode derives it from bronze on every
@@ -176,7 +176,7 @@ class Pipeline:
         (same rows, snapshot column names).  Incremental mode keeps it as
         versioned state; this returns its newest version."""
         if self.mode == "rebuild":
-            d = self.lake.read(self.spark, self.lake.gold_path("dim_customer"))
+            d = self.gold("dim_customer")
             return d.select("customer_id", "name", "segment", "city",
                             F.col("valid_from").alias("updated_at"),
                             F.col("customer_sk").alias("scd_id"), "valid_from", "valid_to")

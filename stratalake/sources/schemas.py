@@ -87,3 +87,33 @@ DIM_CUSTOMER = T.StructType([
 ])
 
 FACT_SALES_AMOUNT = _AMOUNT
+
+# Stored gold tables, declared so reading them back needs no schema inference.
+GOLD = {
+    "dim_customer": DIM_CUSTOMER,
+    "dim_product": T.StructType([
+        T.StructField("product_sk", _ID),
+        T.StructField("product_id", _ID),
+        T.StructField("name", T.StringType()),
+        T.StructField("category", T.StringType()),
+        T.StructField("unit_price", _PRICE),
+    ]),
+    "dim_date": T.StructType([
+        T.StructField("date_day", T.DateType()),
+        T.StructField("year", T.IntegerType()),
+        T.StructField("month", T.IntegerType()),
+        T.StructField("day", T.IntegerType()),
+        T.StructField("weekday", T.StringType()),
+    ]),
+    "fact_sales": T.StructType([
+        T.StructField("order_item_id", _ID),
+        T.StructField("order_id", _ID),
+        T.StructField("customer_sk", T.StringType()),
+        T.StructField("product_sk", _ID),
+        T.StructField("date_day", T.DateType()),
+        T.StructField("quantity", T.IntegerType()),
+        T.StructField("unit_price", _PRICE),
+        T.StructField("amount", _AMOUNT),
+        T.StructField("status", T.StringType()),
+    ]),
+}

@@ -28,6 +28,17 @@ def test_run_reconciles(built):
     assert result["ok"] and result["fact_rows"] == result["silver_items"]
 
 
+def test_stored_gold_matches_declared_schemas(spark, built):
+    """Gold is read back with declared schemas (no inference job); they must
+    be exactly what the build writes."""
+    from stratalake.sources.schemas import GOLD
+    pipe, _ = built
+    for t, schema in GOLD.items():
+        stored = spark.read.parquet(pipe.lake.gold_path(t)).schema
+        assert [(f.name, f.dataType) for f in stored] == \
+               [(f.name, f.dataType) for f in schema], t
+
+
 def test_stored_layers_equal_lazy_chain(spark, sf, built):
     from stratalake.plans.queries import Chain
     pipe, _ = built
