@@ -62,9 +62,16 @@ def finish_orders(newest: DataFrame, customers: DataFrame) -> DataFrame:
     return _silver_cols(keep_matching(kept, customers, "customer_id"), "orders")
 
 
-def finish_order_items(newest: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
+def finish_order_items(newest: DataFrame, orders: DataFrame | None,
+                       products: DataFrame) -> DataFrame:
+    """``orders=None`` leaves out the order check, for a caller that inner
+    joins the lines to the silver orders on ``order_id`` anyway (the fact
+    build): that join keeps exactly the lines the check would keep, so the
+    check would only cost another shuffle of the line table."""
     kept = newest.where(F.col("quantity") > 0)
-    kept = keep_matching(keep_matching(kept, orders, "order_id"), products, "product_id")
+    if orders is not None:
+        kept = keep_matching(kept, orders, "order_id")
+    kept = keep_matching(kept, products, "product_id")
     return _silver_cols(kept, "order_items")
 
 
