@@ -24,7 +24,7 @@ def source_path(sf_dir: str, name: str) -> str:
 def _size_in_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate of a plan (from the file index; reads no data)."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except Exception:  # noqa: BLE001 - e.g. a Connect session: no estimate, no spreading
         return None
 

@@ -33,3 +33,19 @@ def test_events_scan_reads_only_needed_columns(spark, sf):
     plan = _plan(QUERIES["pit_events"](spark, sf))
     schemas = re.findall(r"ReadSchema: (struct<[^>]*>)", plan)
     assert schemas and all("props" not in s for s in schemas)
+
+
+def test_small_single_file_source_is_spread(spark, tmp_path):
+    """A source in one row group is spread over the cores after its scan;
+    tiny and large sources are read as they are."""
+    from pyspark.sql import functions as F
+    from stratalake.sources.tables import spread_small
+    path = str(tmp_path / "one.parquet")
+    spark.range(200_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("h")) \
+        .coalesce(1).write.parquet(path)
+    df = spark.read.parquet(path)
+    spread = spread_small(spark, df, min_bytes=1, max_bytes=1 << 30)
+    assert "RoundRobinPartitioning" in _plan(spread)
+    assert spread_small(spark, df, min_bytes=1 << 40) is df        # too small to bother
+    assert spread_small(spark, df, min_bytes=1, max_bytes=10) is df  # too large to move
+    assert spread.where("id < 10").count() == 10
