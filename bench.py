@@ -15,6 +15,9 @@ Before timing, the whole pipeline runs once on the smallest fixture
 so one-time JVM class loading and code generation are not charged to the
 first measured stage.  Nothing from the warm-up is reused: the timed run uses
 a fresh lake and the requested data.
+
+Lakes are created under ``$BENCH_LAKE_ROOT`` (any Hadoop URI; on a cluster
+it must be a shared folder), default a fresh local temporary folder.
 """
 
 from __future__ import annotations
@@ -40,6 +43,13 @@ HEADLINE = ("revenue_by_status", "fact_sales", "scd2_rebuild", "silver_order_ite
             "pit_events", "recon_metrics", "contract_suite_report", "model_test_report")
 
 
+def _lake_root(prefix: str) -> str:
+    shared = os.environ.get("BENCH_LAKE_ROOT")
+    if shared:
+        return f"{shared.rstrip('/')}/{prefix}{time.time_ns()}"
+    return tempfile.mkdtemp(prefix=prefix)
+
+
 def _timed(out: dict, name: str, fn):
     t = time.perf_counter()
     res = fn()
@@ -59,13 +69,13 @@ def main() -> None:
     # warm the JVM: one untimed pipeline run on the smallest fixture
     warm = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001")
     if warm and os.path.isdir(warm):
-        wlake = Lake(tempfile.mkdtemp(prefix="stratalake-warmup-"))
+        wlake = Lake(_lake_root("stratalake-warmup-"))
         fx.land_extracts(spark, warm, wlake)
         Pipeline(spark, wlake).run([(d, fx.ingested_at(b)) for b, d in fx.BATCHES])
     spark.read.parquet(f"{sf_dir}/nation.parquet").count()
 
     times: dict[str, float] = {}
-    lake = Lake(tempfile.mkdtemp(prefix="stratalake-bench-"))
+    lake = Lake(_lake_root("stratalake-bench-"))
     pipe = Pipeline(spark, lake)
 
     def land():
@@ -89,7 +99,7 @@ def main() -> None:
     # incremental mode on the same landed extracts (reported apart, not in the total):
     # each ingest merges its batch into the newest-row state; one SCD2 merge per build
     inc: dict[str, float] = {}
-    ipipe = Pipeline(spark, Lake(tempfile.mkdtemp(prefix="stratalake-bench-inc-")),
+    ipipe = Pipeline(spark, Lake(_lake_root("stratalake-bench-inc-")),
                      mode="incremental")
     from stratalake.sources.schemas import RAW
     for b, d in fx.BATCHES:

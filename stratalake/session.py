@@ -64,14 +64,21 @@ def build_session(master: str | None = None, app_name: str = "stratalake",
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting one only where unset (tests)."""
+def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
+    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+
+    Only a local-mode session without one (tests, the local bench) gets a
+    scratch folder of its own.  On a cluster a machine-local folder would be
+    lost with its executor, so an unset folder stays unset (None); no plan of
+    this package checkpoints, every layer is cut by writing it to the lake."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if current:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return sc.getCheckpointDir() or current
+    if not sc.master.startswith("local"):
+        return None
     local = tempfile.mkdtemp(prefix="stratalake-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local
