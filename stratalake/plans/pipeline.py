@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 from .. import TABLES
 from ..operators import contracts as C
 from ..operators.reconcile import reconcile
-from ..sources.lake import (Lake, current_version, read_version, table_version, version_tag,
-                            write_version)
+from ..sources.lake import (Lake, current_version, prune_versions, read_version, table_version,
+                            version_tag, write_version)
 from ..sources.schemas import BRONZE, EXTRACT_DATE, GOLD, INGESTED_AT, RAW, SILVER
 from . import gold as G
 from . import silver as S
@@ -103,6 +103,8 @@ class Pipeline:
             rows = batch if prev is None else \
                 read_version(self.spark, path, prev, BRONZE[t]).unionByName(batch)
             write_version(S.newest_rows(rows, t), path, tag)
+            if prev is not None:
+                prune_versions(self.spark, path, keep_from=prev)
 
         _concurrently(*[lambda t=t: one(t) for t in TABLES])
 
@@ -191,9 +193,13 @@ class Pipeline:
             return
         # one snapshot run per build, versioned like the state it reads
         tag = current_version(self.spark, self._newest_path("customers"))
+        snap_path = self.lake.state_path("customer_snapshot")
+        prev = current_version(self.spark, snap_path, before=tag)
         history = self.snapshot(before=tag)
         merged = G.customer_snapshot_merge(history, self.silver("customers"))
-        write_version(merged, self.lake.state_path("customer_snapshot"), tag)
+        write_version(merged, snap_path, tag)
+        if prev is not None:
+            prune_versions(self.spark, snap_path, keep_from=prev)
         w(G.dim_customer(self.snapshot()))
 
     def build_gold(self) -> DataFrame:

@@ -120,18 +120,50 @@ def write_version(df: DataFrame, path: str, version: str) -> None:
        .partitionBy(VERSION_COL).parquet(path))
 
 
+def _fs(spark: SparkSession, path: str):
+    """Hadoop FileSystem and Path for ``path`` (any Hadoop URI)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def list_versions(spark: SparkSession, path: str) -> list[str]:
+    """Committed version tags of a state table, oldest first.
+
+    Lists only the table's top-level ``_v=`` folders (one per version), not
+    its data files, so the cost does not grow with the table.  A version
+    folder appears only when its write job commits (dynamic partition
+    overwrite stages files and moves whole partitions at commit)."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    tags = []
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith(VERSION_COL + "="):
+            tags.append(name.split("=", 1)[1])
+    return sorted(tags)
+
+
 def current_version(spark: SparkSession, path: str, before: str | None = None) -> str | None:
     """Newest version tag of a state table (optionally strictly older than
-    ``before``), from the file listing only; None if there is none."""
-    try:
-        files = spark.read.parquet(path).inputFiles()
-    except AnalysisException:
-        return None
-    tags = {seg.split("=", 1)[1] for f in files for seg in f.split("/")
-            if seg.startswith(VERSION_COL + "=")}
-    if before is not None:
-        tags = {t for t in tags if t < before}
-    return max(tags) if tags else None
+    ``before``); None if there is none."""
+    tags = [t for t in list_versions(spark, path) if before is None or t < before]
+    return tags[-1] if tags else None
+
+
+def prune_versions(spark: SparkSession, path: str, keep_from: str) -> list[str]:
+    """Delete the versions older than ``keep_from`` (retention).
+
+    A run reads version ``prev`` and writes version ``v``; keeping everything
+    from ``prev`` on lets a retried run rebuild ``v`` from the same input,
+    while storage stays at about two copies of the state instead of one copy
+    per run.  Returns the removed tags."""
+    fs, p = _fs(spark, path)
+    gone = [t for t in list_versions(spark, path) if t < keep_from]
+    for t in gone:
+        fs.delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p, f"{VERSION_COL}={t}"), True)
+    return gone
 
 
 def read_version(spark: SparkSession, path: str, version: str,

@@ -108,6 +108,20 @@ def test_incremental_ingest_retry_is_idempotent(spark, sf, built_incremental):
     assert {t: inc.newest(t).count() for t in TABLES} == before
 
 
+def test_incremental_state_keeps_two_versions(spark, built_incremental):
+    """Retention: after three runs every state table holds the current
+    version and the one it was built from, not one copy per run."""
+    from stratalake.sources.lake import list_versions
+    inc, _ = built_incremental
+    tags = sorted({fx.ingested_at(b) for b, _ in fx.BATCHES})
+    from stratalake.sources.lake import version_tag
+    want = [version_tag(t) for t in tags[-2:]]
+    for t in TABLES:
+        assert list_versions(spark, inc._newest_path(t)) == want, t
+    assert list_versions(spark, inc.lake.state_path("customer_snapshot")) == want
+    assert list_versions(spark, inc.lake.state_path("nothing_here")) == []
+
+
 def test_landed_day_equals_single_extract(spark, sf, built):
     pipe, _ = built
     b, d = fx.BATCHES[1]
