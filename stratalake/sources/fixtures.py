@@ -214,12 +214,19 @@ def land_extracts(spark: SparkSession, sf_dir: str, lake, variant: str = "clean"
     """Land every day's extract of every table in the lake's landing zone.
 
     One scan per source table writes all days at once, partitioned by the
-    extract date, so the daily ingest reads exactly its own folder."""
+    extract date, so the daily ingest reads exactly its own folder.  The four
+    tables are independent, so their writes run as concurrent jobs."""
+    from concurrent.futures import ThreadPoolExecutor
+
     from .lake import RAW_PARTITION
 
-    for t in RAW:
+    def land(t: str) -> None:
         df = bronze_history(spark, sf_dir, t, upto, variant)
         out = df.select(*RAW[t].fieldNames(),
                         F.col(EXTRACT_DATE).cast("string").alias(RAW_PARTITION))
         (out.write.mode("overwrite").partitionBy(RAW_PARTITION)
             .parquet(lake.raw_root(t)))
+
+    with ThreadPoolExecutor(max_workers=len(RAW)) as pool:
+        for f in [pool.submit(land, t) for t in RAW]:
+            f.result()
