@@ -116,13 +116,18 @@ def refine_stats(bronze: dict[str, DataFrame], silver: dict[str, DataFrame]) ->
     """Per table bronze rows, kept rows and dropped = bronze - kept."""
     parts = []
     for t in TABLES:
-        b = bronze[t].agg(F.count(F.lit(1)).alias("bronze_rows"))
-        s = silver[t].agg(F.count(F.lit(1)).alias("kept"))
-        parts.append(b.select(F.lit(t).alias("table_name"), "bronze_rows",
-                              s.scalar().alias("kept")))
+        # one count per table and layer, each its own branch (run side by side)
+        parts.append(bronze[t].agg(F.count(F.lit(1)).alias("bronze_rows"))
+                     .select(F.lit(t).alias("table_name"), "bronze_rows",
+                             F.lit(None).cast("bigint").alias("kept")))
+        parts.append(silver[t].agg(F.count(F.lit(1)).alias("kept"))
+                     .select(F.lit(t).alias("table_name"),
+                             F.lit(None).cast("bigint").alias("bronze_rows"), "kept"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
+    out = out.groupBy("table_name").agg(F.max("bronze_rows").alias("bronze_rows"),
+                                        F.max("kept").alias("kept"))
     return out.withColumn("dropped", F.col("bronze_rows") - F.col("kept"))
 
 
