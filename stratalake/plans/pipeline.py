@@ -12,7 +12,7 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import TABLES
@@ -74,10 +74,12 @@ class Pipeline:
         def one(t: str) -> int:
             src = raw[t] if raw is not None else self.lake.read_raw(self.spark, extract_date, t, RAW[t])
             src = conform_raw(src, t)
-            self.lake.append(stamp_lineage(src, extract_date, stamp),
-                             self.lake.bronze_path(t), partition_by=[EXTRACT_DATE])
-            # rows landed = rows of the extract (a parquet footer count)
-            return src.count()
+            # rows landed, counted by the write job itself (no second pass)
+            seen = Observation(f"ingest_{t}_{version_tag(stamp)}")
+            rows = stamp_lineage(src, extract_date, stamp).observe(
+                seen, F.count(F.lit(1)).alias("rows"))
+            self.lake.append(rows, self.lake.bronze_path(t), partition_by=[EXTRACT_DATE])
+            return int(seen.get["rows"])
 
         counts = dict(zip(TABLES, _concurrently(*[lambda t=t: one(t) for t in TABLES])))
         if self.mode == "incremental":

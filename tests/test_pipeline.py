@@ -28,6 +28,18 @@ def test_run_reconciles(built):
     assert result["ok"] and result["fact_rows"] == result["silver_items"]
 
 
+def test_ingest_counts_are_the_landed_rows(spark, built):
+    """The per-table counts an ingest reports (observed by the write job)
+    equal the rows that landed in bronze for that extract date."""
+    pipe, _ = built
+    ingests = [entry for entry in pipe.log if entry[0] == "ingest"]
+    assert len(ingests) == len(fx.BATCHES)
+    for _, extract_date, counts in ingests:
+        for t in TABLES:
+            landed = pipe.bronze(t).where(F.col("_extract_date") == F.lit(extract_date).cast("date"))
+            assert counts[t] == landed.count() > 0, (extract_date, t)
+
+
 def test_stored_gold_matches_declared_schemas(spark, built):
     """Gold is read back with declared schemas (no inference job); they must
     be exactly what the build writes."""
