@@ -64,7 +64,12 @@ def main() -> None:
         f"local[{cpus}]", app_name="stratalake-bench", shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", max(cpus * 2, 8))),
         extra_conf={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEM", "16g"),
                     "spark.sql.execution.arrow.pyspark.enabled": "true",
-                    "spark.ui.showConsoleProgress": "false"})
+                    "spark.ui.showConsoleProgress": "false",
+                    # local disk: opening a file is cheap, so small files are not
+                    # packed into a few 4 MiB splits (the default assumes an
+                    # object-store open); no effect on large files
+                    "spark.sql.files.openCostInBytes": os.environ.get(
+                        "BENCH_FILE_OPEN_COST", str(1 << 20))})
     spark.sparkContext.setLogLevel("ERROR")
     # warm the JVM: one untimed pipeline run on the smallest fixture
     warm = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001")
