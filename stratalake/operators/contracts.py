@@ -3,8 +3,9 @@
 A contract is a list of :class:`Rule`.  Evaluation compiles every row-level
 rule of one table into ONE aggregate (``count_if`` per rule, partial
 aggregation on the executors), plus one grouped count per ``unique`` rule and
-one anti join per ``relationships`` rule.  The result is a small report
-DataFrame, one row per rule; nothing but report rows ever reaches the driver.
+one grouped count + anti join of the distinct values per ``relationships``
+rule.  The result is a small report DataFrame, one row per rule; nothing but
+report rows ever reaches the driver.
 
 Nulls pass ``in_set``, ``between`` and ``unique`` and are not checked by
 ``relationships``; ``not_null`` is the rule that catches them.
@@ -14,11 +15,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .joins import missing_from
+
 REPORT_COLS = ("table_name", "rule", "column_name", "violations", "success")
 
 
@@ -102,35 +106,47 @@ def duplicate_rows(df: DataFrame, column: str) -> DataFrame:
               .agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("n")))
 
 
+def orphan_rows(df: DataFrame, column: str, ref: DataFrame, field: str) -> DataFrame:
+    """J6 core: rows whose non-null ``column`` value is absent from
+    ``ref.field`` (one-row DataFrame ``n``).
+
+    Rows are counted per value first, with map-side partial counts, so a value
+    held by a third of all rows collapses before any shuffle; only the
+    distinct values then meet the referenced keys, in an anti join (which
+    cannot fan out, even if the referenced key repeats)."""
+    per_value = (df.where(F.col(column).isNotNull())
+                   .groupBy(column).agg(F.count(F.lit(1)).alias("n")))
+    return (missing_from(per_value, ref, column, field)
+            .agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("n")))
+
+
 def evaluate(df: DataFrame, table: str, rules: Sequence[Rule],
              refs: dict[str, DataFrame] | None = None) -> DataFrame:
     """Evaluate ``rules`` on one table in ONE plan; one report row per rule.
 
     * row-level rules become ``count_if`` terms of one aggregate;
-    * a ``relationships`` rule is a correlated EXISTS on the referenced key,
-      planned as an existence join (never fans out, even if the key repeats);
     * the first ``unique`` rule groups by its column first (map-side partial
-      counts, so a hot value collapses before the shuffle) and the other terms
-      are summed through that grouping; further ``unique`` rules get their own
-      grouped count.
+      counts, so a hot value collapses before the shuffle) and the row-level
+      terms are summed through that grouping; further ``unique`` rules get
+      their own grouped count;
+    * a ``relationships`` rule counts rows per key value (map-side partial
+      counts) and anti joins the distinct values with the referenced keys
+      (:func:`orphan_rows`): what moves is one row per key value, never the
+      table's rows, and a hot key is no straggler.
+    The per-rule results are independent branches of one union.
     """
-    base = df.alias("__t")
     terms: list[tuple[Rule, Column]] = []
-    for i, r in enumerate(rules):
+    for r in rules:
         if r.kind in ("not_null", "in_set", "between"):
             terms.append((r, r.violation()))
-        elif r.kind == "relationships":
-            if not refs or r.to not in refs:
-                raise KeyError(f"relationships rule needs table {r.to!r}")
-            ref = refs[r.to].select(F.col(r.field).alias("__k")).alias(f"__r{i}")
-            hit = ref.where(F.col(f"__r{i}.__k") == F.col(f"__t.{r.column}").outer()).exists()
-            terms.append((r, F.col(f"__t.{r.column}").isNotNull() & ~hit))
+        elif r.kind == "relationships" and (not refs or r.to not in refs):
+            raise KeyError(f"relationships rule needs table {r.to!r}")
     uniques = [r for r in rules if r.kind == "unique"]
     names = [f"__v{i}" for i in range(len(terms))]
 
     if uniques:
         u = uniques[0].column
-        per_value = base.groupBy(F.col(f"__t.{u}").alias("__u")).agg(
+        per_value = df.groupBy(F.col(u).alias("__u")).agg(
             F.count(F.lit(1)).alias("__n"),
             *[F.count_if(t).alias(n) for (_, t), n in zip(terms, names)])
         totals = {n: F.sum(n) for n in names}
@@ -138,18 +154,26 @@ def evaluate(df: DataFrame, table: str, rules: Sequence[Rule],
         source = per_value
     else:
         totals = {n: F.count_if(t) for (_, t), n in zip(terms, names)}
-        source = base
+        source = df
     cells = []
     for r in rules:
         if r.kind == "unique" and r is uniques[0]:
             cells.append(_row(table, r.kind, r.column, F.coalesce(totals[r.column], F.lit(0))))
-        elif r.kind != "unique":
+        elif r.kind in ("not_null", "in_set", "between"):
             n = names[[t[0] for t in terms].index(r)]
             cells.append(_row(table, r.kind, r.column, F.coalesce(totals[n], F.lit(0))))
-    out = source.agg(F.array(*cells).alias("r")).select(F.inline("r"))
-    for r in uniques[1:]:
-        d = duplicate_rows(df, r.column)
-        out = out.unionByName(d.select(F.inline(F.array(_row(table, r.kind, r.column, F.col("n"))))))
+    branches = []
+    if cells:
+        branches.append(source.agg(F.array(*cells).alias("r")).select(F.inline("r")))
+    for r in rules:
+        if r.kind == "unique" and r is not uniques[0]:
+            d = duplicate_rows(df, r.column)
+        elif r.kind == "relationships":
+            d = orphan_rows(df, r.column, refs[r.to], r.field)
+        else:
+            continue
+        branches.append(d.select(F.inline(F.array(_row(table, r.kind, r.column, F.col("n"))))))
+    out = reduce(lambda a, b: a.unionByName(b), branches)
     return out.withColumn("success", F.col("violations") == 0)
 
 

@@ -110,3 +110,18 @@ def test_asof_join_hot_key_equals_window_join(spark):
     want = pit_join(facts, chain, key="user_id", ts="ts", version_cols=["sid"])
     got = asof_join(facts, sign, key="user_id", ts="ts", tie="sid", version_cols=["sid"])
     assert rows(got) == rows(want)
+
+
+def test_relationships_rule_moves_one_row_per_key(spark):
+    """A key held by a third of the rows: the relationships rule counts per
+    key value map-side, so no join ever sees the table's rows."""
+    from stratalake.operators.contracts import evaluate, relationships
+    facts = _hot_facts(spark, 30_000).withColumn(
+        "k", F.when(F.col("fid") == 5, F.lit(5_000)).otherwise(F.col("k")))   # one orphan row
+    dim = spark.range(1000).select(F.col("id").alias("k"))
+    rep = evaluate(facts, "f", [relationships("k", "dim", "k")], refs={"dim": dim})
+    assert rows(rep, "rule", "column_name", "violations") == [("relationships", "k", 1)]
+    plan = rep._jdf.queryExecution().executedPlan().toString()
+    assert "ExistenceJoin" not in plan
+    # the anti join's fact side is the per-value count, partially aggregated below its shuffle
+    assert "partial_count" in plan
