@@ -67,10 +67,15 @@ def pit_join(facts: DataFrame, versions: DataFrame, key: str, ts: str,
 
 _KIND, _TIE, _EV = "__kind", "__tie", "__ev"      # as-of working columns
 
+# ---- fixed values ---------------------------------------------------------------
+MAX_BUCKET_ROWS = 1_000_000        # as-of: rows of one (key, bucket) before it is cut
+# ---------------------------------------------------------------------------------
+
 
 def asof_join(facts: DataFrame, starts: DataFrame, key: str, ts: str, tie: str,
               version_cols: Sequence[str], bucket: Callable[[Column], Column] | None = None,
-              start_key: str | None = None, start_ts: str | None = None) -> DataFrame:
+              start_key: str | None = None, start_ts: str | None = None,
+              max_bucket_rows: int | None = MAX_BUCKET_ROWS) -> DataFrame:
     """Backward as-of LEFT join: every fact row picks up ``version_cols`` of
     the last row of ``starts`` with the same key and a start time at or
     before the fact's ``ts`` (last in (start time, ``tie``) order).  Facts
@@ -90,6 +95,13 @@ def asof_join(facts: DataFrame, starts: DataFrame, key: str, ts: str, tie: str,
     ``bucket`` must be non-decreasing in time (default: the minute), so a key
     holding a third of all rows is spread over as many tasks as it has
     buckets.
+
+    A bucket may itself be hot (a third of all rows in one key's minute).
+    Buckets are counted first (map-side partial counts).  One with more than
+    ``max_bucket_rows`` rows is cut into ``ceil(rows / max_bucket_rows)``
+    equal time slices between its own first and last timestamp.  The cut is a
+    deterministic, non-decreasing function of the time, so the result stays
+    exact.  Only rows sharing one identical timestamp cannot be cut apart.
     """
     sk, st = start_key or key, start_ts or ts
     s = (starts.where(F.col(sk).isNotNull() & F.col(st).isNotNull())
@@ -98,12 +110,13 @@ def asof_join(facts: DataFrame, starts: DataFrame, key: str, ts: str, tie: str,
                  _start_struct(F.col(st), F.col(tie), {c: F.col(c) for c in version_cols})
                  .alias(_EV)))
     u = facts.withColumn(_KIND, F.lit(1)).unionByName(s, allowMissingColumns=True)
-    return _asof(u, facts.columns, key, ts, version_cols, bucket)
+    return _asof(u, facts.columns, key, ts, version_cols, bucket, max_bucket_rows)
 
 
 def asof_within(df: DataFrame, key: str, ts: str, is_start: Column, tie: str,
                 fact_cols: Sequence[str], versions: dict[str, Column],
-                bucket: Callable[[Column], Column] | None = None) -> DataFrame:
+                bucket: Callable[[Column], Column] | None = None,
+                max_bucket_rows: int | None = MAX_BUCKET_ROWS) -> DataFrame:
     """:func:`asof_join` when facts and starts are rows of ONE table (e.g.
     purchase and signup events): rows where ``is_start`` holds are starts,
     the others are facts, and the table is scanned once.  ``versions`` maps
@@ -118,8 +131,7 @@ def asof_within(df: DataFrame, key: str, ts: str, is_start: Column, tie: str,
         F.when(start, F.col(tie)).alias(_TIE),
         F.when(start, _start_struct(F.col(ts), F.col(tie), versions)).alias(_EV),
     )
-    return _asof(u, list(fact_cols), key, ts, list(versions), bucket)
-
+    return _asof(u, list(fact_cols), key, ts, list(versions), bucket, max_bucket_rows)
 
 
 def _start_struct(t: Column, tie: Column, versions: dict[str, Column]) -> Column:
@@ -129,21 +141,40 @@ def _start_struct(t: Column, tie: Column, versions: dict[str, Column]) -> Column
 
 
 def _asof(u: DataFrame, fact_cols: Sequence[str], key: str, ts: str,
-          version_cols: Sequence[str], bucket: Callable[[Column], Column] | None) -> DataFrame:
+          version_cols: Sequence[str], bucket: Callable[[Column], Column] | None,
+          max_bucket_rows: int | None) -> DataFrame:
     bucket = bucket or (lambda c: F.date_trunc("minute", c))
-    b, first_in, before = "__bucket", "__in", "__before"
+    b, sub, first_in, before = "__bucket", "__slice", "__in", "__before"
     u = u.withColumn(b, bucket(F.col(ts)))
-    # one row per (key, bucket): its latest start (max compares __t, then
-    # __k), partially aggregated before its shuffle; then the latest start of
-    # all EARLIER buckets, a per-key window of one row per bucket
-    per_bucket = u.groupBy(key, b).agg(F.max(_EV).alias("__last"))
-    prior = Window.partitionBy(key).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
-    per_bucket = per_bucket.select(key, b, F.max("__last").over(prior).alias(before))
-    # the latest start so far inside the fact's own bucket
-    running = (Window.partitionBy(key, b).orderBy(ts, _KIND, _TIE)
+    if max_bucket_rows:
+        # hot buckets: exact counts (partial aggregation collapses them before
+        # the shuffle), then equal time slices between the bucket's own bounds
+        us = F.unix_micros(F.col(ts).cast("timestamp"))
+        hot = (u.groupBy(key, b)
+                .agg(F.count(F.lit(1)).alias("__n"), F.min(us).alias("__lo"),
+                     F.max(us).alias("__hi"))
+                .where(F.col("__n") > max_bucket_rows)
+                .select(key, b, F.ceil(F.col("__n") / F.lit(max_bucket_rows)).alias("__pieces"),
+                        "__lo", "__hi"))
+        piece = F.floor((us - F.col("__lo")).cast("double") * F.col("__pieces")
+                        / (F.col("__hi") - F.col("__lo") + 1).cast("double"))
+        u = (u.join(hot, [key, b], "left")
+              .withColumn(sub, F.coalesce(piece.cast("bigint"), F.lit(0).cast("bigint")))
+              .drop("__pieces", "__lo", "__hi"))
+    else:
+        u = u.withColumn(sub, F.lit(0).cast("bigint"))
+    # one row per (key, bucket, slice): its latest start (max compares __t,
+    # then __k), partially aggregated before its shuffle; then the latest
+    # start of all EARLIER slices, a per-key window of one row per slice
+    per_bucket = u.groupBy(key, b, sub).agg(F.max(_EV).alias("__last"))
+    prior = (Window.partitionBy(key).orderBy(b, sub)
+             .rowsBetween(Window.unboundedPreceding, -1))
+    per_bucket = per_bucket.select(key, b, sub, F.max("__last").over(prior).alias(before))
+    # the latest start so far inside the fact's own slice
+    running = (Window.partitionBy(key, b, sub).orderBy(ts, _KIND, _TIE)
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     u = u.withColumn(first_in, F.last(_EV, ignorenulls=True).over(running))
     out = (u.where(F.col(_KIND) == 1)
-           .join(per_bucket, [key, b], "left")
+           .join(per_bucket, [key, b, sub], "left")
            .withColumn(_EV, F.coalesce(first_in, before)))
     return out.select(*fact_cols, *[F.col(f"{_EV}.{c}").alias(c) for c in version_cols])

@@ -125,3 +125,33 @@ def test_relationships_rule_moves_one_row_per_key(spark):
     assert "ExistenceJoin" not in plan
     # the anti join's fact side is the per-value count, partially aggregated below its shuffle
     assert "partial_count" in plan
+
+
+def test_asof_join_cuts_a_hot_bucket(spark):
+    """One user's single minute holds most rows (with same-microsecond ties):
+    the bucket is cut into time slices and the result is still exact."""
+    from stratalake.operators.joins import asof_join
+    random.seed(11)
+    data = []
+    for i in range(6000):
+        hot = i % 3 != 0
+        user = 1 if hot else random.randint(2, 30)
+        kind = "signup" if random.random() < 0.25 else "purchase"
+        sec = random.randint(0, 59)
+        micro = random.choice([0, 0, 0, random.randint(0, 999_999)])   # many exact ties
+        minute = 7 if hot else random.randint(0, 59)
+        data.append((i, user, kind, f"2024-01-01 03:{minute:02d}:{sec:02d}.{micro:06d}"))
+    ev = spark.createDataFrame(data, "event_id long, user_id long, event_type string, ts string") \
+        .withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    sign = ev.where("event_type = 'signup'").select(F.col("event_id").alias("sid"), "user_id", "ts")
+    facts = ev.where("event_type = 'purchase'").select("event_id", "user_id", "ts")
+    chain = sign.select("sid", "user_id", F.col("ts").alias("valid_from"),
+                        F.lead("ts").over(Window.partitionBy("user_id").orderBy("ts", "sid"))
+                        .alias("valid_to"))
+    want = rows(pit_join(facts, chain, key="user_id", ts="ts", version_cols=["sid"]))
+    cut = asof_join(facts, sign, key="user_id", ts="ts", tie="sid", version_cols=["sid"],
+                    max_bucket_rows=300)
+    whole = asof_join(facts, sign, key="user_id", ts="ts", tie="sid", version_cols=["sid"],
+                      max_bucket_rows=None)
+    assert rows(cut) == want
+    assert rows(whole) == want
