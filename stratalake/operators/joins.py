@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expressions import valid_to_or_open
+from .windows import MAX_BUCKET_ROWS, slice_hot_buckets
 
 
 def keep_matching(df: DataFrame, ref: DataFrame, key: str,
@@ -67,9 +68,6 @@ def pit_join(facts: DataFrame, versions: DataFrame, key: str, ts: str,
 
 _KIND, _TIE, _EV = "__kind", "__tie", "__ev"      # as-of working columns
 
-# ---- fixed values ---------------------------------------------------------------
-MAX_BUCKET_ROWS = 1_000_000        # as-of: rows of one (key, bucket) before it is cut
-# ---------------------------------------------------------------------------------
 
 
 def asof_join(facts: DataFrame, starts: DataFrame, key: str, ts: str, tie: str,
@@ -96,12 +94,10 @@ def asof_join(facts: DataFrame, starts: DataFrame, key: str, ts: str, tie: str,
     holding a third of all rows is spread over as many tasks as it has
     buckets.
 
-    A bucket may itself be hot (a third of all rows in one key's minute).
-    Buckets are counted first (map-side partial counts).  One with more than
-    ``max_bucket_rows`` rows is cut into ``ceil(rows / max_bucket_rows)``
-    equal time slices between its own first and last timestamp.  The cut is a
-    deterministic, non-decreasing function of the time, so the result stays
-    exact.  Only rows sharing one identical timestamp cannot be cut apart.
+    A bucket may itself be hot (a third of all rows in one key's minute): one
+    with more than ``max_bucket_rows`` rows is cut into equal time slices
+    between its own first and last timestamp (:func:`slice_hot_buckets`); the
+    cut is deterministic and monotone in time, so the result stays exact.
     """
     sk, st = start_key or key, start_ts or ts
     s = (starts.where(F.col(sk).isNotNull() & F.col(st).isNotNull())
@@ -146,23 +142,7 @@ def _asof(u: DataFrame, fact_cols: Sequence[str], key: str, ts: str,
     bucket = bucket or (lambda c: F.date_trunc("minute", c))
     b, sub, first_in, before = "__bucket", "__slice", "__in", "__before"
     u = u.withColumn(b, bucket(F.col(ts)))
-    if max_bucket_rows:
-        # hot buckets: exact counts (partial aggregation collapses them before
-        # the shuffle), then equal time slices between the bucket's own bounds
-        us = F.unix_micros(F.col(ts).cast("timestamp"))
-        hot = (u.groupBy(key, b)
-                .agg(F.count(F.lit(1)).alias("__n"), F.min(us).alias("__lo"),
-                     F.max(us).alias("__hi"))
-                .where(F.col("__n") > max_bucket_rows)
-                .select(key, b, F.ceil(F.col("__n") / F.lit(max_bucket_rows)).alias("__pieces"),
-                        "__lo", "__hi"))
-        piece = F.floor((us - F.col("__lo")).cast("double") * F.col("__pieces")
-                        / (F.col("__hi") - F.col("__lo") + 1).cast("double"))
-        u = (u.join(hot, [key, b], "left")
-              .withColumn(sub, F.coalesce(piece.cast("bigint"), F.lit(0).cast("bigint")))
-              .drop("__pieces", "__lo", "__hi"))
-    else:
-        u = u.withColumn(sub, F.lit(0).cast("bigint"))
+    u = slice_hot_buckets(u, key, ts, b, sub, max_bucket_rows)
     # one row per (key, bucket, slice): its latest start (max compares __t,
     # then __k), partially aggregated before its shuffle; then the latest
     # start of all EARLIER slices, a per-key window of one row per slice

@@ -86,6 +86,10 @@ def test_next_in_key_equals_plain_lead(spark):
         Window.partitionBy("user_id").orderBy("ts", "event_id")))
     got = next_in_key(df, "user_id", "ts", "event_id", F.date_trunc("hour", "ts"))
     assert rows(got, "event_id", "next_ts") == rows(want, "event_id", "next_ts")
+    # hot hours cut into time slices: still exactly lead()
+    cut = next_in_key(df, "user_id", "ts", "event_id", F.date_trunc("hour", "ts"),
+                      max_bucket_rows=5)
+    assert rows(cut, "event_id", "next_ts") == rows(want, "event_id", "next_ts")
 
 
 def test_asof_join_hot_key_equals_window_join(spark):
