@@ -69,7 +69,6 @@ def pit_join(facts: DataFrame, versions: DataFrame, key: str, ts: str,
 _KIND, _TIE, _EV = "__kind", "__tie", "__ev"      # as-of working columns
 
 
-
 def asof_join(facts: DataFrame, starts: DataFrame, key: str, ts: str, tie: str,
               version_cols: Sequence[str], bucket: Callable[[Column], Column] | None = None,
               start_key: str | None = None, start_ts: str | None = None,
