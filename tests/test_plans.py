@@ -51,3 +51,11 @@ def test_small_single_file_source_is_spread(spark, tmp_path):
     assert spread_small(spark, df, min_bytes=1 << 40) is df        # too small to bother
     assert spread_small(spark, df, min_bytes=1, max_bytes=10) is df  # too large to move
     assert spread.where("id < 10").count() == 10
+
+
+def test_event_versions_join_has_no_range_condition(spark, sf):
+    """pit_events resolves versions with the as-of join: every join is a
+    pure equi join, so no purchase is compared with many signups."""
+    plan = _plan(QUERIES["pit_events"](spark, sf))
+    joins = [line for line in plan.splitlines() if "Join" in line]
+    assert joins and all(">=" not in j and "<" not in j for j in joins)
