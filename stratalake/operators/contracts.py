@@ -2,9 +2,10 @@
 
 A contract is a list of :class:`Rule`.  Evaluation compiles every row-level
 rule of one table into ONE aggregate (``count_if`` per rule, partial
-aggregation on the executors), plus one grouped count per ``unique`` rule and
-one grouped count + anti join of the distinct values per ``relationships``
-rule.  The result is a small report DataFrame, one row per rule; nothing but
+aggregation on the executors), plus one grouped count per further ``unique``
+rule.  A ``relationships`` rule joins that aggregate as a broadcast EXISTS
+when the referenced keys fit the broadcast threshold, and otherwise is a
+grouped count + anti join of the distinct values.  The result is a small report DataFrame, one row per rule; nothing but
 report rows ever reaches the driver.
 
 Nulls pass ``in_set``, ``between`` and ``unique`` and are not checked by
@@ -21,6 +22,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.tables import broadcast_threshold, size_in_bytes
 from .joins import missing_from
 
 REPORT_COLS = ("table_name", "rule", "column_name", "violations", "success")
@@ -120,33 +122,53 @@ def orphan_rows(df: DataFrame, column: str, ref: DataFrame, field: str) -> DataF
             .agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("n")))
 
 
+def _fits_broadcast(ref: DataFrame) -> bool:
+    """True when Catalyst's size estimate of ``ref`` is under the session's
+    broadcast threshold (the same test the planner applies to joins)."""
+    limit = broadcast_threshold(ref)
+    size = size_in_bytes(ref)
+    return limit >= 0 and size is not None and size <= limit
+
+
 def evaluate(df: DataFrame, table: str, rules: Sequence[Rule],
              refs: dict[str, DataFrame] | None = None) -> DataFrame:
     """Evaluate ``rules`` on one table in ONE plan; one report row per rule.
 
     * row-level rules become ``count_if`` terms of one aggregate;
     * the first ``unique`` rule groups by its column first (map-side partial
-      counts, so a hot value collapses before the shuffle) and the row-level
-      terms are summed through that grouping; further ``unique`` rules get
-      their own grouped count;
-    * a ``relationships`` rule counts rows per key value (map-side partial
-      counts) and anti joins the distinct values with the referenced keys
-      (:func:`orphan_rows`): what moves is one row per key value, never the
-      table's rows, and a hot key is no straggler.
-    The per-rule results are independent branches of one union.
+      counts, so a hot value collapses before the shuffle) and the other terms
+      are summed through that grouping; further ``unique`` rules get their own
+      grouped count;
+    * a ``relationships`` rule against a referenced key set that fits the
+      broadcast threshold is a correlated EXISTS term of the same aggregate,
+      planned as a broadcast existence join: one pass, and nothing is
+      shuffled by the key, so a hot key costs nothing extra.  Against a larger
+      referenced table it becomes its own branch (:func:`orphan_rows`): rows
+      are counted per key value map-side and only the distinct values meet
+      the referenced keys, so no shuffle ever carries a hot key's rows.
     """
+    base = df.alias("__t")
     terms: list[tuple[Rule, Column]] = []
-    for r in rules:
+    apart: list[Rule] = []
+    for i, r in enumerate(rules):
         if r.kind in ("not_null", "in_set", "between"):
             terms.append((r, r.violation()))
-        elif r.kind == "relationships" and (not refs or r.to not in refs):
-            raise KeyError(f"relationships rule needs table {r.to!r}")
+        elif r.kind == "relationships":
+            if not refs or r.to not in refs:
+                raise KeyError(f"relationships rule needs table {r.to!r}")
+            keys = refs[r.to].select(F.col(r.field).alias("__k"))
+            if not _fits_broadcast(keys):
+                apart.append(r)
+                continue
+            ref = keys.alias(f"__r{i}")
+            hit = ref.where(F.col(f"__r{i}.__k") == F.col(f"__t.{r.column}").outer()).exists()
+            terms.append((r, F.col(f"__t.{r.column}").isNotNull() & ~hit))
     uniques = [r for r in rules if r.kind == "unique"]
     names = [f"__v{i}" for i in range(len(terms))]
 
     if uniques:
         u = uniques[0].column
-        per_value = df.groupBy(F.col(u).alias("__u")).agg(
+        per_value = base.groupBy(F.col(f"__t.{u}").alias("__u")).agg(
             F.count(F.lit(1)).alias("__n"),
             *[F.count_if(t).alias(n) for (_, t), n in zip(terms, names)])
         totals = {n: F.sum(n) for n in names}
@@ -154,13 +176,14 @@ def evaluate(df: DataFrame, table: str, rules: Sequence[Rule],
         source = per_value
     else:
         totals = {n: F.count_if(t) for (_, t), n in zip(terms, names)}
-        source = df
+        source = base
+    in_terms = [t[0] for t in terms]
     cells = []
     for r in rules:
         if r.kind == "unique" and r is uniques[0]:
             cells.append(_row(table, r.kind, r.column, F.coalesce(totals[r.column], F.lit(0))))
-        elif r.kind in ("not_null", "in_set", "between"):
-            n = names[[t[0] for t in terms].index(r)]
+        elif any(r is x for x in in_terms):
+            n = names[next(i for i, x in enumerate(in_terms) if x is r)]
             cells.append(_row(table, r.kind, r.column, F.coalesce(totals[n], F.lit(0))))
     branches = []
     if cells:
@@ -168,7 +191,7 @@ def evaluate(df: DataFrame, table: str, rules: Sequence[Rule],
     for r in rules:
         if r.kind == "unique" and r is not uniques[0]:
             d = duplicate_rows(df, r.column)
-        elif r.kind == "relationships":
+        elif any(r is x for x in apart):
             d = orphan_rows(df, r.column, refs[r.to], r.field)
         else:
             continue

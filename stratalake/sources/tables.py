@@ -17,11 +17,20 @@ SPREAD_MAX_BYTES = 1 << 30
 # ---------------------------------------------------------------------------------
 
 
+def broadcast_threshold(df: DataFrame) -> int:
+    """The session's ``spark.sql.autoBroadcastJoinThreshold`` in bytes (-1: off)."""
+    try:
+        return int(df.sparkSession._jsparkSession.sessionState().conf()
+                   .autoBroadcastJoinThreshold())
+    except Exception:  # noqa: BLE001 - no JVM session: treat as off
+        return -1
+
+
 def source_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-def _size_in_bytes(df: DataFrame) -> int | None:
+def size_in_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate of a plan (from the file index; reads no data)."""
     try:
         return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
@@ -42,7 +51,7 @@ def spread_small(spark: SparkSession, df: DataFrame, min_bytes: int = SPREAD_MIN
     most ``max_bytes`` ever moves here.  Tables under ``min_bytes`` are not
     worth a stage.
     """
-    size = _size_in_bytes(df)
+    size = size_in_bytes(df)
     if size is None or not min_bytes <= size <= max_bytes:
         return df
     cores = spark.sparkContext.defaultParallelism
