@@ -86,3 +86,20 @@ def test_asof_ties_gaps_and_nulls(spark):
     assert out.columns == ["fid", "k", "ts", "sid"]
     assert rows(out, "fid", "sid") == [(10, 101), (11, 101), (12, 102), (13, 102),
                                        (14, None), (15, None), (16, None), (17, None)]
+
+
+def test_asof_within_one_table(spark):
+    """Facts and starts from one table: starts never come out as facts (also
+    those without key or time), facts without key or time stay unresolved."""
+    from pyspark.sql import functions as F
+    from stratalake.operators.joins import asof_within
+    ev = spark.createDataFrame([
+        (1, 1, "s", _ts(1)), (2, 1, "p", _ts(2)), (3, 1, "s", _ts(3)), (4, 1, "p", _ts(3)),
+        (5, None, "s", _ts(1)), (6, 1, "s", None),          # unusable starts: dropped
+        (7, None, "p", _ts(4)), (8, 1, "p", None),          # facts without key / time
+        (9, 2, "p", _ts(5)),                                 # key without starts
+    ], "eid long, k long, kind string, ts timestamp_ntz")
+    out = asof_within(ev, key="k", ts="ts", is_start=F.col("kind") == "s", tie="eid",
+                      fact_cols=["eid", "k", "ts"], versions={"sid": F.col("eid")})
+    assert out.columns == ["eid", "k", "ts", "sid"]
+    assert rows(out, "eid", "sid") == [(2, 1), (4, 3), (7, None), (8, None), (9, None)]
