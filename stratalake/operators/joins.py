@@ -140,7 +140,13 @@ def _asof(u: DataFrame, fact_cols: Sequence[str], key: str, ts: str,
           max_bucket_rows: int | None) -> DataFrame:
     bucket = bucket or (lambda c: F.date_trunc("minute", c))
     b, sub, first_in, before = "__bucket", "__slice", "__in", "__before"
-    u = u.withColumn(b, bucket(F.col(ts)))
+    # facts without key or time can match nothing: they bypass the windows
+    # (a null key is a group of its own and may be huge), returned with nulls
+    unmatched = F.col(key).isNull() | F.col(ts).isNull()
+    ev_type = u.schema[_EV].dataType
+    bypass = u.where(unmatched & (F.col(_KIND) == 1)).select(
+        *fact_cols, *[F.lit(None).cast(ev_type[c].dataType).alias(c) for c in version_cols])
+    u = u.where(~unmatched).withColumn(b, bucket(F.col(ts)))
     u = slice_hot_buckets(u, key, ts, b, sub, max_bucket_rows)
     # one row per (key, bucket, slice): its latest start (max compares __t,
     # then __k), partially aggregated before its shuffle; then the latest
@@ -156,4 +162,5 @@ def _asof(u: DataFrame, fact_cols: Sequence[str], key: str, ts: str,
     out = (u.where(F.col(_KIND) == 1)
            .join(per_bucket, [key, b, sub], "left")
            .withColumn(_EV, F.coalesce(first_in, before)))
-    return out.select(*fact_cols, *[F.col(f"{_EV}.{c}").alias(c) for c in version_cols])
+    out = out.select(*fact_cols, *[F.col(f"{_EV}.{c}").alias(c) for c in version_cols])
+    return out.unionByName(bypass)

@@ -32,11 +32,24 @@ def slice_hot_buckets(df: DataFrame, key: str, ts: str, bucket: str, out: str,
                      "__lo", "__hi"))
     piece = F.floor((us - F.col("__lo")).cast("double") * F.col("__pieces")
                     / (F.col("__hi") - F.col("__lo") + 1).cast("double"))
-    return (df.join(hot, [key, bucket], "left")
+    return (_join_null_safe(df, hot, [key, bucket])
               .withColumn(out, F.coalesce(piece.cast("bigint"), F.lit(0).cast("bigint")))
               .drop("__pieces", "__lo", "__hi"))
 
 
+def _join_null_safe(left: DataFrame, right: DataFrame, cols: list[str]) -> DataFrame:
+    """Left join on ``cols`` where null equals null (a null key is one window
+    group, so its rows must find their group's row); keeps ``left``'s key
+    columns.  Planned as an equi join."""
+    r = right.select(*[F.col(c).alias(f"__r_{c}") for c in cols],
+                     *[c for c in right.columns if c not in cols])
+    cond = None
+    for c in cols:
+        eq = left[c].eqNullSafe(r[f"__r_{c}"])
+        cond = eq if cond is None else cond & eq
+    return left.join(r, cond, "left").drop(*[f"__r_{c}" for c in cols])
+
+
 def next_in_key(df: DataFrame, key: str, ts: str, tie: str, bucket: Column,
                 out: str = "next_ts", max_bucket_rows: int | None = MAX_BUCKET_ROWS) -> DataFrame:
     """``out`` = ``ts`` of the next row of the same ``key`` in (ts, tie) order,
@@ -59,6 +72,6 @@ def next_in_key(df: DataFrame, key: str, ts: str, tie: str, bucket: Column,
                                       .alias("__first"))
     across = Window.partitionBy(key).orderBy(b, s)
     nxt = firsts.select(key, b, s, F.lead(F.col("__first.t")).over(across).alias("__next_b"))
-    return (d.join(nxt, [key, b, s], "left")
+    return (_join_null_safe(d, nxt, [key, b, s])
              .withColumn(out, F.coalesce("__next_in", "__next_b"))
              .drop(b, s, "__next_in", "__next_b"))

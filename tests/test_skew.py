@@ -80,6 +80,8 @@ def test_next_in_key_equals_plain_lead(spark):
         user = 1 if i % 3 == 0 else random.randint(2, 40)   # user 1 holds a third
         data.append((i, user, f"2024-01-0{1 + random.randint(0, 4)} "
                               f"{random.randint(0, 23):02d}:{random.randint(0, 59):02d}:00"))
+    data += [(5000, None, "2024-01-01 05:00:00"), (5001, None, "2024-01-03 07:00:00"),
+             (5002, None, None), (5003, 1, None)]      # null keys form a group, like lead()
     df = spark.createDataFrame(data, "event_id long, user_id long, ts string") \
         .withColumn("ts", F.col("ts").cast("timestamp_ntz"))
     want = df.withColumn("next_ts", F.lead("ts").over(
