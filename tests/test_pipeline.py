@@ -141,3 +141,28 @@ def test_landed_day_equals_single_extract(spark, sf, built):
     for t in TABLES:
         landed = pipe.lake.read_raw(spark, d, t, RAW[t])
         assert _same(landed, fx.raw_extract(spark, sf, t, b)), t
+
+
+def test_fact_build_plan_at_cluster_settings(spark, built):
+    """With broadcasts off (as for 100 TB tables) the stored fact build
+    shuffles the line table once (by order_id); orders go by customer for the
+    point-in-time join and then by order_id; no other exchange."""
+    import re
+    from stratalake.plans import gold as G
+    pipe, _ = built
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        stg = G.stage_all({t: pipe.silver(t) for t in TABLES})
+        fact = G.fact_sales(stg["order_items"], stg["orders"], pipe.gold("dim_customer"))
+        plan = fact._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    keys = sorted(re.sub(r"#\d+L?", "", k)
+                  for k in re.findall(r"Exchange hashpartitioning\(([a-z_]+#\d+L?)", plan))
+    assert keys == ["__vkey", "customer_id", "order_id", "order_id"]
+    assert "order_items" in plan and plan.count("Exchange") == 4
