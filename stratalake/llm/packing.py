@@ -17,6 +17,8 @@ by ``pack`` and carried by ``pack_rows``.
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -35,6 +37,85 @@ CACHE_WORDS = 800_000
 
 _STATE: dict = {}
 
+#: Words that need no normalising beyond lower case: printable ASCII and Latin-1 letters.
+_PLAIN = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+_MARK = "\ue000"  # closes a word; never part of a plain one
+
+
+class PlainBpe:
+    """The same merges run by tiktoken's faster loop, for plain words.
+
+    A word's last symbol carries the end mark, which is merged to it first.
+    tiktoken merges neighbours whenever their joined bytes are a token, the
+    tokenizer only where it has that merge.  Both agree if every token's own
+    symbols merge back to it, since then neighbours that make up a token
+    always are its merge; that is checked for all merges when loading.
+    """
+
+    def __init__(self, spec: dict):
+        import regex
+        import tiktoken
+
+        self.pattern = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
+        vocab = spec["model"]["vocab"]
+        merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in spec["model"]["merges"]]
+        if not self.consistent(merges):
+            raise ValueError("merges do not rebuild their own tokens")
+        shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+        letters = {b: chr(b) for b in shown}
+        letters |= {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in letters)}
+        byte = {c: b for b, c in letters.items()}
+        mark = _MARK.encode()
+
+        def raw(token: str) -> bytes:
+            end = token.endswith("</w>")
+            return bytes(byte[c] for c in (token[:-4] if end else token)) + (mark if end else b"")
+
+        ranks = {mark[:2]: 0, mark: 1}
+        ids = [0, 0]
+
+        def add(key: bytes, token: str) -> None:
+            if key not in ranks:
+                ranks[key] = len(ids)
+                ids.append(vocab[token])
+
+        for b, c in letters.items():
+            add(bytes([b]) + mark, c + "</w>")
+        for a, b in merges:
+            add(raw(a) + raw(b), a + b)
+        for b, c in letters.items():
+            add(bytes([b]), c)
+        self.ids = np.array(ids, np.uint32)
+        self.ends = np.zeros(len(ids), bool)
+        for key, rank in ranks.items():
+            self.ends[rank] = key.endswith(mark)
+        self.bpe = tiktoken.Encoding("plain words", pat_str=f"[^{_MARK}]+{_MARK}", mergeable_ranks=ranks,
+                                     special_tokens={})
+
+    @staticmethod
+    def consistent(merges: list[tuple[str, str]]) -> bool:
+        rank = {m: i for i, m in enumerate(merges)}
+        none = len(merges)
+        for a, b in merges:
+            token = a + b
+            end = token.endswith("</w>")
+            symbols = list(token[:-4] if end else token)
+            if end:
+                symbols[-1] += "</w>"
+            while len(symbols) > 1:
+                best, i = min((rank.get((symbols[i], symbols[i + 1]), none), i) for i in range(len(symbols) - 1))
+                if best == none:
+                    return False
+                symbols[i:i + 2] = [symbols[i] + symbols[i + 1]]
+        return True
+
+    def encode(self, words: list[str]) -> list[np.ndarray]:
+        parts = [self.pattern.findall(w.lower()) for w in words]
+        out = np.array(self.bpe.encode_ordinary("".join(p + _MARK for ps in parts for p in ps)), np.int64)
+        last = np.flatnonzero(self.ends[out]) + 1
+        cuts = np.concatenate([[0], last])[np.cumsum([len(p) for p in parts])]
+        return np.split(self.ids[out], cuts[:-1])
+
 
 class WordEncoder:
     """Ids of texts by a tokenizer that drops white space and ends each word's last id by ``</w>``.
@@ -47,9 +128,23 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = False
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        self.plain = None
+        if spec["model"].get("end_of_word_suffix") == "</w>":
+            self.plain = PlainBpe(spec)
+        self.special = tuple(t["content"] for t in spec["added_tokens"])
         self.reset()
 
+    def _ids(self, words: list[str]) -> list[np.ndarray]:
+        plain = [w for w in words if self.plain and _PLAIN.fullmatch(w) and not any(t in w for t in self.special)]
+        known = dict(zip(plain, self.plain.encode(plain))) if plain else {}
+        rest = [w for w in words if w not in known]
+        if rest:
+            known |= {w: np.array(c.ids, np.uint32) for w, c in
+                      zip(rest, self.tok.encode_batch_fast(rest, add_special_tokens=False))}
+        return [known[w] for w in words]
+
     def reset(self) -> None:
         self.index: dict[str, int] = {}
         self.flat = np.zeros(1 << 16, np.uint32)
@@ -58,13 +153,12 @@ class WordEncoder:
         self.used = 0
 
     def _learn(self, words: list[str]) -> None:
-        coded = self.tok.encode_batch_fast(words, add_special_tokens=False)
+        coded = self._ids(words)
         n = len(self.index)
         while n + len(words) > len(self.start):
             self.start = np.concatenate([self.start, np.zeros_like(self.start)])
             self.size = np.concatenate([self.size, np.zeros_like(self.size)])
-        for w, c in zip(words, coded):
-            ids = c.ids
+        for w, ids in zip(words, coded):
             k = len(ids)
             while self.used + k > len(self.flat):
                 self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
