@@ -221,7 +221,8 @@ def links(docs: DataFrame, threshold: float = SIMILARITY, block: int = BLOCK
     met = materialize(members.groupBy("class").agg(F.collect_set("hub").alias("hubs"))
                       .join(classes.select("class", "n_docs", "least"), "class"), "met")
     ids = met.select(F.col("least").alias("__id")).distinct()
-    texts = docs.join(ids, F.col("doc_id").cast("long").eqNullSafe(F.col("__id"))).select("text")
+    # the ids grow with the input: merged at every size, never broadcast
+    texts = docs.join(ids.hint("merge"), F.col("doc_id").cast("long").eqNullSafe(F.col("__id"))).select("text")
     grams = (_grams(texts).join(met.select("class", "n_docs", "hubs"), "class").groupBy("class")
              .agg(F.first("n_docs").alias("n_docs"), F.first("hubs").alias("hubs"), F.first("grams").alias("grams")))
     grams = materialize(grams, "grams")
