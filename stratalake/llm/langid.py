@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import prepare
+from .common import materialize, prepare
 
 ORDER = 4
 SAMPLE_DOCS = 2000
@@ -215,7 +215,9 @@ def fit(docs: DataFrame, learn: Column, sample_docs: int = SAMPLE_DOCS, max_ngra
               .select("doc_id", "lang").distinct().withColumn("__key", key).withColumn("__place", place)
               .where(F.col("__place") <= sample_docs)
               .select("doc_id", "lang", (F.col("__place") % 4 == 0).alias("calibrate")))
-    sample = docs.select("doc_id", "lang", "text").join(chosen, ["doc_id", "lang"])
+    # written first: the planner then knows how few ids there are and need not shuffle all texts
+    chosen = materialize(chosen, "langid-ids")
+    sample = materialize(docs.select("doc_id", "lang", "text").join(chosen, ["doc_id", "lang"]), "langid-sample")
     best = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
     counts: dict[str, dict[str, int]] = defaultdict(dict)
     for r in (count_ngrams(sample.where("not calibrate")).withColumn("__best", best)
