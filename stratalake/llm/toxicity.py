@@ -151,7 +151,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, learn: Column, rows: int
     clean = (labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id")
              .agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("__max")).where("toxic = __max").drop("__max"))
     order = F.md5(F.concat(F.lit("toxicity|"), F.col("doc_id").cast("string")))
-    chosen = clean.where(learn).orderBy(order).limit(rows)
+    chosen = materialize(clean.where(learn).orderBy(order).limit(rows), "toxic-ids")
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     return texts.join(chosen, "doc_id").dropDuplicates(["doc_id"])
 
