@@ -54,22 +54,18 @@ def reply_paths(messages: DataFrame, paths_per_tree: int | None = 1) -> DataFram
         .join(ids, F.col("parent_id") == F.col("__known"), "left")
         .select("message_id", F.col("__known").alias("up"), "score"), "chat-nodes")
     leaves = nodes.join(nodes.select(F.col("up").alias("message_id")).distinct(), "message_id", "left_anti")
-    # pointers[k]: each message's ancestor 2^k above, where there is one
-    pointers, up = [], nodes.where("up is not null").select("message_id", "up")
-    while not up.isEmpty():
+    # pointers[k]: each message's ancestor 2^k above, where there is one; only a cycle's outlast the messages
+    pointers, up, n = [], nodes.where("up is not null").select("message_id", "up"), nodes.count()
+    while (1 << len(pointers)) < n and not up.isEmpty():
         pointers.append(up)
-        if len(pointers) > 40:
-            break
         above = up.select(F.col("message_id").alias("up"), F.col("up").alias("__up2"))
         up = materialize(up.join(above, "up").select("message_id", F.col("__up2").alias("up")), "chat-up")
-        if _only_cycles(up, nodes, len(pointers)):
-            break
     walk = leaves.select(F.col("message_id").alias("path_id"), "message_id", F.lit(0).cast("long").alias("above"))
     for k, up in enumerate(pointers):
         step = (walk.join(up, "message_id")
                 .select("path_id", F.col("up").alias("message_id"), (F.col("above") + (1 << k)).alias("above")))
-        walk = walk.unionByName(step)
-    walk = materialize(walk.join(nodes.select("message_id", "score"), "message_id"), "chat-walk")
+        walk = materialize(walk.unionByName(step), "chat-walk")
+    walk = walk.join(nodes.select("message_id", "score"), "message_id")
     ranked = walk.groupBy("path_id").agg(F.max_by("message_id", "above").alias("__root"),
                                          F.max("above").alias("__depth"), F.avg("score").alias("__mean"))
     ranked = ranked.withColumn("rank", F.row_number().over(
@@ -80,11 +76,6 @@ def reply_paths(messages: DataFrame, paths_per_tree: int | None = 1) -> DataFram
             .select("path_id", "message_id", (F.col("__depth") - F.col("above")).alias("depth"), "rank"))
 
 
-def _only_cycles(up: DataFrame, nodes: DataFrame, rounds: int) -> bool:
-    """True when pointers outlast the number of messages, which only a cycle's do."""
-    return rounds >= 16 and (1 << rounds) > nodes.count()
-
-
 def format_paths(paths: DataFrame, messages: DataFrame, learned_role: str = LEARNED_ROLE) -> DataFrame:
     """One conversation per path: (path_id, rank, segments, formatted).
 
