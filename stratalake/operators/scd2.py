@@ -33,8 +33,9 @@ def scd2_rebuild(history: DataFrame, key: str, updated_at: str, batch: str,
 
     1. per (key, batch) keep the row the refine would pick (newest
        ``updated_at``, then ``tie_break``);
-    2. keep a batch's row only if its ``updated_at`` beats every earlier
-       batch's (running max over preceding batches);
+    2. keep a key's first row, and a later batch's only if its ``updated_at``
+       beats every earlier batch's (running max over preceding batches); a
+       first row without ``updated_at`` is never beaten, as in the merge;
     3. ``valid_to`` is the next kept version's ``valid_from``.
 
     Step 1 is a top-1 per (key, batch) that Catalyst runs partly before its
@@ -46,8 +47,11 @@ def scd2_rebuild(history: DataFrame, key: str, updated_at: str, batch: str,
     by_batch = Window.partitionBy(key).orderBy(batch)
     before = by_batch.rowsBetween(Window.unboundedPreceding, -1)
     staged = (latest_per_key(history.select(*attrs, batch), [key, batch], ordered)
+              .withColumn("__nth", F.row_number().over(by_batch))
+              .withColumn("__first", F.first(updated_at).over(by_batch))
               .withColumn("__prev", F.max(updated_at).over(before))
-              .where(F.col("__prev").isNull() | (F.col(updated_at) > F.col("__prev"))))
+              .where((F.col("__nth") == 1)
+                     | (F.col("__first").isNotNull() & (F.col(updated_at) > F.col("__prev")))))
     return staged.select(
         *attrs,
         version_key(key, updated_at).alias("scd_id"),

@@ -19,7 +19,7 @@ from .. import TABLES
 from ..operators import contracts as C
 from ..operators.reconcile import reconcile
 from ..sources.lake import (Lake, current_version, prune_versions, read_version, table_version,
-                            version_tag, write_version)
+                            next_version, version_tag, write_version)
 from ..sources.schemas import BRONZE, EXTRACT_DATE, GOLD, INGESTED_AT, RAW, SILVER
 from . import gold as G
 from . import silver as S
@@ -92,19 +92,21 @@ class Pipeline:
         return self.lake.state_path(f"newest_{table}")
 
     def _advance_newest(self, extract_date: str, stamp: str) -> None:
-        """Merge the batch just landed into the newest-row state (a new version;
-        a retried ingest rebuilds its own version from the previous one)."""
-        tag = version_tag(stamp)
+        """Merge the batch just landed into the newest-row state, whatever its stamp.
+
+        Versions are numbered by commit, not by stamp, so a late or replayed
+        batch reaches every later version; merging a batch again changes
+        nothing, since the state holds one row per key."""
 
         def one(t: str) -> None:
             path = self._newest_path(t)
-            prev = current_version(self.spark, path, before=tag)
+            prev = current_version(self.spark, path)
             batch = self.bronze(t).where(
                 (F.col(EXTRACT_DATE) == F.lit(extract_date).cast("date"))
                 & (F.col(INGESTED_AT) == F.lit(stamp).cast("timestamp_ntz")))
             rows = batch if prev is None else \
                 read_version(self.spark, path, prev, BRONZE[t]).unionByName(batch)
-            write_version(S.newest_rows(rows, t), path, tag)
+            write_version(S.newest_rows(rows, t), path, next_version(prev))
             if prev is not None:
                 prune_versions(self.spark, path, keep_from=prev)
 

@@ -30,7 +30,6 @@ SEGMENT_SPELLINGS = (" smb", "Mid ", " ENT ")          # by (key + changes) % 3
 CATEGORIES = ("HW", "SW", "ACC")                       # by product key % 3
 OPEN_STATUS = ("CANCELLED", "REFUNDED", "NEW")         # by order key % 3
 STATUS_MAP = {"P": "PAID", "F": "SHIPPED"}
-ORPHAN_OFFSET = 10_000_000
 NEW_CUSTOMER_MOD, NEW_CUSTOMER_REM = 50, 49            # absent from batch 1
 DUP_CUSTOMER_MOD, DUP_CUSTOMER_REM = 50, 10            # sent twice per extract
 NULL_STATUS_REM, ORPHAN_REM = 17, 33                   # order key % 100
@@ -158,7 +157,7 @@ def _orders(spark, sf_dir, batches, variant) -> DataFrame:
               .otherwise(_pick(OPEN_STATUS, k % 3)))
     return o.select(
         k.alias("order_id"),
-        F.when(k % 100 == ORPHAN_REM, F.col("o_custkey") + ORPHAN_OFFSET)
+        F.when(k % 100 == ORPHAN_REM, -F.col("o_custkey"))
          .otherwise(F.col("o_custkey")).alias("customer_id"),
         F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("order_ts"),
         status.alias("status"),

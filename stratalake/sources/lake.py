@@ -1,21 +1,21 @@
 """Lake layout and the table-level sources and sinks.
 
-One root holds every layer::
-
-    <root>/raw/<table>/extract_date=<d> landing zone, one folder per table and day
-    <root>/bronze/<table>               append-only history, partitioned by _extract_date
-    <root>/silver/<table>               current clean snapshot (overwrite)
-    <root>/serving/<table>              serving copy the contracts read
-    <root>/gold/<table>                 star schema (dims, fact, snapshot)
+Landed extracts lie in ``raw`` by table and day.  ``bronze`` only grows, a
+partition for each extract date; ``silver`` and ``gold`` are replaced as wholes
+(``Lake.overwrite``), ``serving`` is the copy of silver that contracts read and
+``state`` holds versioned tables of the incremental mode.
 
 The root is any Hadoop-compatible URI (object store, HDFS, local).  The table
 format is a parameter: ``parquet`` by default, ``delta`` where the connector is
 on the classpath.  Writes go through Spark's job commit protocol, so a lost
-executor only re-runs its tasks and a failed job leaves no partial table.
+executor only re-runs its tasks; a failed overwrite leaves the table it was to
+replace.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -82,10 +82,29 @@ class Lake:
 
     def overwrite(self, df: DataFrame, path: str, partition_by: list[str] | None = None,
                   fmt: str | None = None) -> None:
-        w = df.write.format(fmt or self.fmt).mode("overwrite")
+        """Replace a table; a failed write leaves the old one as it was.
+
+        Delta commits atomically itself.  Other formats are written beside the
+        table first and put in its place by renames once the write job has
+        committed; between the two renames readers find no table."""
+        fmt = fmt or self.fmt
+        new = path if fmt == "delta" else f"{path.rstrip('/')}__new_{uuid.uuid4().hex}"
+        w = df.write.format(fmt).mode("overwrite")
         if partition_by:
             w = w.partitionBy(*partition_by)
-        w.save(path)
+        w.save(new)
+        if new == path:
+            return
+        spark = df.sparkSession
+        fs, there = _fs(spark, path)
+        old = _fs(spark, new.replace("__new_", "__old_"))[1]
+        if fs.exists(there) and not fs.rename(there, old):
+            raise OSError(f"cannot move {path} aside")
+        if not fs.rename(_fs(spark, new)[1], there):
+            fs.rename(old, there)
+            raise OSError(f"cannot put the new table at {path}")
+        fs.delete(old, True)
+        spark.catalog.refreshByPath(path)
 
     # ---- metadata (S9-S11) -------------------------------------------------
     def exists(self, spark: SparkSession, path: str, fmt: str | None = None) -> bool:
@@ -114,6 +133,11 @@ def version_tag(ingested_at: str) -> str:
     return (digits + "0" * 20)[:20]
 
 
+def next_version(current: str | None) -> str:
+    """The commit number after ``current``, fixed-width."""
+    return f"{int(current or 0) + 1:020d}"
+
+
 def write_version(df: DataFrame, path: str, version: str) -> None:
     (df.withColumn(VERSION_COL, F.lit(version))
        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

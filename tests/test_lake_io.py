@@ -45,3 +45,17 @@ def test_partition_pruning_on_extract_date(spark, scratch):
     q = lake.read(spark, path).where(F.col("_extract_date") == F.lit("2024-01-01").cast("date"))
     plan = q._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(_extract_date" in plan
+
+
+def test_failed_overwrite_keeps_the_old_table(spark, scratch):
+    import pytest
+    from pyspark.sql import functions as F
+
+    from stratalake.sources.lake import Lake
+    lake, path = Lake(scratch), f"{scratch}/t"
+    lake.overwrite(spark.range(10), path)
+    with pytest.raises(Exception, match="on purpose"):
+        lake.overwrite(spark.range(5).select(F.raise_error(F.lit("on purpose")).cast("long").alias("id")), path)
+    assert lake.read(spark, path).count() == 10
+    lake.overwrite(lake.read(spark, path).where("id < 3"), path)
+    assert lake.read(spark, path).count() == 3
