@@ -102,39 +102,19 @@ def _chain(p: str = "", variant: str = "clean") -> list[tuple[str, str]]:
          bt.extract_date AS _extract_date, bt.ingested_at AS _ingested_at
   FROM lineitem l JOIN {p}orders_keyed ok ON l.l_orderkey = ok.o_orderkey
   JOIN batches bt ON bt.b = ok.b"""),
-        (f"{p}silver_customers", f"""
-  SELECT customer_id, name, segment, city, updated_at FROM (
-    SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY
-             _ingested_at DESC NULLS LAST, updated_at DESC NULLS LAST,
-             name ASC NULLS FIRST, segment ASC NULLS FIRST, city ASC NULLS FIRST) AS rn
-    FROM (SELECT customer_id, name, upper(trim(segment)) AS segment,
-                 coalesce(city, 'UNKNOWN') AS city, updated_at, _ingested_at
-          FROM {p}bronze_customers) c) r
-  WHERE rn = 1"""),
-        (f"{p}silver_products", f"""
-  SELECT product_id, name, category, unit_price FROM (
-    SELECT *, row_number() OVER (PARTITION BY product_id ORDER BY
-             _ingested_at DESC NULLS LAST, name ASC NULLS FIRST, category ASC NULLS FIRST,
-             unit_price ASC NULLS FIRST) AS rn
-    FROM {p}bronze_products) r
-  WHERE rn = 1"""),
+        (f"{p}clean_customers", f"""
+  FROM {p}bronze_customers
+  SELECT * REPLACE (upper(trim(segment)) AS segment, coalesce(city, 'UNKNOWN') AS city)"""),
+        (f"{p}silver_customers", _newest(f"{p}clean_customers", "customer_id",
+                                         ["updated_at DESC NULLS LAST", "name", "segment", "city"])),
+        (f"{p}silver_products", _newest(f"{p}bronze_products", "product_id", ["name", "category", "unit_price"])),
         (f"{p}silver_orders", f"""
-  SELECT order_id, customer_id, order_ts, status FROM (
-    SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY
-             _ingested_at DESC NULLS LAST, customer_id ASC NULLS FIRST,
-             order_ts ASC NULLS FIRST, status ASC NULLS FIRST) AS rn
-    FROM {p}bronze_orders) r
-  WHERE rn = 1 AND status IS NOT NULL
-    AND customer_id IN (SELECT customer_id FROM {p}silver_customers)"""),
+  FROM ({_newest(f"{p}bronze_orders", "order_id", ["customer_id", "order_ts", "status"])})
+  SEMI JOIN {p}silver_customers USING (customer_id) WHERE status IS NOT NULL"""),
         (f"{p}silver_order_items", f"""
-  SELECT order_item_id, order_id, product_id, quantity, unit_price FROM (
-    SELECT *, row_number() OVER (PARTITION BY order_item_id ORDER BY
-             _ingested_at DESC NULLS LAST, product_id ASC NULLS FIRST,
-             quantity ASC NULLS FIRST, unit_price ASC NULLS FIRST) AS rn
-    FROM {p}bronze_order_items) r
-  WHERE rn = 1 AND quantity > 0
-    AND order_id IN (SELECT order_id FROM {p}silver_orders)
-    AND product_id IN (SELECT product_id FROM {p}silver_products)"""),
+  FROM ({_newest(f"{p}bronze_order_items", "order_item_id", ["product_id", "quantity", "unit_price"])})
+  SEMI JOIN {p}silver_orders USING (order_id)
+  SEMI JOIN {p}silver_products USING (product_id) WHERE quantity > 0"""),
         (f"{p}stg_orders", f"""
   SELECT CAST(order_id AS BIGINT) AS order_id, CAST(customer_id AS BIGINT) AS customer_id,
          CAST(order_ts AS TIMESTAMP) AS order_ts, CAST(status AS VARCHAR) AS status
@@ -148,26 +128,24 @@ def _chain(p: str = "", variant: str = "clean") -> list[tuple[str, str]]:
   SELECT CAST(product_id AS BIGINT) AS product_id, CAST(name AS VARCHAR) AS name,
          CAST(category AS VARCHAR) AS category, CAST(unit_price AS DECIMAL(12,2)) AS unit_price
   FROM {p}silver_products"""),
-        # snapshot: a version per batch whose updated_at beats all earlier batches
-        (f"{p}cust_batch_top", f"""
-  SELECT * FROM (
-    SELECT *, row_number() OVER (PARTITION BY customer_id, _ingested_at ORDER BY
-             updated_at DESC NULLS LAST, name ASC NULLS FIRST, segment ASC NULLS FIRST,
-             city ASC NULLS FIRST) AS rn
-    FROM (SELECT customer_id, name, upper(trim(segment)) AS segment,
-                 coalesce(city, 'UNKNOWN') AS city,
-                 CAST(updated_at AS TIMESTAMP) AS updated_at, _ingested_at
-          FROM {p}bronze_customers) s) r
-  WHERE rn = 1"""),
+        # snapshot: each customer's batches replayed one by one against its open version
+        (f"{p}customer_batches", f"""
+  SELECT * REPLACE (updated_at::TIMESTAMP AS updated_at),
+         row_number() OVER (PARTITION BY customer_id ORDER BY _ingested_at) AS nth
+  FROM ({_newest(f"{p}clean_customers", "customer_id, _ingested_at",
+                 ["updated_at DESC NULLS LAST", "name", "segment", "city"])})"""),
+        (f"{p}replay", f"""
+  SELECT customer_id, nth, updated_at AS open_since, true AS opens FROM {p}customer_batches WHERE nth = 1
+  UNION ALL
+  SELECT b.customer_id, b.nth, CASE WHEN b.updated_at > r.open_since THEN b.updated_at ELSE r.open_since END,
+         coalesce(b.updated_at > r.open_since, false)
+  FROM {p}replay r JOIN {p}customer_batches b ON b.customer_id = r.customer_id AND b.nth = r.nth + 1"""),
         (f"{p}customer_snapshot", f"""
   SELECT customer_id, name, segment, city, updated_at,
-         md5(CAST(customer_id AS VARCHAR) || '|' || strftime(updated_at, '%Y-%m-%d %H:%M:%S.%f')) AS scd_id,
-         updated_at AS valid_from,
-         lead(updated_at) OVER (PARTITION BY customer_id ORDER BY _ingested_at) AS valid_to
-  FROM (SELECT *, max(updated_at) OVER (PARTITION BY customer_id ORDER BY _ingested_at
-                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev_max
-        FROM {p}cust_batch_top) k
-  WHERE prev_max IS NULL OR updated_at > prev_max"""),
+         md5(customer_id || '|' || strftime(updated_at, '%Y-%m-%d %H:%M:%S.%f')) AS scd_id, updated_at AS valid_from,
+         (SELECT min(later.open_since) FROM {p}replay later
+          WHERE later.opens AND later.customer_id = v.customer_id AND later.nth > v.nth) AS valid_to
+  FROM {p}customer_batches v JOIN {p}replay USING (customer_id, nth) WHERE opens"""),
         (f"{p}dim_customer", _dim_customer_sql(f"{p}customer_snapshot")),
         (f"{p}dim_product", f"""
   SELECT product_id AS product_sk, product_id, name, category, unit_price FROM {p}stg_products"""),
@@ -190,16 +168,25 @@ def _dim_customer_sql(snapshot: str) -> str:
   FROM {snapshot}"""
 
 
+def _newest(rel: str, keys: str, ties: list[str]) -> str:
+    """The row of each key that was ingested last, ties in the given order (nulls first unless it says otherwise)."""
+    order = ", ".join(["_ingested_at DESC NULLS LAST", *[t if " " in t else f"{t} NULLS FIRST" for t in ties]])
+    lineage = "_extract_date" if "_ingested_at" in keys else "_extract_date, _ingested_at"
+    return f"""
+  SELECT * EXCLUDE ({lineage}) FROM (
+    SELECT unnest(pick) FROM (SELECT first(r ORDER BY {order}) AS pick FROM {rel} r GROUP BY {keys}))"""
+
+
 def _fact_sql(p: str, dim: str, open_upper: bool = True) -> str:
-    upper = "coalesce(c.valid_to, TIMESTAMP '9999-12-31')" if open_upper else "c.valid_to"
+    until = "ifnull(valid_to, 'infinity'::TIMESTAMP)" if open_upper else "valid_to"
     return f"""
-  SELECT i.order_item_id, i.order_id, c.customer_sk, i.product_id AS product_sk,
-         CAST(i.order_ts AS DATE) AS date_day, i.quantity, i.unit_price,
-         CAST(i.quantity * i.unit_price AS DECIMAL(14,2)) AS amount, i.status
-  FROM (SELECT oi.*, o.customer_id, o.order_ts, o.status
-        FROM {p}stg_order_items oi JOIN {p}stg_orders o ON oi.order_id = o.order_id) i
-  LEFT JOIN {dim} c ON c.customer_id = i.customer_id
-        AND i.order_ts >= c.valid_from AND i.order_ts < {upper}"""
+  SELECT order_item_id, order_id, customer_sk, product_id AS product_sk, order_ts::DATE AS date_day,
+         quantity, unit_price, (quantity * unit_price)::DECIMAL(14,2) AS amount, status
+  FROM {p}stg_order_items
+  JOIN (SELECT order_id, order_ts, status, customer_sk
+        FROM {p}stg_orders placed
+        LEFT JOIN (SELECT customer_id AS owner, customer_sk, valid_from AS since, {until} AS until FROM {dim}) version
+          ON owner = customer_id AND since <= order_ts AND until > order_ts) resolved USING (order_id)"""
 
 
 def _with(final: str, extra: list[tuple[str, str]] | None = None,
@@ -209,7 +196,7 @@ def _with(final: str, extra: list[tuple[str, str]] | None = None,
         ctes += _chain("e_", v)
     ctes += extra or []
     parts = [BATCHES_SQL] + [f"{n} AS ({sql}\n)" for n, sql in ctes if sql is not None]
-    return "WITH " + ",\n".join(parts) + "\n" + final
+    return "WITH RECURSIVE " + ",\n".join(parts) + "\n" + final
 
 
 TABLES = ("customers", "products", "orders", "order_items")
@@ -380,20 +367,11 @@ def _recon_breaks() -> str:
 
 
 def _silver_as_of() -> str:
-    extra = [
-        ("a_customers", """
-  SELECT customer_id FROM (
-    SELECT customer_id, row_number() OVER (PARTITION BY customer_id ORDER BY _ingested_at DESC) rn
-    FROM bronze_customers WHERE _ingested_at <= TIMESTAMP '1997-01-01 01:00:00') r WHERE rn = 1"""),
-    ]
-    return _with("""
-  SELECT order_id, customer_id, order_ts, status FROM (
-    SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY
-             _ingested_at DESC NULLS LAST, customer_id ASC NULLS FIRST,
-             order_ts ASC NULLS FIRST, status ASC NULLS FIRST) AS rn
-    FROM bronze_orders WHERE _ingested_at <= TIMESTAMP '1997-01-01 01:00:00') r
-  WHERE rn = 1 AND status IS NOT NULL
-    AND customer_id IN (SELECT customer_id FROM a_customers)""", extra=extra)
+    until = "WHERE _ingested_at <= TIMESTAMP '1997-01-01 01:00:00'"
+    extra = [("a_orders", f"FROM bronze_orders {until}"), ("a_customers", f"FROM bronze_customers {until}")]
+    return _with(f"""
+  FROM ({_newest("a_orders", "order_id", ["customer_id", "order_ts", "status"])})
+  SEMI JOIN a_customers USING (customer_id) WHERE status IS NOT NULL""", extra=extra)
 
 
 def _refine_stats() -> str:
@@ -427,11 +405,9 @@ FROM p LEFT JOIN v ON v.user_id = p.user_id AND p.ts >= v.valid_from
 
 def _validity_audit() -> str:
     return _with("""
-  SELECT count(*) AS checked_rows,
-         count(*) FILTER (WHERE f.date_day < CAST(d.valid_from AS DATE)
-                          OR f.date_day >= CAST(coalesce(d.valid_to, TIMESTAMP '9999-12-31') AS DATE))
-           AS violations
-  FROM fact_sales f JOIN dim_customer d ON f.customer_sk = d.customer_sk""")
+  SELECT count(*) AS checked_rows, count(*) - count(*) FILTER (inside) AS violations
+  FROM (SELECT date_day >= valid_from::DATE AND (valid_to IS NULL OR date_day < valid_to::DATE) AS inside
+        FROM fact_sales JOIN dim_customer USING (customer_sk))""")
 
 
 def _layer_inspect() -> str:
