@@ -3,10 +3,10 @@
 A contract is a list of :class:`Rule`.  Evaluation compiles every row-level
 rule of one table into ONE aggregate (``count_if`` per rule, partial
 aggregation on the executors), plus one grouped count per further ``unique``
-rule.  A ``relationships`` rule joins that aggregate as a broadcast EXISTS
-when the referenced keys fit the broadcast threshold, and otherwise is a
-grouped count + anti join of the distinct values.  The result is a small report DataFrame, one row per rule; nothing but
-report rows ever reaches the driver.
+rule.  All ``relationships`` rules of a table share one more pass: a grouped
+count of their values and an anti join of the distinct ones.  The result is a
+small report DataFrame, one row per rule; nothing but report rows ever reaches
+the driver.
 
 Nulls pass ``in_set``, ``between`` and ``unique`` and are not checked by
 ``relationships``; ``not_null`` is the rule that catches them.
@@ -22,7 +22,6 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.tables import broadcast_threshold, size_in_bytes
 from .joins import missing_from
 
 REPORT_COLS = ("table_name", "rule", "column_name", "violations", "success")
@@ -108,26 +107,27 @@ def duplicate_rows(df: DataFrame, column: str) -> DataFrame:
               .agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("n")))
 
 
-def orphan_rows(df: DataFrame, column: str, ref: DataFrame, field: str) -> DataFrame:
-    """J6 core: rows whose non-null ``column`` value is absent from
-    ``ref.field`` (one-row DataFrame ``n``).
+def orphan_rows(df: DataFrame, rules: Sequence[Rule], refs: dict[str, DataFrame]) -> DataFrame:
+    """J6 core: for each relationships rule, the rows whose non-null value is
+    absent from the referenced column (one row, columns ``n0``, ``n1``, ...).
 
-    Rows are counted per value first, with map-side partial counts, so a value
-    held by a third of all rows collapses before any shuffle; only the
-    distinct values then meet the referenced keys, in an anti join (which
-    cannot fan out, even if the referenced key repeats)."""
-    per_value = (df.where(F.col(column).isNotNull())
-                   .groupBy(column).agg(F.count(F.lit(1)).alias("n")))
-    return (missing_from(per_value, ref, column, field)
-            .agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("n")))
+    One pass over ``df`` for all rules: rows are counted per (rule, value) with
+    map-side partial counts, so a value held by a third of all rows collapses
+    before any shuffle; only the distinct values then meet the referenced keys,
+    in an anti join (which cannot fan out, even if a referenced key repeats).
+    Referenced keys are cast to the checked column's type and both compared as
+    text, which lets rules on columns of different types share the join."""
+    def entry(i: int, value: Column) -> Column:
+        return F.struct(F.lit(i).alias("rule"), value.cast("string").alias("value"))
 
-
-def _fits_broadcast(ref: DataFrame) -> bool:
-    """True when Catalyst's size estimate of ``ref`` is under the session's
-    broadcast threshold (the same test the planner applies to joins)."""
-    limit = broadcast_threshold(ref)
-    size = size_in_bytes(ref)
-    return limit >= 0 and size is not None and size <= limit
+    cells = F.array(*[F.when(F.col(r.column).isNotNull(), entry(i, F.col(r.column))) for i, r in enumerate(rules)])
+    per_value = df.select(F.explode(cells).alias("__k")).groupBy("__k").agg(F.count(F.lit(1)).alias("n"))
+    known = reduce(DataFrame.unionAll, [
+        refs[r.to].select(entry(i, F.col(r.field).cast(df.schema[r.column].dataType)).alias("__k"))
+        for i, r in enumerate(rules)])
+    return missing_from(per_value, known, "__k").agg(*[
+        F.coalesce(F.sum(F.when(F.col("__k.rule") == i, F.col("n"))), F.lit(0)).cast("bigint").alias(f"n{i}")
+        for i in range(len(rules))])
 
 
 def evaluate(df: DataFrame, table: str, rules: Sequence[Rule],
@@ -139,30 +139,21 @@ def evaluate(df: DataFrame, table: str, rules: Sequence[Rule],
       counts, so a hot value collapses before the shuffle) and the other terms
       are summed through that grouping; further ``unique`` rules get their own
       grouped count;
-    * a ``relationships`` rule against a referenced key set that fits the
-      broadcast threshold is a correlated EXISTS term of the same aggregate,
-      planned as a broadcast existence join: one pass, and nothing is
-      shuffled by the key, so a hot key costs nothing extra.  Against a larger
-      referenced table it becomes its own branch (:func:`orphan_rows`): rows
-      are counted per key value map-side and only the distinct values meet
-      the referenced keys, so no shuffle ever carries a hot key's rows.
+    * ``relationships`` rules are one more branch (:func:`orphan_rows`): rows
+      are counted per key value map-side and only the distinct values meet the
+      referenced keys, so no shuffle ever carries a hot key's rows.  The plan
+      is the same at every size.
     """
     base = df.alias("__t")
     terms: list[tuple[Rule, Column]] = []
     apart: list[Rule] = []
-    for i, r in enumerate(rules):
+    for r in rules:
         if r.kind in ("not_null", "in_set", "between"):
             terms.append((r, r.violation()))
         elif r.kind == "relationships":
             if not refs or r.to not in refs:
                 raise KeyError(f"relationships rule needs table {r.to!r}")
-            keys = refs[r.to].select(F.col(r.field).alias("__k"))
-            if not _fits_broadcast(keys):
-                apart.append(r)
-                continue
-            ref = keys.alias(f"__r{i}")
-            hit = ref.where(F.col(f"__r{i}.__k") == F.col(f"__t.{r.column}").outer()).exists()
-            terms.append((r, F.col(f"__t.{r.column}").isNotNull() & ~hit))
+            apart.append(r)
     uniques = [r for r in rules if r.kind == "unique"]
     names = [f"__v{i}" for i in range(len(terms))]
 
@@ -188,14 +179,12 @@ def evaluate(df: DataFrame, table: str, rules: Sequence[Rule],
     branches = []
     if cells:
         branches.append(source.agg(F.array(*cells).alias("r")).select(F.inline("r")))
-    for r in rules:
-        if r.kind == "unique" and r is not uniques[0]:
-            d = duplicate_rows(df, r.column)
-        elif any(r is x for x in apart):
-            d = orphan_rows(df, r.column, refs[r.to], r.field)
-        else:
-            continue
-        branches.append(d.select(F.inline(F.array(_row(table, r.kind, r.column, F.col("n"))))))
+    for r in uniques[1:]:
+        branches.append(duplicate_rows(df, r.column).select(F.inline(F.array(
+            _row(table, r.kind, r.column, F.col("n"))))))
+    if apart:
+        branches.append(orphan_rows(df, apart, refs).select(F.inline(F.array(*[
+            _row(table, r.kind, r.column, F.col(f"n{i}")) for i, r in enumerate(apart)]))))
     out = reduce(lambda a, b: a.unionByName(b), branches)
     return out.withColumn("success", F.col("violations") == 0)
 

@@ -64,11 +64,12 @@ def scd2_merge(history: DataFrame | None, staged: DataFrame, key: str,
                updated_at: str) -> DataFrame:
     """SC1: apply one staged batch (current rows, one per key) to a history.
 
-    Only open versions meet the batch: a FULL OUTER join on the key classifies
-    every key as carried (no batch row, or not newer), changed (close the open
-    version at the new ``updated_at`` and open a new one) or new.  Closed
-    versions pass through untouched, without a shuffle.  The result must be
-    written to a new location before it replaces ``history``.
+    One pass: a FULL OUTER join whose condition admits only open versions.  A
+    version is carried (closed before, no batch row, or not newer) or changed
+    (closed at the new ``updated_at``, and a new one opens); a batch row that
+    met no open version is new.  ``history`` occurs once in the plan, so merges
+    chained without a write grow linearly.  The result must be written to a new
+    location before it replaces ``history``.
     """
     attrs = staged.columns
     opened = F.struct(*[F.col(f"s.{c}").alias(c) for c in attrs],
@@ -78,9 +79,9 @@ def scd2_merge(history: DataFrame | None, staged: DataFrame, key: str,
     if history is None:
         return staged.alias("s").select(opened.alias("v")).select("v.*")
 
-    open_ = history.where(F.col("valid_to").isNull()).alias("o")
-    closed = history.where(F.col("valid_to").isNotNull())
-    j = open_.join(staged.alias("s"), F.col(f"o.{key}") == F.col(f"s.{key}"), "full_outer")
+    j = history.alias("o").join(
+        staged.alias("s"),
+        (F.col(f"o.{key}") == F.col(f"s.{key}")) & F.col("o.valid_to").isNull(), "full_outer")
     o_here = F.col(f"o.{key}").isNotNull()
     s_here = F.col(f"s.{key}").isNotNull()
     changed = o_here & s_here & (F.col(f"s.{updated_at}") > F.col(f"o.{updated_at}"))
@@ -90,7 +91,6 @@ def scd2_merge(history: DataFrame | None, staged: DataFrame, key: str,
                        F.when(changed, F.col(f"s.{updated_at}"))
                         .otherwise(F.col("o.valid_to")).alias("valid_to"))
     rows = F.array(F.when(o_here, carried), F.when(s_here & (~o_here | changed), opened))
-    merged = (j.select(F.explode(rows).alias("v"))
-               .where(F.col("v").isNotNull())
-               .select("v.*"))
-    return closed.select(*merged.columns).unionByName(merged)
+    return (j.select(F.explode(rows).alias("v"))
+             .where(F.col("v").isNotNull())
+             .select("v.*"))

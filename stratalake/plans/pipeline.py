@@ -238,9 +238,12 @@ class Pipeline:
     # ---- orchestration -----------------------------------------------------
     def run_day(self, extract_date: str, ingested_at: str | None = None,
                 raw: dict[str, DataFrame] | None = None) -> None:
-        """PL1: ingest -> refine -> validate (gate) -> gold + model tests (gate)."""
+        """PL1: ingest -> refine -> validate (gate) -> gold + model tests (gate).
+
+        The refine's kept and dropped rows of each table go to the log."""
         self.ingest(extract_date, ingested_at, raw)
-        self.refine()
+        kept = {r.table_name: (r.kept, r.dropped) for r in self.refine().collect()}
+        self.log.append(("kept/dropped", extract_date, kept))
         self.validate()
         self.build_gold()
 

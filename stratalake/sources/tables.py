@@ -17,15 +17,6 @@ SPREAD_MAX_BYTES = 1 << 30
 # ---------------------------------------------------------------------------------
 
 
-def broadcast_threshold(df: DataFrame) -> int:
-    """The session's ``spark.sql.autoBroadcastJoinThreshold`` in bytes (-1: off)."""
-    try:
-        return int(df.sparkSession._jsparkSession.sessionState().conf()
-                   .autoBroadcastJoinThreshold())
-    except Exception:  # noqa: BLE001 - no JVM session: treat as off
-        return -1
-
-
 def source_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 

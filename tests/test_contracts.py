@@ -60,6 +60,18 @@ def test_gold_model_tests_pass_and_catch_unknown_product(spark, sf):
     assert _failed(rep) == {("fact_sales", "relationships", "product_sk")}
 
 
+def test_relationships_count_every_rule_in_one_pass(spark):
+    fact = spark.createDataFrame([("a", 1), ("a", 9), ("z", 1), (None, 9), ("z", None)], "c string, p int")
+    refs = {"cust": spark.createDataFrame([("a",), ("a",), (None,)], "k string"),
+            "prod": spark.createDataFrame([(1,), (2,)], "k long")}
+    rules = [C.relationships("c", "cust", "k"), C.relationships("p", "prod", "k")]
+    rep = {r.column_name: r.violations for r in C.evaluate(fact, "f", rules, refs).collect()}
+    assert rep == {"c": 2, "p": 2}
+    plan = C.orphan_rows(fact, rules, refs)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD [c") == 1
+    assert C.failed_rules(C.evaluate(fact.where("c = 'a' and p = 1"), "f", rules, refs)) == []
+
+
 def test_two_open_versions_fail_singular_test(spark, sf):
     g = Chain(spark, sf).gold
     dim = g["dim_customer"]

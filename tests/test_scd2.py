@@ -31,6 +31,14 @@ def test_rebuild_equals_replay_on_fixture(spark, sf):
     assert rows(replay, *SNAP_COLS) == rows(ch.snapshot, *SNAP_COLS)
 
 
+def test_chained_merges_grow_linearly(spark, sf):
+    bronze = Chain(spark, sf).bronze["customers"]
+    plans = [_replay(bronze, [fx.ingested_at(b) for b in (1, 2, 3, 3, 3, 3)][:n])
+             ._jdf.queryExecution().optimizedPlan().toString() for n in (2, 4, 6)]
+    scans = [p.count("Relation [") for p in plans]
+    assert scans[2] - scans[1] == scans[1] - scans[0] > 0
+
+
 def test_versions_only_on_real_change(spark, sf):
     dim = Chain(spark, sf).dim_customer
     changed_keys = {r.customer_id for r in
