@@ -84,7 +84,7 @@ def _chain(p: str = "", variant: str = "clean") -> list[tuple[str, str]]:
   FROM orders {early}"""),
         (f"{p}bronze_orders", f"""
   SELECT o_orderkey AS order_id,
-         CASE WHEN o_orderkey % 100 = 33 THEN -o_custkey ELSE o_custkey END AS customer_id,
+         CASE WHEN o_orderkey % 100 = 33 THEN -1 - o_custkey ELSE o_custkey END AS customer_id,
          strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS order_ts,
          CASE WHEN o_orderkey % 100 = 17 THEN NULL
               WHEN o_orderstatus = 'P' THEN 'PAID'

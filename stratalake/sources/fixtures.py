@@ -157,7 +157,7 @@ def _orders(spark, sf_dir, batches, variant) -> DataFrame:
               .otherwise(_pick(OPEN_STATUS, k % 3)))
     return o.select(
         k.alias("order_id"),
-        F.when(k % 100 == ORPHAN_REM, -F.col("o_custkey"))
+        F.when(k % 100 == ORPHAN_REM, -1 - F.col("o_custkey"))
          .otherwise(F.col("o_custkey")).alias("customer_id"),
         F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("order_ts"),
         status.alias("status"),
