@@ -14,7 +14,9 @@ the smallest one they share.
 Defined results: a null or empty text has no n-grams, no links and is a class
 of its own; repeated rows are copies of each other; equal sets link (similarity
 1); a null doc_id is kept and never names a class that has another; an empty
-table gives no rows; extra columns are ignored.
+table gives no rows; extra columns are ignored.  ``keep_one`` tells rows apart
+by doc_id and text, so an id with several texts, and texts without id, keep one
+row in each class they are in; rows equal in both are one document.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -74,22 +76,28 @@ def band_hashes(grams: np.ndarray) -> np.ndarray:
     return h.view(np.int64)
 
 
+def row_key() -> Column:
+    """Digest of doc_id and text, never null: rows of equal key are copies of one document."""
+    return F.md5(F.concat(F.coalesce(F.col("doc_id").cast("long").cast("string"), F.lit("")), F.lit("|"),
+                          F.coalesce(F.concat(F.lit("|"), F.col("text")), F.lit(""))).cast("binary"))
+
+
 def _signed(docs: DataFrame) -> DataFrame:
-    """(doc_id, class, bands): class is a digest of the n-gram set, null without n-grams."""
+    """(doc_id, key, class, bands): class is a digest of the n-gram set, null without n-grams."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = []
-            for doc_id, text in zip(pdf["doc_id"], pdf["text"]):
+            for doc_id, key, text in zip(pdf["doc_id"], pdf["key"], pdf["text"]):
                 grams = shingles(text)
                 if len(grams):
-                    out.append((doc_id, _class_of(grams), band_hashes(grams)))
+                    out.append((doc_id, key, _class_of(grams), band_hashes(grams)))
                 else:
-                    out.append((doc_id, None, None))
-            yield pd.DataFrame(out, columns=["doc_id", "class", "bands"]).astype({"doc_id": "Int64"})
+                    out.append((doc_id, key, None, None))
+            yield pd.DataFrame(out, columns=["doc_id", "key", "class", "bands"]).astype({"doc_id": "Int64"})
 
-    return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-            .mapInPandas(run, "doc_id long, class string, bands array<long>"))
+    return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("key"), "text")
+            .mapInPandas(run, "doc_id long, key string, class string, bands array<long>"))
 
 
 def _block_pairs(members: DataFrame, grams: DataFrame, block: int) -> DataFrame:
@@ -204,31 +212,41 @@ def _grams(texts: DataFrame) -> DataFrame:
 
 def links(docs: DataFrame, threshold: float = SIMILARITY, block: int = BLOCK
           ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(documents: doc_id, class), (classes: class, n_docs, least), (links: src, dst, n_links).
+    """(documents: doc_id, key, class), (classes: class, n_docs, least, first), (links: src, dst, n_links).
 
-    A links row with src = dst adds n_links documents to that class's count;
+    ``first`` orders the documents of a class: by doc_id, those without id
+    last, then by key.  A links row with src = dst adds n_links documents to that class's count;
     the others are links of a spanning forest of the classes.
     """
     prepare(docs.sparkSession)
     signed = materialize(_signed(docs), "signed")
     classes = materialize(signed.where("class is not null").groupBy("class").agg(
-        F.count(F.lit(1)).alias("n_docs"), F.min("doc_id").alias("least"), F.first("bands").alias("bands")), "classes")
+        F.count(F.lit(1)).alias("n_docs"), F.min("doc_id").alias("least"),
+        F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key")).alias("first"),
+        F.first("bands").alias("bands")), "classes")
     banded = classes.select("class", F.explode("bands").alias("band"))
     hubs = (banded.groupBy("band").agg(F.min("class").alias("hub"), F.count(F.lit(1)).alias("__n"))
             .where("__n > 1").select("band", "hub"))
     members = materialize(banded.join(hubs, "band").select("hub", "class").distinct(), "members")
     # n-grams of the classes that met another, made again from one document of each
     met = materialize(members.groupBy("class").agg(F.collect_set("hub").alias("hubs"))
-                      .join(classes.select("class", "n_docs", "least"), "class"), "met")
-    ids = met.select(F.col("least").alias("__id")).distinct()
-    # the ids grow with the input: merged at every size, never broadcast
-    texts = docs.join(ids.hint("merge"), F.col("doc_id").cast("long").eqNullSafe(F.col("__id"))).select("text")
+                      .join(classes.select("class", "n_docs", "first"), "class"), "met")
+    keys = met.select(F.col("first.key").alias("__key"))
+    # the keys grow with the input: merged at every size, never broadcast
+    texts = docs.select("text", row_key().alias("__key")).join(keys.hint("merge"), "__key").select("text")
     grams = (_grams(texts).join(met.select("class", "n_docs", "hubs"), "class").groupBy("class")
              .agg(F.first("n_docs").alias("n_docs"), F.first("hubs").alias("hubs"), F.first("grams").alias("grams")))
     grams = materialize(grams, "grams")
     found = _block_pairs(members, grams, block).mapInPandas(
         _verify(threshold), "src string, dst string, n_links long")
-    return signed.select("doc_id", "class"), classes.drop("bands"), materialize(found, "links")
+    return signed.select("doc_id", "key", "class"), classes.drop("bands"), materialize(found, "links")
+
+
+def _components(classes: DataFrame, found: DataFrame) -> DataFrame:
+    """``classes`` with the ``component`` of classes that links connect."""
+    parts = connected_components(found.select("src", "dst").where("src <> dst"))
+    return (classes.join(parts.withColumnRenamed("node", "class"), "class", "left")
+            .withColumn("component", F.coalesce("component", "class")))
 
 
 def near_duplicates(docs: DataFrame, threshold: float = SIMILARITY, block: int = BLOCK) -> DataFrame:
@@ -240,10 +258,8 @@ def near_duplicates(docs: DataFrame, threshold: float = SIMILARITY, block: int =
     """
     signed, classes, found = links(docs, threshold, block)
     counts = found.where("src = dst").groupBy(F.col("src").alias("class")).agg(F.sum("n_links").alias("__links"))
-    parts = connected_components(found.select("src", "dst").where("src <> dst"))
-    parts = materialize(classes.join(parts.withColumnRenamed("node", "class"), "class", "left")
-                        .join(counts, "class", "left")
-                        .select("class", "least", F.coalesce("component", "class").alias("component"),
+    parts = materialize(_components(classes, found).join(counts, "class", "left")
+                        .select("class", "least", "component",
                                 (F.coalesce("__links", F.lit(0)) + F.col("n_docs") - 1).alias("n_links")), "parts")
     ids = parts.groupBy("component").agg(F.min("least").alias("class_id"))
     table = parts.join(ids, "component").select(F.col("class").alias("__class"), "class_id", "n_links")
@@ -253,9 +269,12 @@ def near_duplicates(docs: DataFrame, threshold: float = SIMILARITY, block: int =
 
 
 def keep_one(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
-    """``docs`` with one document of each class: the one that names it, its first row if the id repeats."""
-    ids = (near_duplicates(docs, threshold).where(F.col("doc_id").eqNullSafe(F.col("class_id")))
-           .select(F.col("doc_id").alias("__id")).distinct())
-    kept = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
-    first = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))
-    return kept.withColumn("__first", first).where("__first = 1").drop("__first")
+    """``docs`` with one row of each connected class: its first by doc_id (no id last) and text digest."""
+    signed, classes, found = links(docs, threshold)
+    named = _components(classes, found).groupBy("component").agg(F.min("first").alias("first")).select("first.key")
+    alone = signed.where("class is null").select("key").distinct()
+    keys = materialize(named.unionByName(alone).withColumnRenamed("key", "__key"), "kept-keys")
+    kept = docs.withColumn("__key", row_key()).join(keys, "__key", "left_semi")
+    others = F.struct(*[c for c in docs.columns if c != "text"]).cast("string")  # copies may differ in other columns
+    first = F.row_number().over(Window.partitionBy("__key").orderBy(F.xxhash64(others)))
+    return kept.withColumn("__first", first).where("__first = 1").drop("__first", "__key")

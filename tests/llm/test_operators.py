@@ -194,6 +194,18 @@ def test_blocks_count_every_link_once(spark, odd_docs, no_docs):
     assert kept.columns == odd_docs.columns and kept.where("doc_id = 1").count() == 1
 
 
+def test_keep_one_row_of_each_class_whatever_the_ids(spark):
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(30)) for x in "abcd")
+    near = " ".join([*b.split()[:-1], "end"])  # 25 of 27 n-grams shared
+    rows = [(None, a), (None, b), (None, near), (None, c), (7, d), (7, b + " x"), (3, b), (3, b), (9, ""), (9, None),
+            (8, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("lang", F.lit("en"))
+    kept = ngram_join.keep_one(docs)
+    assert kept.columns == docs.columns
+    got = collections.Counter((r["doc_id"], r["text"]) for r in kept.collect())
+    assert got == collections.Counter([(None, a), (None, c), (7, d), (3, b), (9, ""), (9, None), (8, "")])
+
+
 # 7 fingerprints
 
 def test_sketches_recover_the_exact_likeness(spark):
