@@ -4,12 +4,14 @@ The standard library's streaming parser turns a page into lines, one for each
 block of text, with the number of tags it holds and the elements around it.
 Lines in menus, headers, footers, sidebars, notices, adverts, forms, scripts,
 styles or reader comments (by tag, role or the words of class and id) have
-ratio 0; the others their characters per tag.  The ratios are smoothed with a
-Gaussian and lines above the page's threshold form the content clusters.  The
-region is the innermost element that holds most of the clusters' text (an
-article or main element, where there is one), and all lines of the region that
-are not marked as boilerplate are the text, so short paragraphs beside long
-ones stay.
+ratio 0; the others their characters per tag.  Class and id words do not mark
+what holds a main element or the page's article or h1, and ids in headings do
+not count.  The ratios are smoothed with a Gaussian and lines above the page's
+threshold form the content clusters.  The region is the outermost article and
+main elements (an articleBody where there are none) if they hold most of the
+clusters' text, else the smallest container that holds all clusters; all lines
+of the region that are not marked as boilerplate are the text, so short
+paragraphs beside long ones stay.
 
 Character references are decoded, white space in a block becomes one space,
 blocks are joined in page order by two newlines.  Defined results: null or
@@ -50,20 +52,30 @@ MARKS = frozenset("ad ads advert adverts advertisement advertising sponsor spons
                   "login signin signup register search pagination pager paywall skip copyright colophon".split())
 HEADERS = frozenset("header topbar siteheader pageheader".split())
 REGIONS = frozenset(("article", "main"))
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Elements that hold many blocks; a region is one of them.
+CONTAINERS = frozenset("article body center details dir div html main section".split())
+#: Words of what others wrote, which may be articles as well.
+OTHERS = frozenset("comment comments replies disqus ad advert sponsored related recommended".split())
+#: How an element is marked: by a word of class or id, by one of ``OTHERS``, by tag, role or attributes.
+WORD, OTHER, HARD = 1, 2, 3
 SIGMA = 1.0
 _SPLIT = re.compile(r"[^a-z0-9]+")
 _SPACE = re.compile(r"\s+")
 
 
 class _Lines(HTMLParser):
-    """Parser events -> lines (text, tags, link characters, chain of open elements, marked, heading)."""
+    """Parser events -> lines (text, tags, link characters, innermost element, heading)."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.lines: list[tuple] = []
-        self.open: list[tuple[str, int, bool]] = []    # tag, element number, marked (inherited)
+        self.open: list[tuple[str, int]] = []    # tag, element number
+        self.tag: list[str] = [""]
         self.parent: list[int] = [-1]
+        self.mark: list[int] = [0]
         self.region: list[bool] = [False]
+        self.body: list[bool] = [False]          # itemprop articleBody
         self.text: list[str] = []
         self.tags = self.links = self.in_link = 0
         self.heading = False
@@ -72,8 +84,8 @@ class _Lines(HTMLParser):
         if self.text:
             text = _SPACE.sub(" ", "".join(self.text)).strip()
             if text:
-                number, marked = (self.open[-1][1], self.open[-1][2]) if self.open else (0, False)
-                self.lines.append((text, self.tags + 1, self.links, number, marked, self.heading))
+                number = self.open[-1][1] if self.open else 0
+                self.lines.append((text, self.tags + 1, self.links, number, self.heading))
                 self.tags = 0
             self.text, self.links = [], 0
 
@@ -81,19 +93,23 @@ class _Lines(HTMLParser):
         self._flush()
         del self.open[i:]
 
-    def _marked(self, tag: str, attrs: dict) -> bool:
-        inside = any(self.region[n] for _, n, _ in self.open)
+    def _marked(self, tag: str, attrs: dict) -> int:
+        inside = any(self.region[n] or self.body[n] for _, n in self.open)
         if tag in DROPPED or tag == "header" and not inside or "hidden" in attrs:
-            return True
+            return HARD
         if (attrs.get("aria-hidden") or "").lower() == "true" or (attrs.get("role") or "").lower() in ROLES:
-            return True
+            return HARD
         if "display:none" in (attrs.get("style") or "").replace(" ", "").lower():
-            return True
+            return HARD
+        names = (attrs.get("class") or "").lower()
+        if tag not in HEADINGS and not any(t in HEADINGS for t, _ in self.open):  # headings have generated ids
+            names += " " + (attrs.get("id") or "").lower()
+        words = set(_SPLIT.split(names))
         if tag in ("html", "body", "main", "article"):
-            words = set(_SPLIT.split((attrs.get("class") or "").lower() + " " + (attrs.get("id") or "").lower()))
-            return bool(words & {"comment", "comments", "ad", "advert", "sponsored", "related"}) and tag == "article"
-        words = set(_SPLIT.split((attrs.get("class") or "").lower() + " " + (attrs.get("id") or "").lower()))
-        return bool(words & MARKS) or bool(words & HEADERS) and not inside and tag not in ("h1", "h2")
+            return OTHER if tag == "article" and words & OTHERS else 0
+        if words & OTHERS:
+            return OTHER
+        return WORD if words & MARKS or words & HEADERS and not inside and tag not in ("h1", "h2") else 0
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         self.tags += 1
@@ -120,9 +136,11 @@ class _Lines(HTMLParser):
         if tag in BLOCKS or own:
             number = len(self.parent)
             self.parent.append(self.open[-1][1] if self.open else 0)
-            self.region.append(tag in REGIONS and not own or (attrs.get("role") or "").lower() in ("main", "article")
-                               or "articlebody" in (attrs.get("itemprop") or "").lower())
-            self.open.append((tag, number, own or bool(self.open) and self.open[-1][2]))
+            self.tag.append(tag)
+            self.mark.append(own)
+            self.region.append(tag in REGIONS or (attrs.get("role") or "").lower() in ("main", "article"))
+            self.body.append("articlebody" in (attrs.get("itemprop") or "").lower())
+            self.open.append((tag, number))
             if tag == "h1":
                 self.heading = True
 
@@ -148,9 +166,8 @@ class _Lines(HTMLParser):
             self.heading = False
 
     def handle_data(self, data: str) -> None:
-        if self.open and self.open[-1][2]:
-            if self.open[-1][0] not in BLOCKS:
-                return  # a marked inline element inside a block
+        if self.open and self.open[-1][0] not in BLOCKS:
+            return  # a marked inline element inside a block
         self.text.append(data)
         if self.in_link:
             self.links += len(data.strip())
@@ -159,6 +176,33 @@ class _Lines(HTMLParser):
         self.close()
         self._flush()
 
+    def chain(self, e: int) -> list[int]:
+        """An element and those around it, from the inside."""
+        out = []
+        while e > 0:
+            out.append(e)
+            e = self.parent[e]
+        return out
+
+    def unmark(self, others: bool = False) -> None:
+        """Take the words' marks off what holds a main element, or the least marked articles and h1 of the page.
+
+        Articles inside ``OTHERS`` or marked more than others are comments or teasers; with ``others`` they count too.
+        """
+        kept = []
+        for e in range(1, len(self.tag)):
+            if self.region[e] or self.tag[e] == "h1":
+                free = others or self.tag[e] in ("main", "h1")
+                if max(self.mark[a] for a in self.chain(e)) < (HARD if free else OTHER):
+                    kept.append(e)
+        for title in (False, True):
+            held = [(sum(self.mark[a] > 0 for a in self.chain(e)), e) for e in kept if (self.tag[e] == "h1") == title]
+            least = min(held, default=(0, 0))[0]
+            for n, e in held:
+                if n == least or self.tag[e] == "main":
+                    for a in self.chain(e):
+                        self.mark[a] = 0
+
 
 def smooth(values: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
     """Gaussian smoothing, the ends taking only what is there."""
@@ -193,8 +237,13 @@ def extract(html: str | None) -> str:
     lines = parser.lines
     if not lines:
         return ""
-    marked = np.array([x[4] for x in lines])
-    if marked.all():
+    chains = [parser.chain(x[3]) for x in lines]
+    for others in (False, True):
+        parser.unmark(others)
+        marked = np.array([any(parser.mark[e] for e in c) for c in chains])
+        if not marked.all():
+            break
+    else:
         return ""
     length = np.array([len(x[0]) for x in lines], float)
     linked = np.array([min(1.0, x[2] / max(1, len(x[0]))) for x in lines])
@@ -207,24 +256,33 @@ def extract(html: str | None) -> str:
     mass = np.where(chosen, length, 0.0)
     # text of the clusters inside each element
     inside: dict[int, float] = {}
-    chains = []
-    for line, w in zip(lines, mass):
-        chain, e = [], line[3]
-        while e > 0:
-            chain.append(e)
+    for chain, w in zip(chains, mass):
+        for e in chain:
             inside[e] = inside.get(e, 0.0) + w
-            e = parser.parent[e]
-        chains.append(set(chain))
     total = mass.sum()
-    semantic = [e for e, w in inside.items() if parser.region[e] and w >= 0.5 * total]
-    general = [e for e, w in inside.items() if w >= 0.8 * total]
-    region = max(semantic or general or [0])  # later elements are inner ones along one chain
-    own = np.array([region == 0 or region in c for c in chains]) & ~marked
+    regions: set[int] = set()
+    for flags in (parser.region, parser.body):
+        held = {e for c, keep in zip(chains, plain) if keep for e in c if flags[e]}
+        found = {e for e in held if held.isdisjoint(parser.chain(e)[1:])}
+        if found and sum(inside[e] for e in found) >= 0.5 * total:
+            regions = found
+            break
+    semantic = bool(regions)
+    if not semantic:
+        # later elements are inner ones along one chain
+        region = max((e for e, w in inside.items() if w >= total - 1e-6), default=0)
+        while region and parser.tag[region] not in CONTAINERS:
+            region = parser.parent[region]
+        regions = {region}
+    own = np.array([0 in regions or not regions.isdisjoint(c) for c in chains]) & ~marked
     if not semantic:
-        heads = [i for i, x in enumerate(lines) if x[5] and not x[4]]
-        own &= plain | np.array([x[5] for x in lines])
-        if len(heads) == 1 and not own[heads[0]]:  # the title above the region
-            own[heads[0]] = True
+        own &= plain | np.array([x[4] for x in lines])
+    heads = [i for i, x in enumerate(lines) if x[4] and not marked[i]]
+    if len(heads) == 1 and not own[heads[0]]:  # the title above the region
+        first = int(np.argmax(own))
+        if not any(parser.region[e] for e in regions):  # and the lead between them
+            own[heads[0]:first] |= plain[heads[0]:first]
+        own[heads[0]] = True
     return "\n\n".join(x[0] for x, keep in zip(lines, own) if keep)
 
 

@@ -117,6 +117,28 @@ def test_extraction_keeps_the_article_alone():
     assert html_text.extract("just text") == "just text"
 
 
+def test_extraction_loses_no_part_of_the_article():
+    a, b, c = (f"A long paragraph {x} with many words so that its ratio is high. " * 8 for x in "abc")
+    a, b, c = a.strip(), b.strip()[:400], c.strip()[:80]
+    junk = "<div class='comments'><article><p>" + "A reader says many words about all of this. " * 6 + "</p></article></div>"
+    pages = {
+        f"<main><article><p>{a}</p></article><article><p>{b}</p></article></main>": [a, b],
+        f"<article><p>{a}</p></article><article><p>{b}</p></article>{junk}": [a, b],
+        f"<article><h1>T</h1><p>{c}</p><div itemprop=articleBody><p>{a}</p><p>{b}</p></div></article>": ["T", c, a, b],
+        f"<div><h1>T</h1><p>{c}</p><div itemprop=articleBody><p>{a}</p><p>{b}</p></div></div>": ["T", c, a, b],
+        f"<h1>T</h1><div class=x><article><p>{a}</p></article></div>": ["T", a],
+        f"<div><section><p>{a}</p><p>{a}</p></section><section><p>{b}</p></section></div>": [a, a, b],
+        f"<div class='layout has-sidebar'><article><p>{a}</p></article>{junk}</div>": [a],
+        f"<div class='layout has-sidebar'><main><p>{a}</p></main>{junk}</div>": [a],
+        f"<div class='page no-ad'><h1>T</h1><p>{a}</p><p>{b}</p>{junk}</div>": ["T", a, b],
+        f"<article class='post has-comments'><p>{a}</p></article>": [a],
+        f"<article><h2 id=related-work>Work</h2><p>{a}</p><h2><span id=Search>Find</span></h2><p>{b}</p></article>":
+            ["Work", a, "Find", b],
+    }
+    for page, want in pages.items():
+        assert html_text.extract(f"<html><body><nav>Menu</nav>{page}</body></html>") == "\n\n".join(want), page
+
+
 def test_extraction_of_all_pages(spark):
     pages = spark.read.parquet(f"{SMALL}/pages.parquet")
     import html
