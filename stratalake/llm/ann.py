@@ -8,7 +8,8 @@ vector's neighbours lie in.  Every row is indexed under the classifier's first
 choice; a query is routed to its most probable partitions and the rows there
 are reranked exactly, in double precision.  The number of partitions probed is
 the smallest that reached ``TARGET`` recall on sample vectors kept out of the
-training.
+training.  The number of partitions follows the sample, ``MAX_PARTITIONS`` from
+4,096 vectors on and never under two, so every table is searched by the index.
 
 Queries and rows meet in blocks of a partition, so neither a large partition
 nor one vector that a third of all rows share lands in one task; each block
@@ -35,7 +36,7 @@ from pyspark.sql.window import Window
 from .common import materialize, prepare
 
 SAMPLE = 6000
-ROWS_PER_PARTITION = 2000
+SAMPLE_PER_PARTITION = 64
 MAX_PARTITIONS = 64
 NEIGHBOURS = 10
 TARGET = 0.97
@@ -145,7 +146,7 @@ def train_router(x: np.ndarray, targets: np.ndarray, hidden: int = HIDDEN, epoch
 def fit_router(x: np.ndarray, parts: int, target: float = TARGET, k: int = NEIGHBOURS) -> Router:
     """Partition the sample's neighbour graph and learn to route; the probes come from kept-out vectors."""
     k = min(k, len(x) - 1)
-    if parts == 1 or k < 1:
+    if parts == 1 or k < 1 or len(x) < 4:  # too few vectors to keep one out and have neighbours
         d = x.shape[1]
         return Router(np.zeros(d), 1.0, np.zeros((d, 1)), np.zeros(1), np.zeros((1, 1)), np.zeros(1), 1)
     held = np.arange(len(x)) % 8 == 0
@@ -219,13 +220,13 @@ def search(rows: DataFrame, is_query: Column, k: int = 10, sample: int = SAMPLE,
     if common is None:
         return empty
     rows = rows.where(F.col("vec_id").isNotNull() & valid(F.col("vector"), common["n"]))
-    total = rows.count()
-    if total < 2:
-        return empty
     chosen = rows.orderBy(F.xxhash64("vec_id"), "vector").limit(sample).collect()
+    if len(chosen) < 2:
+        return empty
     x = np.array([r["vector"] for r in chosen])
-    parts = int(min(MAX_PARTITIONS, max(1, total // ROWS_PER_PARTITION), max(1, len(x) // 64)))
+    parts = min(MAX_PARTITIONS, max(2, len(x) // SAMPLE_PER_PARTITION))
     router = fit_router(x, parts)
+    parts = router.w2.shape[1]
     if probes:
         router.probes = min(probes, parts)
     shared = spark.sparkContext.broadcast(router)
@@ -237,7 +238,8 @@ def search(rows: DataFrame, is_query: Column, k: int = 10, sample: int = SAMPLE,
                 yield pdf.assign(parts=list(best.astype(np.int32)))
 
     routed = rows.mapInPandas(route, "vec_id long, vector array<double>, parts array<int>")
-    routed = materialize(routed.withColumn("part", F.col("parts")[0]), "routed")
+    routed = routed.withColumn("part", F.col("parts")[0]).withColumn("parts", F.when(is_query, F.col("parts")))
+    routed = materialize(routed, "routed")
     sizes = {r["part"]: r["n"] for r in routed.groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect()}
     queries = routed.where(is_query).groupBy("vec_id").agg(F.min(F.struct("vector", "parts")).alias("q"))
     # so many partitions that more than k rows are met, beyond the probes if need be

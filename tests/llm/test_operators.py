@@ -280,6 +280,24 @@ def test_neighbours_against_brute_force(spark):
     assert hits / total >= 0.9
 
 
+def test_learned_index_on_dozens_of_partitions(spark, monkeypatch):
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(300, 32))[rng.integers(300, size=24_000)] + 0.6 * rng.normal(size=(24_000, 32))
+    emb = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, vector array<double>")
+    routers = []
+    fit = ann.fit_router
+    monkeypatch.setattr(ann, "fit_router", lambda *a, **k: routers.append(fit(*a, **k)) or routers[-1])
+    got = collections.defaultdict(set)
+    for r in ann.search(emb, F.col("vec_id") % 100 == 0).collect():
+        got[r["query_id"]].add(r["vec_id"])
+    ids = np.arange(len(x))
+    hits = [len({i for i, _ in _exact(x, ids, q, 10)} & got[q]) for q in ids[ids % 100 == 0]]
+    assert routers[0].w2.shape[1] == 64 and routers[0].probes < 32 and np.mean(hits) / 10 >= 0.9
+    # the same index on a small table
+    assert ann.search(emb.where("vec_id < 500"), F.col("vec_id") < 5).count() == 50
+    assert routers[1].w2.shape[1] == 7
+
+
 def test_neighbours_of_odd_vectors(spark):
     nan = float("nan")
     rows = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [1.0, 0.0]), (3, [0.0, 0.0]), (4, None), (5, [nan, 1.0]),
