@@ -17,9 +17,10 @@ pair returns the best of its rows per query.
 
 Defined results: vectors that are null, zero, of another length than most, or
 hold null or non-finite components, and rows without id, take no part; a
-query's own id is no candidate; equal distances go to the smaller id; a query
-id that repeats counts once, with its smallest vector; fewer candidates than k
-give fewer rows, which holds only if there are no more in the table: too small
+query's own id is no candidate; equal distances go to the smaller id; repeated rows
+count once; a vec_id with several vectors is one candidate, at the distance of
+its nearest one, and asks once, with its smallest vector; fewer candidates than
+k give fewer rows, which holds only if there are no more in the table: too small
 partitions are joined by further ones; an empty table gives no rows.
 """
 
@@ -179,7 +180,7 @@ def _matrix(vectors: pd.Series) -> np.ndarray:
 
 
 def nearest_in_block(k: int):
-    """(queries, rows) of one block pair -> the k nearest rows of each query."""
+    """(queries, rows) of one block pair -> the k nearest ids of each query, each by its nearest row."""
 
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         names = ["query_id", "vec_id", "score"]
@@ -188,21 +189,29 @@ def nearest_in_block(k: int):
                                  "score": pd.Series(dtype="float64")})
         rows, ids = _matrix(right["vector"]), right["vec_id"].to_numpy(np.int64)
         norm = (rows * rows).sum(1)
+        by_id = np.argsort(ids, kind="stable")
+        starts = np.flatnonzero(np.diff(ids[by_id], prepend=ids[by_id[0]] - 1))
         out = []
         for q, v in zip(left["vec_id"], left["vector"]):
             v = np.asarray(v, np.float64)
             rough = norm - 2 * (rows @ v) + v @ v
             rough[ids == q] = np.inf
-            if len(rough) > k:  # whatever may be among the k nearest, rounding of the rough distance included
-                edge = np.partition(rough, k - 1)[k - 1]
+            if len(starts) > k:  # whatever may be among the k nearest, rounding of the rough distance included
+                each = rough if len(starts) == len(ids) else np.minimum.reduceat(rough[by_id], starts)
+                edge = np.partition(each, k - 1)[k - 1]
                 near = np.flatnonzero(rough <= edge + 1e-9 * (1 + abs(edge) + v @ v))
             else:
                 near = np.arange(len(rough))
             near = near[np.isfinite(rough[near])]
             diff = rows[near] - v
             exact = np.sqrt((diff * diff).sum(1))
-            for i in np.lexsort((ids[near], exact))[:k]:
-                out.append((q, ids[near[i]], exact[i]))
+            met = set()
+            for i in np.lexsort((ids[near], exact)):
+                if ids[near[i]] not in met:
+                    met.add(ids[near[i]])
+                    out.append((q, ids[near[i]], exact[i]))
+                    if len(met) == k:
+                        break
         return pd.DataFrame(out, columns=names)
 
     return run
@@ -220,7 +229,9 @@ def search(rows: DataFrame, is_query: Column, k: int = 10, sample: int = SAMPLE,
     if common is None:
         return empty
     rows = rows.where(F.col("vec_id").isNotNull() & valid(F.col("vector"), common["n"]))
-    chosen = rows.orderBy(F.xxhash64("vec_id"), "vector").limit(sample).collect()
+    # copies would take the places of real neighbours, in the sample as in the blocks
+    rows = materialize(rows.dropDuplicates(["vec_id", "vector"]), "distinct-vectors")
+    chosen = rows.orderBy(F.xxhash64("vec_id", "vector"), "vec_id", "vector").limit(sample).collect()
     if len(chosen) < 2:
         return empty
     x = np.array([r["vector"] for r in chosen])
@@ -242,8 +253,9 @@ def search(rows: DataFrame, is_query: Column, k: int = 10, sample: int = SAMPLE,
     routed = materialize(routed, "routed")
     sizes = {r["part"]: r["n"] for r in routed.groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect()}
     queries = routed.where(is_query).groupBy("vec_id").agg(F.min(F.struct("vector", "parts")).alias("q"))
-    # so many partitions that more than k rows are met, beyond the probes if need be
-    size = F.create_map(*[F.lit(v) for p, n in sizes.items() for v in (p, n)])
+    # so many partitions that more than k ids are met, beyond the probes if need be; an id counts in one partition only
+    ids = routed.groupBy("vec_id").agg(F.min("part").alias("part")).groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    size = F.create_map(*[F.lit(v) for r in ids.collect() for v in (r["part"], r["n"])])
     reach = F.transform("q.parts", lambda p, i: F.struct(p.alias("part"), F.aggregate(
         F.slice("q.parts", F.lit(1), i), F.lit(0).cast("long"),
         lambda s, o: s + F.coalesce(F.try_element_at(size, o), F.lit(0)).cast("long")).alias("before"), i.alias("i")))
@@ -257,7 +269,8 @@ def search(rows: DataFrame, is_query: Column, k: int = 10, sample: int = SAMPLE,
         return F.element_at(F.create_map(*entries), F.col("part"))
 
     n_row, n_query = blocks(sizes, block), blocks(asked, block // 8)
-    mine, other = F.pmod(F.xxhash64("vec_id"), n_row), F.pmod(F.xxhash64("vec_id"), n_query)
+    mine = F.pmod(F.xxhash64("vec_id", "vector"), n_row)  # an id of many vectors spreads over the blocks
+    other = F.pmod(F.xxhash64("vec_id"), n_query)
     spread = routed.select("part", "vec_id", "vector", mine.cast("int").alias("rb"),
                            F.explode(F.sequence(F.lit(0), n_query - 1)).alias("qb"))
     asking = queries.select("part", "vec_id", "vector", other.cast("int").alias("qb"),
@@ -266,4 +279,5 @@ def search(rows: DataFrame, is_query: Column, k: int = 10, sample: int = SAMPLE,
     found = asking.groupBy(*keys).cogroup(spread.groupBy(*keys)).applyInPandas(
         nearest_in_block(k), "query_id long, vec_id long, score double")
     place = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
-    return found.distinct().withColumn("rank", place).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    found = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
+    return found.withColumn("rank", place).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

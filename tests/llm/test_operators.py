@@ -298,6 +298,32 @@ def test_learned_index_on_dozens_of_partitions(spark, monkeypatch):
     assert routers[1].w2.shape[1] == 7
 
 
+def test_repeated_candidates_take_no_places(spark):
+    rng = np.random.default_rng(12)
+    x = rng.normal(size=(300, 8))
+    rows = list(enumerate(x.tolist()))
+    rows += [rows[i] for i in (7, 8, 9) for _ in range(30)]                   # copies near the queries 0 to 2
+    for q, i in ((0, 7), (1, 8), (2, 9)):
+        rows[i] = (i, (x[q] + 0.001).tolist())
+        rows += [rows[i]] * 30
+    rows += [(10, (x[3] + 0.01 * j).tolist()) for j in range(1, 41)]           # an id of many vectors near query 3
+    df = spark.createDataFrame(rows, "vec_id long, vector array<double>")
+    ids, every = np.array([i for i, _ in rows]), np.array([v for _, v in rows])
+    got = collections.defaultdict(list)
+    for r in ann.search(df, F.col("vec_id") < 4, 10, probes=99, block=16).orderBy("query_id", "rank").collect():
+        got[r["query_id"]].append((r["vec_id"], r["score"], r["rank"]))
+    for q in range(4):
+        best = {}
+        for i, d in zip(ids.tolist(), np.sqrt(((every - every[q]) ** 2).sum(1))):
+            if i != q:
+                best[i] = min(d, best.get(i, d))
+        want = sorted(best.items(), key=lambda p: (p[1], p[0]))[:10]
+        assert [i for i, _, _ in got[q]] == [i for i, _ in want] and [r for *_, r in got[q]] == list(range(1, 11))
+        assert [s for _, s, _ in got[q]] == pytest.approx([d for _, d in want])
+    # too few ids in the probed partitions: copies do not count as candidates
+    assert ann.search(df, F.col("vec_id") < 4, 250, probes=1).count() == 4 * 250
+
+
 def test_neighbours_of_odd_vectors(spark):
     nan = float("nan")
     rows = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [1.0, 0.0]), (3, [0.0, 0.0]), (4, None), (5, [nan, 1.0]),
