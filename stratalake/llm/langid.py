@@ -16,7 +16,8 @@ scored over its whole text.
 
 Defined results: a null text or one without letters is ``und`` with score 0
 and rejected; equal cross-entropies go to the smaller language name; rows are
-scored one by one, so repeats agree; without labelled rows all are ``und``;
+scored one by one, so repeats agree; without labelled rows all are ``und``; a
+language without a calibration text rejects nothing;
 an empty table gives no rows; extra columns pass through ``classify``.
 """
 
@@ -40,8 +41,12 @@ SAMPLE_DOCS = 2000
 MAX_NGRAMS = 200_000
 #: Uniform floor: every code point may follow, known or not.
 CHARACTERS = 1 << 17
-#: A text is rejected above the worst calibration text of its language and length times this.
-MARGIN = 1.5
+#: A text is rejected above this quantile of the calibration texts of its language and length, times the margin: the
+#: quantile leaves out noisy texts, the margin keeps the clean ones above it.  Lengths with fewer than ``LEAST_TEXTS``
+#: texts take those of the nearest lengths too.
+QUANTILE, MARGIN = 0.95, 1.5
+LEAST_TEXTS = 50
+LONGEST = 14
 UNKNOWN = "und"
 
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
@@ -139,7 +144,21 @@ class Model:
 
 
 def length_class(n: int) -> int:
-    return min(14, n.bit_length())
+    return min(LONGEST, n.bit_length())
+
+
+def limits(seen: list[tuple[int, float]]) -> dict[int, float]:
+    """(length class, bits) of a language's calibration texts -> limit of every length class, calibrated or not."""
+    found: dict[int, float] = {}
+    if not seen:
+        return found
+    classes, bits = np.array([c for c, _ in seen]), np.array([b for _, b in seen])
+    for c in range(LONGEST, -1, -1):
+        far = np.abs(classes - c)
+        near = far <= np.sort(far)[min(len(far), LEAST_TEXTS) - 1]
+        # shorter texts vary more, never less
+        found[c] = max(found.get(c + 1, 0.0), float(np.quantile(bits[near], QUANTILE)) * MARGIN)
+    return found
 
 
 def kneser_ney(counts: dict[str, int]) -> tuple[list[dict[str, float]], list[dict[str, float]]]:
@@ -225,15 +244,12 @@ def fit(docs: DataFrame, learn: Column, sample_docs: int = SAMPLE_DOCS, max_ngra
         counts[r["lang"]][r["gram"]] = r["n"]
     model = build(counts)
     if model.languages:
-        seen = (classify(sample.where("calibrate"), model).where("lang = lang_pred")
-                .groupBy("lang", "length_class").agg(F.max("bits").alias("bits")).collect())
-        worst = {(r["lang"], r["length_class"]): r["bits"] for r in seen}
-        for lang in model.languages:
-            most = 0.0
-            for c in range(14, -1, -1):  # shorter texts vary more, never less
-                most = max(most, worst.get((lang, c), 0.0))
-                if most:
-                    model.limits[lang, c] = most * MARGIN
+        seen: dict[str, list[tuple[int, float]]] = defaultdict(list)
+        for r in (classify(sample.where("calibrate"), model).where("lang = lang_pred")
+                  .select("lang", "length_class", "bits").collect()):
+            seen[r["lang"]].append((r["length_class"], r["bits"]))
+        for lang, texts in seen.items():
+            model.limits |= {(lang, c): limit for c, limit in limits(texts).items()}
     return model
 
 

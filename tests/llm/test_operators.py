@@ -190,6 +190,26 @@ def test_language_of_odd_rows(spark, odd_docs, no_docs):
     assert (p > 0).all() and (p <= 1).all()
 
 
+def test_long_texts_are_rejected_without_long_calibration_texts(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    model = langid.fit(docs.where(F.length("text") < 3000), F.lit(True))
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz     "))
+    rng = np.random.default_rng(7)
+    finnish = "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki. "
+    for foreign in (finnish * 200, "Все люди рождаются свободными и равными. " * 400, "".join(rng.choice(letters, 20_000))):
+        assert model.classify(foreign)[3:] == (14, True) and model.classify(foreign[:400])[4]
+    long = docs.where(F.length("text") >= 8192).collect()
+    got = [model.classify(r["text"]) for r in long]
+    assert len(got) > 20 and not any(g[4] for g in got)
+    every = langid.classify(docs, model).where("rejected").count()
+    assert every == docs.where(~F.coalesce(F.col("text"), F.lit("")).rlike(r"\p{L}")).count()
+
+
+def test_one_noisy_text_loosens_no_limit():
+    texts = [(10, 2.0)] * 60 + [(13, 2.0)] * 60
+    assert langid.limits(texts + [(13, 9.0)]) == langid.limits(texts) == {c: 3.0 for c in range(15)}
+
+
 # 6 n-gram join
 
 def test_blocks_count_every_link_once(spark, odd_docs, no_docs):
