@@ -1,9 +1,11 @@
-"""Toxicity by compression distance (operator 4).
+"""Toxicity by compression distance (operator 4), with a word list in place of a toxic dictionary.
 
-Two zstandard dictionaries are trained from labelled text: both open with a
+Two zstandard dictionaries are made from labelled text: both open with one
 dictionary trained on ordinary text and close with what is characteristic of
 their class, words of toxic documents that ordinary ones lack, or ordinary
-documents' commonest words.  A text is cut into windows (its words, long ones
+documents' commonest words.  No dictionary is trained on toxic text, and toxicity
+in phrases of ordinary words or in words rarer than the floors below is not seen
+(README has the figures of separately trained dictionaries).  A text is cut into windows (its words, long ones
 in pieces); a window's distance is the share of its compressed length that the
 toxic dictionary saves against the ordinary one, and a document is as toxic as
 its window of largest distance.  A threshold calibrated on the labelled sample
@@ -14,8 +16,8 @@ window is short, and the wider code makes a length count a match of a few
 characters and not the fixed costs of a block.
 
 The model is fitted on at most ``LABELLED_ROWS`` labelled rows, those of
-smallest hash, whole texts; near copies (equal opening words) count once, so
-that words of a copied document do not pass for its class.  The two
+smallest hash, whole texts; copies (equal whole texts) count once, so that
+words of a copied document do not pass for its class.  The two
 dictionaries hold at most ``LEXICON`` words each.  Every document is scored
 over its whole text.
 
@@ -165,12 +167,12 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, rows: int = LABELLED_
 
     def words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            out = [(" ".join(sorted(_WORD.findall(t.lower())[:12])), y, i, list(windows(t)))
+            out = [(hashlib.blake2b(t.encode("utf-8", "replace"), digest_size=16).hexdigest(), y, i, list(windows(t)))
                    for i, t, y in zip(pdf["doc_id"], pdf["text"], pdf["toxic"])]
-            yield pd.DataFrame(out, columns=["opening", "toxic", "doc_id", "words"])
+            yield pd.DataFrame(out, columns=["digest", "toxic", "doc_id", "words"])
 
-    bags = sample.mapInPandas(words, "opening string, toxic int, doc_id long, words array<string>")
-    first = F.row_number().over(Window.partitionBy("opening", "toxic").orderBy("doc_id"))
+    bags = sample.mapInPandas(words, "digest string, toxic int, doc_id long, words array<string>")
+    first = F.row_number().over(Window.partitionBy("digest", "toxic").orderBy("doc_id"))
     bags = materialize(bags.withColumn("__first", first).where("__first = 1").drop("__first"), "toxic-words")
     sizes = bags.agg(F.sum("toxic"), F.count(F.lit(1))).first()
     n_toxic = sizes[0] or 0

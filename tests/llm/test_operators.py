@@ -171,6 +171,15 @@ def test_toxicity_without_labels_or_text(spark, odd_docs, no_docs):
     assert toxicity.score(no_docs, model).count() == 0
 
 
+def test_toxic_texts_with_one_opening_all_count(spark):
+    opening = "these are the twelve words that every one of them opens with "
+    rows = [(i, opening + f"zzgrubbel and text number {i}", 1) for i in range(8)]
+    rows += [(i, f"plain and quiet words about matter {i} of the day", 0) for i in range(8, 60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.fit(df.select("doc_id", "text"), df.select("doc_id", "toxic"), F.lit(True))
+    assert "zzgrubbel" in model.lexicon
+
+
 def test_languages_on_held_out_rows(spark):
     sf = "/root/testdata/sf0.01"
     got = queries.op5_language_id(spark, sf).join(
