@@ -46,6 +46,9 @@ CHARACTERS = 1 << 17
 #: texts take those of the nearest lengths too.
 QUANTILE, MARGIN = 0.95, 1.5
 LEAST_TEXTS = 50
+#: Two standard errors of the mean of n characters are about this over the root of n, in bits: few texts of a length
+#: do not show how much short ones vary.
+SPREAD = 6.0
 LONGEST = 14
 UNKNOWN = "und"
 
@@ -158,7 +161,7 @@ def limits(seen: list[tuple[int, float]]) -> dict[int, float]:
         near = far <= np.sort(far)[min(len(far), LEAST_TEXTS) - 1]
         # shorter texts vary more, never less
         found[c] = max(found.get(c + 1, 0.0), float(np.quantile(bits[near], QUANTILE)) * MARGIN)
-    return found
+    return {c: limit + SPREAD / 2 ** (max(c - 1, 0) / 2) for c, limit in found.items()}
 
 
 def kneser_ney(counts: dict[str, int]) -> tuple[list[dict[str, float]], list[dict[str, float]]]:

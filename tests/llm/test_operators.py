@@ -216,7 +216,9 @@ def test_long_texts_are_rejected_without_long_calibration_texts(spark):
 
 def test_one_noisy_text_loosens_no_limit():
     texts = [(10, 2.0)] * 60 + [(13, 2.0)] * 60
-    assert langid.limits(texts + [(13, 9.0)]) == langid.limits(texts) == {c: 3.0 for c in range(15)}
+    got = langid.limits(texts)
+    assert langid.limits(texts + [(13, 9.0)]) == got and sorted(got) == list(range(15))
+    assert got[14] < 3.1 and 4 < got[5] < 5  # short texts vary more
 
 
 # 6 n-gram join
