@@ -24,6 +24,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,7 +51,8 @@ class PlainBpe:
     tiktoken merges neighbours whenever their joined bytes are a token, the
     tokenizer only where it has that merge.  Both agree if every token's own
     symbols merge back to it, since then neighbours that make up a token
-    always are its merge; that is checked for all merges when loading.
+    always are its merge; that is checked for all merges when loading, and a
+    tokenizer that fails it encodes all words itself.
     """
 
     def __init__(self, spec: dict):
@@ -58,9 +61,7 @@ class PlainBpe:
 
         self.pattern = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
         vocab = spec["model"]["vocab"]
-        merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in spec["model"]["merges"]]
-        if not self.consistent(merges):
-            raise ValueError("merges do not rebuild their own tokens")
+        merges = self.merges(spec)
         shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
         letters = {b: chr(b) for b in shown}
         letters |= {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in letters)}
@@ -92,6 +93,10 @@ class PlainBpe:
         self.bpe = tiktoken.Encoding("plain words", pat_str=f"[^{_MARK}]+{_MARK}", mergeable_ranks=ranks,
                                      special_tokens={})
 
+    @staticmethod
+    def merges(spec: dict) -> list[tuple[str, str]]:
+        return [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in spec["model"]["merges"]]
+
     @staticmethod
     def consistent(merges: list[tuple[str, str]]) -> bool:
         rank = {m: i for i, m in enumerate(merges)}
@@ -131,7 +136,7 @@ class WordEncoder:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.plain = None
-        if spec["model"].get("end_of_word_suffix") == "</w>":
+        if spec["model"].get("end_of_word_suffix") == "</w>" and PlainBpe.consistent(PlainBpe.merges(spec)):
             self.plain = PlainBpe(spec)
         self.special = tuple(t["content"] for t in spec["added_tokens"])
         self.reset()
@@ -168,22 +173,30 @@ class WordEncoder:
             self.used += k
             n += 1
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
+    def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in one row, and where each text's begin (one more entry than texts).
+
+        Every distinct stretch of a batch is looked up once; Arrow finds the distinct ones.
+        """
         if len(self.index) > CACHE_WORDS:
             self.reset()
-        split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        index = self.index
-        new = list({w for ws in split for w in ws if w not in index})
+        split = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.large_string()), ""))
+        coded = split.flatten().dictionary_encode()
+        words = coded.dictionary.to_pylist()
+        new = [w for w in words if w not in self.index]
         if new:
             self._learn(new)
-        out = []
-        for ws in split:
-            at = np.fromiter(map(index.__getitem__, ws), np.int64, len(ws))
-            size = self.size[at]
-            ends = np.cumsum(size)
-            take = np.arange(ends[-1]) + np.repeat(self.start[at] - ends + size, size)
-            out.append(self.flat[take])
-        return out
+        place = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
+        at = place[coded.indices.to_numpy()]
+        size = self.size[at]
+        ends = np.concatenate([[0], np.cumsum(size)])
+        ids = self.flat[np.arange(ends[-1]) + np.repeat(self.start[at] - ends[:-1], size)]
+        offsets = split.offsets.to_numpy()
+        return ids, ends[offsets - offsets[0]]
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        ids, begin = self.encode_all(pa.array(texts, pa.large_string()))
+        return np.split(ids, begin[1:-1])
 
 
 def encoder(path: str) -> WordEncoder:
@@ -263,20 +276,30 @@ def slots(patterns: list[tuple[dict[int, int], int]]) -> dict[int, tuple[np.ndar
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> DataFrame:
     """(doc_id, n_ids, row_crc32, piece, start, length, ids_crc32) of every document."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer_path)
-        for pdf in batches:
-            out = []
-            for doc_id, ids in zip(pdf["doc_id"], enc.encode([t or "" for t in pdf["text"]])):
-                ids = np.append(ids, np.uint32(END_ID)).astype("<u4")
-                for k, start in enumerate(range(0, len(ids), capacity)):
-                    part = ids[start:start + capacity]
-                    out.append((doc_id, k, start, len(part), zlib.crc32(part.tobytes())))
-            yield pd.DataFrame(out, columns=["doc_id", "piece", "start", "length", "ids_crc32"]).astype(
-                {"doc_id": "Int64"})
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            ids, begin = enc.encode_all(batch.column("text"))
+            n = np.diff(begin)
+            flat = np.full(len(ids) + len(n), END_ID, "<u4")
+            flat[np.arange(len(ids)) + np.repeat(np.arange(len(n)), n)] = ids
+            n, begin = n + 1, begin[:-1] + np.arange(len(n))
+            cuts = -(-n // capacity)
+            row = np.repeat(np.arange(len(n)), cuts)
+            piece = np.arange(len(row)) - np.repeat(np.cumsum(cuts) - cuts, cuts)
+            start = piece * capacity
+            length = np.minimum(capacity, n[row] - start)
+            first = begin[row] + start
+            crc = [zlib.crc32(flat[i:i + k]) for i, k in zip(first.tolist(), length.tolist())]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id").take(pa.array(row)), pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
+                 pa.array(length, pa.int64()), pa.array(crc, pa.int64())],
+                names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return ids.mapInPandas(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    return ids.mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
 def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> DataFrame:
