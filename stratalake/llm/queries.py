@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat, fingerprints, html_text, langid, mixing, ngram_join, packing, toxicity, url_filter
+from . import (ann, centroids, chat, filter_audit, fingerprints, html_text, langid, lm_score, mixing, ngram_join,
+               packing, toxicity, url_filter)
 from .common import prepare, table
 
 
@@ -92,9 +93,43 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "host", "path", "rule", "verdict")
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every complete vector in one of 16 clusters after three rounds."""
+    rows = table(spark, sf_dir, "embeddings", "vec_id", "embedding").withColumnRenamed("embedding", "vector")
+    return centroids.cluster(rows)
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each of five filters removes from each source, in every order and step."""
+    return filter_audit.audit(table(spark, sf_dir, "documents", "doc_id", "text", "source"),
+                              table(spark, sf_dir, "labels", "doc_id", "quality", "toxic"))
+
+
+def op13_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document scored by a model of six sevenths of the ids."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    found = lm_score.score(docs, lm_score.fit(docs, fold(7) != 2))
+    return found.select("doc_id", (fold(7) == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens",
+                        "base_score", "score")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_chat_formatting, op2_source_mixing, op3_html_extraction, op4_toxicity, op5_language_id,
-    op6_ngram_jaccard_join, op7_fingerprints, op8_nearest_neighbours, op9_sequence_packing, op10_url_filter)}
+    op6_ngram_jaccard_join, op7_fingerprints, op8_nearest_neighbours, op9_sequence_packing, op10_url_filter,
+    op11_centroid_clustering, op12_filter_audit, op13_lm_scoring)}
+
+#: One round of operator 11 in SQL: assignment a{i} to centroids c{i}, then their move to c{j}.
+_ROUND = """
+a{i} AS (SELECT r, vec_id, v, min(struct_pack(d := d, c := c)) AS m FROM (
+    SELECT k.r, k.vec_id, k.v, c.c, list_sum([(k.v[i] - c.x[i]) * (k.v[i] - c.x[i]) FOR i IN range(1, 65)])::BIGINT AS d
+    FROM k CROSS JOIN c{i} c) GROUP BY r, vec_id, v),
+"""
+_MOVE = """
+s{i} AS (SELECT c, pos, sum(x)::BIGINT AS s, count(*) AS n FROM (
+    SELECT m.c AS c, unnest(v) AS x, unnest(range(1, 65)) AS pos FROM a{i}) GROUP BY c, pos),
+n{i} AS (SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY pos) AS x FROM s{i} GROUP BY c),
+c{j} AS (SELECT o.c, coalesce(n.x, o.x) AS x FROM c{i} o LEFT JOIN n{i} n USING (c)),
+"""
 
 ORACLES = {
     "op1_chat_formatting": r"""
@@ -143,6 +178,45 @@ m AS (SELECT a, min(b) AS class_id FROM r GROUP BY a),
 k AS (SELECT a, count(*) AS n_links FROM e GROUP BY a)
 SELECT d.doc_id, m.class_id, coalesce(k.n_links, 0)::BIGINT AS n_links
 FROM documents d JOIN m ON m.a = d.doc_id LEFT JOIN k ON k.a = d.doc_id""",
+    "op11_centroid_clustering": r"""
+WITH e AS (SELECT row_number() OVER () AS r, vec_id, embedding FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+k AS (SELECT r, vec_id, [floor(64 * x::DOUBLE)::BIGINT FOR x IN embedding] AS v FROM e),
+h AS (SELECT v, row_number() OVER (ORDER BY sha256('1:' || coalesce(vec_id::VARCHAR, 'null')), v) - 1 AS c FROM k),
+c0 AS (SELECT c, v AS x FROM h WHERE c < 16),""" + "".join(
+        _ROUND.format(i=i) + _MOVE.format(i=i, j=i + 1) for i in range(3)) + _ROUND.format(i=3) + r"""
+t AS (SELECT m.c AS c, sum(m.d)::BIGINT AS own FROM a3 GROUP BY 1)
+SELECT vec_id, m.c::INTEGER AS cluster, m.d AS distance, own AS cluster_inertia,
+  (SELECT sum(own) FROM t)::BIGINT AS inertia,
+  sha256(array_to_string([i::VARCHAR FOR i IN c3.x], ',')) AS centroid_sha256
+FROM a3 JOIN t ON t.c = a3.m.c JOIN c3 ON c3.c = a3.m.c""",
+    "op12_filter_audit": r"""
+WITH RECURSIVE d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+l AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+  FROM labels GROUP BY doc_id),
+m AS (SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+    (len(ws) < 200)::INTEGER + 2 * (100 * len(list_distinct(ws)) < 50 * len(ws))::INTEGER
+    + 4 * (100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text))::INTEGER
+    + 8 * regexp_matches(text, '[#$%&*|]')::INTEGER
+    + 16 * coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false)::INTEGER AS mask
+  FROM d LEFT JOIN l USING (doc_id)),
+c AS (SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM m GROUP BY part, mask),
+o(word, used) AS (SELECT '', 0 UNION ALL
+  SELECT word || f, used + b FROM o, (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) x(f, b) WHERE used & b = 0),
+w AS (SELECT word AS filter_order, i::INTEGER AS step, substr(word, i, 1) AS f,
+    1 << (ascii(substr(word, i, 1)) - 65) AS bit,
+    list_sum([0] || [1 << (ascii(substr(word, j, 1)) - 65) FOR j IN range(1, i)])::INTEGER AS gone
+  FROM o, range(1, 6) t(i) WHERE length(word) = 5),
+s AS (SELECT part, filter_order, step, f, coalesce(sum(n) FILTER (mask & (gone | bit) = 0), 0)::BIGINT AS kept,
+    coalesce(sum(n) FILTER (mask & bit <> 0 AND mask & gone = 0), 0)::BIGINT AS removed,
+    coalesce(sum(n) FILTER (mask & bit <> 0 AND mask & gone <> 0), 0)::BIGINT AS redundant,
+    coalesce(sum(n) FILTER (mask = bit), 0)::BIGINT AS unique_fails,
+    coalesce(sum(good) FILTER (mask & bit <> 0 AND mask & gone = 0), 0)::BIGINT AS good_lost,
+    coalesce(sum(toxic) FILTER (mask & bit <> 0 AND mask & gone = 0), 0)::BIGINT AS toxic_lost
+  FROM c CROSS JOIN w GROUP BY part, filter_order, step, f)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  sum(removed) OVER (PARTITION BY part, f)::BIGINT AS shapley FROM s""",
     "op10_url_filter": r"""
 WITH rules(rh, rp, v) AS (VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'),
   ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
