@@ -159,8 +159,10 @@ def next_documents(docs: DataFrame, rows_per_range: int = ROWS_PER_RANGE) -> Dat
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     least, most, n = docs.agg(F.min("doc_id"), F.max("doc_id"), F.count(F.lit(1))).first()
     least, most = least or 0, most or 0
-    width = max(1, (most - least + 1) * rows_per_range // max(1, n))
-    docs = docs.withColumn("part", F.coalesce(F.floor((F.col("doc_id") - least) / width), F.lit(-1)).cast("long"))
+    # in doubles, which keep the order of ids however far apart they lie
+    width = float(max(1, (most - least + 1) * rows_per_range // max(1, n)))
+    docs = docs.withColumn("part", F.coalesce(F.floor((F.col("doc_id").cast("double") - float(least)) / width),
+                                              F.lit(-1)).cast("long"))
     docs = docs.withColumn("base", digests(F.col("text")))
     heads = materialize(docs.groupBy("part").agg(F.max(F.struct("doc_id", "text", "base")).alias("head")), "heads")
     # the next range in use: within groups of ranges, then between the groups' first ranges

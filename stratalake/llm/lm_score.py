@@ -84,33 +84,54 @@ def tokens(texts: pa.Array) -> Tokens:
     before = np.concatenate([[0], np.cumsum(full.to_numpy(zero_copy_only=False))])
     offsets = split.offsets.to_numpy()
     coded = flat.filter(full).cast(pa.large_binary()).dictionary_encode()
-    return Tokens(coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64),
+    return Tokens(coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy().astype(np.int64),
                   before[offsets - offsets[0]])
 
 
-def grams(t: Tokens, order: int) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes[order, positions], first position of each document and the end).
+def positions(t: Tokens) -> tuple[np.ndarray, np.ndarray]:
+    """(codes, first position of each document and the end).
 
-    A document's positions are a start mark, its words and its end; the n-gram
-    at a position ends there and is filled up with start marks.
+    A document's positions are a start mark, its words and its end.  The end
+    has the code after the words', the start mark the next one.
     """
-    import xxhash
-
     n = np.diff(t.begin)
     first = np.concatenate([[0], np.cumsum(n + 2)])
+    codes = np.full(first[-1], len(t.words) + 1, np.int64)
+    codes[first[1:] - 1] = len(t.words)
+    codes[np.arange(len(t.codes)) + np.repeat(2 * np.arange(len(n)) + 1, n)] = t.codes
+    return codes, first
+
+
+def grams(t: Tokens, order: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], np.ndarray]:
+    """(codes, hash of each code, hashes[order - 2] at each position for orders from 2 on, first positions).
+
+    The n-gram at a position ends there and is filled up with start marks.
+    """
+    import xxhash
+
+    codes, first = positions(t)
     known = np.array([xxhash.xxh3_64_intdigest(w) for w in (*t.words, END, START)], np.uint64)
-    h = np.full(first[-1], known[-1], np.uint64)
-    h[first[1:] - 1] = known[-2]
-    h[np.arange(len(t.codes)) + np.repeat(2 * np.arange(len(n)) + 1, n)] = known[t.codes]
-    at = np.arange(first[-1])
-    start = np.repeat(first[:-1], n + 2)
-    out = np.empty((order, len(h)), np.uint64)
-    for k in range(order):
-        g = np.full(len(h), k + 1, np.uint64)
-        for back in range(k, -1, -1):
-            g = mixed(g * _STEP + h[np.maximum(at - back, start)])
-        out[k] = g
-    return out, first
+    single = mixed(known + _STEP)
+    longer = []
+    if order > 1:
+        h, at, start = known[codes], np.arange(len(codes)), np.repeat(first[:-1], np.diff(first))
+        back = [h] + [h[np.maximum(at - k, start)] for k in range(1, order)]
+        for k in range(1, order):
+            g = np.full(len(h), k + 1, np.uint64)
+            for i in range(k, -1, -1):
+                g = mixed(g * _STEP + back[i])
+            longer.append(g)
+    return codes, single, longer, first
+
+
+def totals(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different hashes, ascending, with their summed counts."""
+    if not len(hashes):
+        return hashes, counts
+    order = np.argsort(hashes)
+    hashes = hashes[order]
+    begin = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]]))
+    return hashes[begin], np.add.reduceat(counts[order], begin)
 
 
 def slice_of(hashes: np.ndarray, slices: int) -> np.ndarray:
@@ -129,7 +150,7 @@ def estimate(levels: np.ndarray) -> np.ndarray:
 
 def probe(hashes: np.ndarray, lev: int, i: int, bits: np.ndarray) -> np.ndarray:
     """Bit number of probe i for the keys (hash, lev) in filters of ``bits`` bits."""
-    a = mixed(hashes + np.uint64(lev) * _STEP)
+    a = mixed(hashes + np.uint64(lev * int(_STEP) % (1 << 64)))
     return (a + np.uint64(i) * (mixed(a) | np.uint64(1))) % bits
 
 
@@ -188,16 +209,27 @@ def _text() -> list[Column]:
 def word_counts(docs: DataFrame, train: Column) -> DataFrame:
     """(word, train, every): exact counts of every token of the training rows and of all rows."""
 
+    def merged(gathered: list[pa.RecordBatch]) -> list[pa.RecordBatch]:
+        found = pa.Table.from_batches(gathered).group_by("word").aggregate([("train", "sum"), ("every", "sum")])
+        return found.rename_columns(["word", "train", "every"]).combine_chunks().to_batches(max_chunksize=1 << 16)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gathered, size = [], 0
         for batch in batches:
             t = tokens(batch.column("text"))
             own = batch.column("train").to_numpy(zero_copy_only=False)
             n = len(t.words)
             every = np.bincount(t.codes, minlength=n)
             inside = np.bincount(t.codes[np.repeat(own, np.diff(t.begin))], minlength=n)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([*t.words, END], pa.binary()), pa.array([*inside.tolist(), int(own.sum())], pa.int64()),
-                 pa.array([*every.tolist(), len(own)], pa.int64())], names=["word", "train", "every"])
+            gathered.append(pa.RecordBatch.from_arrays(
+                [pa.array([*t.words, END], pa.binary()), pa.array(np.append(inside, own.sum()), pa.int64()),
+                 pa.array(np.append(every, len(own)), pa.int64())], names=["word", "train", "every"]))
+            size += n
+            if size >= GATHER >> 1:
+                yield from merged(gathered)
+                gathered, size = [], 0
+        if gathered:
+            yield from merged(gathered)
 
     rows = docs.select(*_text(), F.coalesce(train, F.lit(False)).alias("train")).drop("doc_id")
     return (rows.mapInArrow(run, "word binary, train long, every long").groupBy("word")
@@ -212,8 +244,10 @@ def frequency_rank() -> Column:
 def gram_counts(texts: DataFrame, order: int, slices: int) -> DataFrame:
     """(slice, hashes, counts): what each task has counted, as packed arrays."""
 
-    def packed(gathered: list[np.ndarray]) -> pa.RecordBatch:
-        found, n = np.unique(np.concatenate(gathered), return_counts=True)  # sorted, so slices follow each other
+    def packed(singles: list[tuple], longer: list[np.ndarray]) -> pa.RecordBatch:
+        one = totals(*(np.concatenate(x) for x in zip(*singles)))
+        more = np.unique(np.concatenate(longer), return_counts=True) if longer else (one[0][:0], one[1][:0])
+        found, n = totals(*(np.concatenate(x) for x in zip(one, more)))  # sorted, so slices follow each other
         at = slice_of(found, slices)
         own, begin = np.unique(at, return_index=True)
         ends = [*begin[1:].tolist(), len(found)]
@@ -225,15 +259,17 @@ def gram_counts(texts: DataFrame, order: int, slices: int) -> DataFrame:
             names=["slice", "hashes", "counts"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gathered, size = [], 0
+        singles, longer, size = [], [], 0
         for batch in batches:
-            gathered.append(grams(tokens(batch.column("text")), order)[0].ravel())
-            size += len(gathered[-1])
+            codes, single, more, _ = grams(tokens(batch.column("text")), order)
+            singles.append((single, np.bincount(codes, minlength=len(single))))
+            longer += more
+            size += len(codes) * order
             if size >= GATHER:
-                yield packed(gathered)
-                gathered, size = [], 0
+                yield packed(singles, longer)
+                singles, longer, size = [], [], 0
         if size:
-            yield packed(gathered)
+            yield packed(singles, longer)
 
     return texts.select("text").mapInArrow(run, "slice long, hashes binary, counts binary")
 
@@ -242,10 +278,10 @@ def slice_filters(parts: DataFrame, key_bits: int) -> DataFrame:
     """(slice, bits): the filter of each slice, from all that the tasks counted for it."""
 
     def run(own: pa.Table) -> pa.Table:
-        hashes = np.frombuffer(b"".join(own.column("hashes").to_pylist()), np.uint64)
-        counts = np.frombuffer(b"".join(own.column("counts").to_pylist()), "<u4")
-        found, at = np.unique(hashes, return_inverse=True)
-        bits = build(found, level(np.bincount(at, weights=counts)), key_bits)
+        blobs = {c: b"".join(own.column(c).to_numpy()) for c in ("hashes", "counts")}
+        hashes, counts = np.frombuffer(blobs["hashes"], np.uint64), np.frombuffer(blobs["counts"], "<u4")
+        found, total = totals(hashes, counts.astype(np.int64))
+        bits = build(found, level(total), key_bits)
         return pa.table({"slice": own.column("slice")[:1], "bits": pa.array([bits], pa.binary())})
 
     return parts.groupBy("slice").applyInArrow(run, "slice long, bits binary")
@@ -299,7 +335,7 @@ def digest(text: bytes) -> bytes:
 
 
 def digests(texts: pa.Array) -> pa.Array:
-    return pa.array([digest(t) for t in texts.cast(pa.binary()).to_pylist()], pa.binary())
+    return pa.array([digest(t) for t in texts.cast(pa.binary()).to_numpy(zero_copy_only=False)], pa.binary())
 
 
 def found_levels(docs: DataFrame, model: Model, i: int, n: int) -> DataFrame:
@@ -310,9 +346,9 @@ def found_levels(docs: DataFrame, model: Model, i: int, n: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text")
-            h, first = grams(tokens(texts), order)
-            seen, at = np.unique(h, return_inverse=True)
-            levels = held.value.levels(seen)[at.reshape(h.shape)]
+            codes, single, longer, first = grams(tokens(texts), order)
+            filters = held.value
+            levels = np.stack([filters.levels(single)[codes], *[filters.levels(h) for h in longer]])
             ends = first.tolist()
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), digests(texts),
@@ -364,23 +400,30 @@ def base_scores(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = head.value
         for batch in batches:
+            if not batch.num_rows:
+                continue
             texts = batch.column("text")
             t = tokens(texts)
             c = np.array([counts.get(w, -1) for w in (*t.words, END)], np.int64)
             logs = np.log10(np.maximum(c, 0) + 1.0)
-            out = [[], [], [], [], []]
-            begin = t.begin.tolist()
-            for a, b in zip(begin, begin[1:]):
-                own, tf = np.unique(np.append(t.codes[a:b], len(t.words)), return_counts=True)
-                rare = c[own] < 0
-                out[0].append(b - a + 1)
-                out[1].append(int(tf[c[own] > 0].sum()))
-                out[2].append(float((tf * logs[own]).sum()))
-                out[3].append([t.words[w] if w < len(t.words) else END for w in own[rare].tolist()])
-                out[4].append(tf[rare].tolist())
-            kinds = (pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.binary()), pa.list_(pa.int64()))
+            codes, first = positions(t)
+            codes = np.where(codes > len(t.words), len(t.words), codes)
+            mark = np.zeros(len(codes), bool)          # start marks are no tokens
+            mark[first[:-1]] = True
+            n = np.diff(first) - 1
+            known = np.add.reduceat(((c[codes] > 0) & ~mark).astype(np.int64), first[:-1])
+            sums = np.add.reduceat(np.where(mark, 0.0, logs[codes]), first[:-1])
+            doc = np.repeat(np.arange(len(n)), n + 1)
+            rare = np.flatnonzero((c[codes] < 0) & ~mark)
+            # the rare words of each document and how often it has them
+            pair, times = np.unique(doc[rare] * (len(t.words) + 1) + codes[rare], return_counts=True)
+            cut = np.searchsorted(pair // (len(t.words) + 1), np.arange(len(n) + 1))
+            words = [t.words[w] if w < len(t.words) else END for w in (pair % (len(t.words) + 1)).tolist()]
+            lists = lambda v, kind: pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(v, kind))
+            out = [pa.array(n, pa.int64()), pa.array(known, pa.int64()), pa.array(sums, pa.float64()),
+                   lists(words, pa.binary()), lists(times, pa.int64())]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), digests(texts), *[pa.array(v, k) for v, k in zip(out, kinds)]],
+                [batch.column("doc_id"), digests(texts), *out],
                 names=["doc_id", "digest", "n_tokens", "known", "logs", "rare", "times"])
 
     rows = docs.select(*_text()).mapInArrow(
