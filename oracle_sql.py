@@ -285,6 +285,88 @@ def _model_tests() -> str:
     return _with(f"{rep} UNION ALL {scd}")
 
 
+def _twice(rel: str, hit: str, replaced: str) -> str:
+    """Rows of ``rel``, those that meet ``hit`` twice, with some columns replaced."""
+    return f"""
+  SELECT * REPLACE ({replaced})
+  FROM (SELECT * FROM {rel} UNION ALL SELECT * FROM {rel} WHERE {hit})"""
+
+
+def _contract_faults() -> str:
+    faults = [
+        ("bad_customers", _twice("silver_customers", "customer_id % 79 = 4", """
+      if(customer_id % 89 = 3, 'BOGUS', segment) AS segment, if(customer_id % 83 = 2, NULL, city) AS city,
+      if(customer_id % 97 = 5, NULL, customer_id) AS customer_id""")),
+        ("bad_products", _twice("silver_products", "product_id % 67 = 3", """
+      if(product_id % 71 = 1, 'XX', category) AS category, if(product_id % 73 = 2, NULL, product_id) AS product_id""")),
+        ("bad_orders", _twice("silver_orders", "order_id % 47 = 4", """
+      if(order_id % 61 = 1, 'LOST', status) AS status, if(order_id % 59 = 2, NULL, customer_id) AS customer_id,
+      if(order_id % 53 = 3, NULL, order_id) AS order_id""")),
+        ("bad_order_items", _twice("silver_order_items", "order_item_id % 37 = 3", """
+      if(order_item_id % 43 = 1, 0, quantity) AS quantity,
+      if(order_item_id % 41 = 2, NULL, order_item_id) AS order_item_id""")),
+    ]
+    return _with(_report(SILVER_RULES, lambda t: f"bad_{t}"), extra=faults)
+
+
+def _model_faults() -> str:
+    faults = [
+        ("bad_dim_customer", _twice("dim_customer", "customer_id % 29 = 2", """
+      if(customer_id % 31 = 1, NULL, customer_sk) AS customer_sk,
+      CASE WHEN customer_id % 23 = 4 THEN true WHEN customer_id % 19 = 5 THEN false ELSE is_current END AS is_current,
+      if(customer_id % 37 = 3, NULL, customer_id) AS customer_id""")),
+        ("bad_dim_product", _twice("dim_product", "product_sk % 29 = 2", """
+      if(product_sk % 31 = 1, NULL, product_sk) AS product_sk""")),
+        ("bad_dim_date", _twice("dim_date", "day = 2", "if(day = 1, NULL, date_day) AS date_day")),
+        ("bad_fact_sales", _twice("fact_sales", "order_item_id % 37 = 3", """
+      CASE WHEN order_item_id % 31 = 4 THEN NULL WHEN order_item_id % 29 = 5 THEN 'nobody'
+           ELSE customer_sk END AS customer_sk,
+      if(order_item_id % 23 = 6, -1, product_sk) AS product_sk, if(order_item_id % 19 = 7, NULL, amount) AS amount,
+      if(order_item_id % 17 = 8, 'LOST', status) AS status,
+      if(order_item_id % 41 = 2, NULL, order_item_id) AS order_item_id""")),
+    ]
+    rules = [(t, k, c, (f"bad_{a[0]}", a[1]) if k == "relationships" else a) for t, k, c, a in GOLD_RULES]
+    open_versions = "(SELECT customer_id, count_if(is_current) AS n FROM bad_dim_customer GROUP BY 1)"
+    scd = " UNION ALL ".join(
+        f"SELECT 'dim_customer', '{rule}', 'customer_id', count_if({bad})::BIGINT, count_if({bad}) = 0 FROM {open_versions}"
+        for rule, bad in (("one_current_version", "n > 1"), ("has_current_version", "n = 0")))
+    return _with(f"{_report(rules, lambda t: f'bad_{t}')} UNION ALL {scd}", extra=faults)
+
+
+def _validity_faults() -> str:
+    return _with("""
+  SELECT count(*) AS checked_rows, count_if(NOT inside)::BIGINT AS violations
+  FROM (SELECT day >= valid_from::DATE AND day < ifnull(valid_to::DATE, DATE '9999-12-31') AS inside
+        FROM (SELECT customer_sk, if(order_item_id % 11 = 0, date_day - 4000, date_day) AS day FROM fact_sales)
+        JOIN dim_customer USING (customer_sk))""")
+
+
+def _swapped_amounts() -> str:
+    extra = [("swapped", """
+  SELECT f.order_item_id,
+         CASE WHEN f.order_id % 97 = 5 AND f.order_item_id % 10 = 1 THEN coalesce(p.b, f.amount)
+              WHEN f.order_id % 97 = 5 AND f.order_item_id % 10 = 2 THEN coalesce(p.a, f.amount)
+              ELSE f.amount END AS amount
+  FROM fact_sales f LEFT JOIN (
+    SELECT x.order_id, x.amount AS a, y.amount AS b FROM fact_sales x JOIN fact_sales y
+      ON x.order_id = y.order_id AND x.order_item_id % 10 = 1 AND y.order_item_id % 10 = 2) p
+    ON p.order_id = f.order_id"""),
+             ("plain", """
+  SELECT order_item_id, (quantity * unit_price)::DECIMAL(14,2) AS amount FROM stg_order_items""")]
+    return _with("""
+  SELECT *, 1::BIGINT AS surplus FROM (FROM swapped EXCEPT ALL FROM plain)
+  UNION ALL SELECT *, -1::BIGINT FROM (FROM plain EXCEPT ALL FROM swapped)""", extra=extra)
+
+
+def _stored_inspect() -> str:
+    parts = [f"SELECT 'bronze' AS layer, '{t}' AS table_name, 2::BIGINT AS version, count(*) AS rows FROM bronze_{t}"
+             for t in TABLES]
+    parts += [f"SELECT 'silver', '{t}', NULL, count(*) FROM silver_{t}" for t in TABLES]
+    parts += [f"SELECT 'gold', '{t}', NULL, count(*) FROM {t}"
+              for t in ("customer_snapshot", "dim_customer", "dim_product", "dim_date", "fact_sales")]
+    return _with(" UNION ALL ".join(parts))
+
+
 def _metrics_sql(fact: str, items: str, dim: str, cust: str, label: str | None = None) -> str:
     lab = f"'{label}' AS variant, " if label else ""
     return f"""
@@ -323,6 +405,29 @@ def _recon_metrics() -> str:
                               "silver_customers"))
 
 
+def _reopened() -> list[tuple[str, str]]:
+    return [
+        ("snap_reopen", """
+  SELECT * REPLACE (CASE WHEN customer_id = k.k AND valid_from = k.v THEN NULL
+                         ELSE valid_to END AS valid_to)
+  FROM customer_snapshot,
+       (SELECT min(customer_id) AS k,
+               (SELECT min(valid_from) FROM customer_snapshot
+                WHERE valid_to IS NOT NULL AND customer_id =
+                  (SELECT min(customer_id) FROM customer_snapshot WHERE valid_to IS NOT NULL)) AS v
+        FROM customer_snapshot WHERE valid_to IS NOT NULL) k"""),
+        ("d_reopen", _dim_customer_sql("snap_reopen")),
+    ]
+
+
+def _reopened_sweep() -> str:
+    return _with("""
+  SELECT o.order_id, o.customer_id, o.order_ts, d.customer_sk
+  FROM stg_orders o LEFT JOIN d_reopen d
+    ON d.customer_id = o.customer_id AND d.valid_from <= o.order_ts
+   AND ifnull(d.valid_to, TIMESTAMP '9999-12-31') > o.order_ts""", extra=_reopened())
+
+
 def _recon_breaks() -> str:
     extra = [
         ("f_drop", """
@@ -336,16 +441,7 @@ def _recon_breaks() -> str:
   SELECT * FROM dim_customer WHERE NOT (is_current AND customer_id =
     (SELECT min(customer_id) FROM dim_customer WHERE is_current))"""),
         ("f_no_open_end", _fact_sql("", "dim_customer", open_upper=False)),
-        ("snap_reopen", """
-  SELECT * REPLACE (CASE WHEN customer_id = k.k AND valid_from = k.v THEN NULL
-                         ELSE valid_to END AS valid_to)
-  FROM customer_snapshot,
-       (SELECT min(customer_id) AS k,
-               (SELECT min(valid_from) FROM customer_snapshot
-                WHERE valid_to IS NOT NULL AND customer_id =
-                  (SELECT min(customer_id) FROM customer_snapshot WHERE valid_to IS NOT NULL)) AS v
-        FROM customer_snapshot WHERE valid_to IS NOT NULL) k"""),
-        ("d_reopen", _dim_customer_sql("snap_reopen")),
+        *_reopened(),
         ("f_reopen", _fact_sql("", "d_reopen")),
     ]
     sel = [
@@ -451,12 +547,25 @@ def oracle_sql() -> dict[str, str]:
         "fact_sales": sel("fact_sales"),
         "pit_events": _pit_events(),
         "pit_validity_audit": _validity_audit(),
+        "pit_reopened_sweep": _reopened_sweep(),
         "contract_not_null": _contract_kind("not_null"),
         "contract_unique": _contract_kind("unique"),
         "contract_in_set": _contract_kind("in_set"),
         "contract_between": _contract_kind("between"),
         "contract_suite_report": _suite_report(),
         "model_test_report": _model_tests(),
+        "contract_faults": _contract_faults(),
+        "model_test_faults": _model_faults(),
+        "pit_validity_faults": _validity_faults(),
+        "recon_swapped_amounts": _swapped_amounts(),
+        "stored_bronze_counts": _lineage_counts(),
+        "stored_inspect": _stored_inspect(),
+        "stored_revenue_sql": _revenue_by_status(),
+        "backfill_dim_customer": sel("dim_customer"),
+        "backfill_fact_sales": sel("fact_sales"),
+        "backfill_silver_items": sel("silver_order_items"),
+        "backfill_refine_stats": _refine_stats(),
+        "backfill_recon": _recon_metrics(),
         "recon_metrics": _recon_metrics(),
         "recon_breaks": _recon_breaks(),
         "layer_inspect": _layer_inspect(),

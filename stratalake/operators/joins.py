@@ -66,6 +66,44 @@ def pit_join(facts: DataFrame, versions: DataFrame, key: str, ts: str,
     return facts.join(v, cond, "left").drop("__vkey", "__vfrom", "__vto")
 
 
+def overlapping_keys(versions: DataFrame, key: str, valid_from: str = "valid_from",
+                     valid_to: str = "valid_to") -> DataFrame:
+    """Keys of which two windows overlap, one row each.
+
+    A sweep over the window ends: in order of their starts, a window overlaps
+    one before it exactly if it starts before the latest end so far.  Windows
+    without a start, or that end where they start, hold nothing and do not count."""
+    v = versions.select(F.col(key).alias(key), F.col(valid_from).alias("__from"),
+                        valid_to_or_open(valid_to).alias("__to"))
+    v = v.where(F.col(key).isNotNull() & (F.col("__from") < F.col("__to")))
+    so_far = Window.partitionBy(key).orderBy("__from", "__to").rowsBetween(Window.unboundedPreceding, -1)
+    return (v.withColumn("__end", F.max("__to").over(so_far))
+            .where(F.col("__from") < F.col("__end")).select(key).distinct())
+
+
+def sweep_join(facts: DataFrame, versions: DataFrame, key: str, ts: str, version_cols: Sequence[str],
+               valid_from: str = "valid_from", valid_to: str = "valid_to",
+               bucket: Callable[[Column], Column] | None = None,
+               max_bucket_rows: int | None = MAX_BUCKET_ROWS) -> DataFrame:
+    """:func:`pit_join`, linear in the versions of a key unless they overlap.
+
+    Keys with overlapping windows (normally none) take the range join and fan
+    out as there.  All other facts meet at most one version: the last that
+    starts at or before ``ts``, found by :func:`asof_join`, if it has not ended.
+    A key with very many versions is never compared with all of them."""
+    twisted = overlapping_keys(versions, key, valid_from, valid_to)
+    ranged = pit_join(facts.join(twisted, key, "left_semi"), versions.join(twisted, key, "left_semi"),
+                      key, ts, valid_from, valid_to, version_cols)
+    starts = versions.select(F.col(key).alias(key), F.col(valid_from).alias(ts), F.col(valid_from).alias("__tie"),
+                             valid_to_or_open(valid_to).alias("__to"),
+                             *[F.col(c).alias(f"__v_{c}") for c in version_cols]).where(F.col(ts) < F.col("__to"))
+    plain = asof_join(facts.join(twisted, key, "left_anti"), starts, key, ts, "__tie",
+                      ["__to", *[f"__v_{c}" for c in version_cols]], bucket, max_bucket_rows=max_bucket_rows)
+    plain = plain.select(*facts.columns, *[F.when(F.col(ts) < F.col("__to"), F.col(f"__v_{c}")).alias(c)
+                                           for c in version_cols])
+    return plain.unionByName(ranged.select(*plain.columns))
+
+
 _KIND, _TIE, _EV = "__kind", "__tie", "__ev"      # as-of working columns
 
 

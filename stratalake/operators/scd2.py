@@ -94,3 +94,86 @@ def scd2_merge(history: DataFrame | None, staged: DataFrame, key: str,
     return (j.select(F.explode(rows).alias("v"))
              .where(F.col("v").isNotNull())
              .select("v.*"))
+
+
+# ---- late batches ----------------------------------------------------------------
+# A batch may arrive after batches of later stamps.  Versions alone do not say what
+# it does to them, so the stored state of a key is its *chain*: the rows, with the
+# stamp of their batch, that can still become versions.  Adding a row only raises
+# the running maximum behind it, so a row outside the chain stays outside, and the
+# chain of (chain + batch) is the chain of all rows ever sent.
+
+def scd2_chain(rows: DataFrame, key: str, updated_at: str, batch: str,
+               attrs: Sequence[str], tie_break: Sequence[str | Column] = ()) -> DataFrame:
+    """The chain of every key: ``attrs`` and ``batch`` of its first row and of
+    each later batch's row whose ``updated_at`` beats all earlier batches'.
+
+    Several rows of one (key, batch) count once, the one the refine would pick.
+    A first row without ``updated_at`` is never beaten (see :func:`scd2_rebuild`),
+    but the rows behind it stay in the chain: an earlier batch may still come."""
+    ordered = [F.col(updated_at).desc_nulls_last(), *[_order(c) for c in tie_break]]
+    by_batch = Window.partitionBy(key).orderBy(batch)
+    before = by_batch.rowsBetween(Window.unboundedPreceding, -1)
+    picked = (latest_per_key(rows.select(*attrs, batch), [key, batch], ordered)
+              .withColumn("__nth", F.row_number().over(by_batch))
+              .withColumn("__prev", F.max(updated_at).over(before)))
+    kept = (F.col("__nth") == 1) | (F.col(updated_at).isNotNull()
+                                    & (F.col("__prev").isNull() | (F.col(updated_at) > F.col("__prev"))))
+    return picked.where(kept).drop("__nth", "__prev")
+
+
+def scd2_versions(chain: DataFrame, key: str, updated_at: str, batch: str,
+                  attrs: Sequence[str]) -> DataFrame:
+    """The version history that a chain stands for; equal to
+    :func:`scd2_rebuild` over all rows the chain was made of."""
+    by_batch = Window.partitionBy(key).orderBy(batch)
+    kept = (chain.withColumn("__nth", F.row_number().over(by_batch))
+            .withColumn("__first", F.first(updated_at).over(by_batch))
+            .where((F.col("__nth") == 1) | F.col("__first").isNotNull()))
+    return kept.select(
+        *attrs,
+        version_key(key, updated_at).alias("scd_id"),
+        F.col(updated_at).alias("valid_from"),
+        F.lead(updated_at).over(by_batch).alias("valid_to"),
+    )
+
+
+def scd2_decisive(chain: DataFrame, rows: DataFrame, key: str, updated_at: str, batch: str,
+                  attrs: Sequence[str], tie_break: Sequence[str | Column] = ()) -> DataFrame:
+    """The rows of a batch that change the chain of their key, whatever the
+    batch's place among those already in it, and ``since``: the time from which
+    the key's versions differ, null if from its beginning.
+
+    Only the key, stamp and time of the chain are read.  A daily full extract
+    repeats most rows, and all those drop out here; so does a batch sent again."""
+    ordered = [F.col(updated_at).desc_nulls_last(), *[_order(c) for c in tie_break]]
+    picked = latest_per_key(rows.select(*attrs, batch), [key, batch], ordered)
+    old = chain.select(F.col(key).alias("__key"), F.col(batch).alias("__batch"), F.col(updated_at).alias("__at"),
+                       F.struct(*[F.col(a) for a in attrs]).alias("__row"))
+    met = picked.join(old, F.col(key) == F.col("__key"), "left")
+    earlier = F.col("__batch") < F.col(batch)
+    later = F.col("__batch") >= F.col(batch)
+    one = met.groupBy(batch, *attrs).agg(
+        F.count("__batch").alias("__n"),
+        F.count_if(earlier).alias("__earlier"),
+        F.max(F.when(earlier, F.col("__at"))).alias("__prev"),
+        F.count_if((F.col("__batch") == F.col(batch))
+                   & F.col("__row").eqNullSafe(F.struct(*[F.col(a) for a in attrs]))).alias("__again"),
+        F.min(F.when(later, F.col("__at"))).alias("__next"),
+        F.count_if(later & F.col("__at").isNull()).alias("__timeless"))
+    beats = F.col(updated_at).isNotNull() & (F.col("__prev").isNull() | (F.col(updated_at) > F.col("__prev")))
+    since = F.when((F.col("__n") > 0) & (F.col("__timeless") == 0) & F.col(updated_at).isNotNull(),
+                   F.least(updated_at, F.coalesce("__next", F.col(updated_at))))
+    return (one.where(((F.col("__earlier") == 0) | beats) & (F.col("__again") == 0))
+            .select(*attrs, batch, since.alias("since")))
+
+
+def scd2_splice(chain: DataFrame, decisive: DataFrame, key: str, updated_at: str, batch: str,
+                attrs: Sequence[str], tie_break: Sequence[str | Column] = ()) -> DataFrame:
+    """The chain with the decisive rows of a batch in their place.  Only the
+    chains of their keys are windowed again; all others are carried as they are."""
+    keys = decisive.select(key).distinct()
+    rows = decisive.select(*attrs, batch)
+    mended = scd2_chain(chain.join(keys, key, "left_semi").select(*attrs, batch).unionByName(rows),
+                        key, updated_at, batch, attrs, tie_break)
+    return chain.join(keys, key, "left_anti").select(*attrs, batch).unionByName(mended)

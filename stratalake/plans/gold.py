@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions.expressions import line_amount, to_day
 from ..operators.joins import pit_join
-from ..operators.scd2 import scd2_merge, scd2_rebuild
+from ..operators.scd2 import scd2_decisive, scd2_merge, scd2_rebuild, scd2_splice, scd2_versions
 from ..operators.spine import calendar_attributes, date_spine
 from ..sources.schemas import INGESTED_AT, STAGED_TYPES
 from .silver import ORDER, clean_customers
@@ -47,6 +47,29 @@ def customer_snapshot_merge(history: DataFrame | None,
     return scd2_merge(history, staged, key="customer_id", updated_at="updated_at")
 
 
+_CHAIN = dict(key="customer_id", updated_at="updated_at", batch=INGESTED_AT, attrs=CUSTOMER_ATTRS)
+
+
+def staged_customers(bronze_customers: DataFrame) -> DataFrame:
+    """Bronze customer rows cleaned and staged as the refine does, with their ingest stamp."""
+    return stage(clean_customers(bronze_customers), "customers", keep=(INGESTED_AT,))
+
+
+def customer_changes(chain: DataFrame, batch: DataFrame) -> DataFrame:
+    """The staged rows of a batch that change a customer's versions, with ``since``."""
+    return scd2_decisive(chain, batch, tie_break=ORDER["customers"][2:], **_CHAIN)
+
+
+def customer_chain(chain: DataFrame, changes: DataFrame) -> DataFrame:
+    """SC1 for a batch of any stamp: the chain state with the changes in place."""
+    return scd2_splice(chain, changes, tie_break=ORDER["customers"][2:], **_CHAIN)
+
+
+def customer_snapshot(chain: DataFrame) -> DataFrame:
+    """The versions that the stored chain stands for."""
+    return scd2_versions(chain, **_CHAIN)
+
+
 # ---- marts ----------------------------------------------------------------------
 
 def dim_customer(snapshot: DataFrame) -> DataFrame:

@@ -11,19 +11,21 @@ from __future__ import annotations
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import TABLES
 from ..operators import contracts as C
-from ..operators.reconcile import reconcile
-from ..sources.lake import (Lake, current_version, prune_versions, read_version, table_version,
-                            next_version, version_tag, write_version)
+from ..functions.expressions import line_amount
+from ..operators.reconcile import differing_rows, dimension_parts, fold_metrics, recon_checks, reconcile
+from ..sources.lake import Lake, append_version, current_folder, footer_scan, table_version
 from ..sources.schemas import BRONZE, EXTRACT_DATE, GOLD, INGESTED_AT, RAW, SILVER
 from . import gold as G
 from . import silver as S
 from .bronze import conform_raw, ingest_stamp, stamp_lineage
+from .incremental import MONTH, IncrementalState, month_of
 
 GOLD_TABLES = ("customer_snapshot", "dim_customer", "dim_product", "dim_date", "fact_sales")
 
@@ -46,11 +48,10 @@ def _concurrently(*steps: Callable[[], object]) -> list:
 class Pipeline:
     """``mode="rebuild"`` recomputes silver and the SCD2 snapshot from all of
     bronze on every run (stateless, per-batch version history).
-    ``mode="incremental"`` keeps a versioned newest-row-per-key state that each
-    ingest merges its batch into, and advances the snapshot with one SCD2 merge
-    per build: a run costs O(state + batch) instead of O(all bronze), which is
-    what keeps daily full extracts affordable after years of history.  Silver
-    is identical in both modes."""
+    ``mode="incremental"`` takes each batch, in whatever order batches come,
+    into a state of newest rows and version chains, and builds only the months
+    that it touches (see ``plans.incremental``).  All layers are identical in
+    both modes."""
 
     spark: SparkSession
     lake: Lake
@@ -75,7 +76,7 @@ class Pipeline:
             src = raw[t] if raw is not None else self.lake.read_raw(self.spark, extract_date, t, RAW[t])
             src = conform_raw(src, t)
             # rows landed, counted by the write job itself (no second pass)
-            seen = Observation(f"ingest_{t}_{version_tag(stamp)}")
+            seen = Observation()
             rows = stamp_lineage(src, extract_date, stamp).observe(
                 seen, F.count(F.lit(1)).alias("rows"))
             self.lake.append(rows, self.lake.bronze_path(t), partition_by=[EXTRACT_DATE])
@@ -88,43 +89,34 @@ class Pipeline:
         return counts
 
     # ---- incremental state ---------------------------------------------------
+    @property
+    def state(self) -> IncrementalState:
+        return IncrementalState(self.spark, self.lake)
+
     def _newest_path(self, table: str) -> str:
-        return self.lake.state_path(f"newest_{table}")
+        return self.state.dimension_path(table)
 
     def _advance_newest(self, extract_date: str, stamp: str) -> None:
-        """Merge the batch just landed into the newest-row state, whatever its stamp.
-
-        Versions are numbered by commit, not by stamp, so a late or replayed
-        batch reaches every later version; merging a batch again changes
-        nothing, since the state holds one row per key."""
-
-        def one(t: str) -> None:
-            path = self._newest_path(t)
-            prev = current_version(self.spark, path)
-            batch = self.bronze(t).where(
-                (F.col(EXTRACT_DATE) == F.lit(extract_date).cast("date"))
-                & (F.col(INGESTED_AT) == F.lit(stamp).cast("timestamp_ntz")))
-            rows = batch if prev is None else \
-                read_version(self.spark, path, prev, BRONZE[t]).unionByName(batch)
-            write_version(S.newest_rows(rows, t), path, next_version(prev))
-            if prev is not None:
-                prune_versions(self.spark, path, keep_from=prev)
-
-        _concurrently(*[lambda t=t: one(t) for t in TABLES])
+        """Take the batch just landed into the state, whatever its stamp; a lake
+        without state starts from all of its bronze."""
+        batch = {t: self.bronze(t) for t in TABLES}
+        if self.state.started():
+            batch = {t: df.where((F.col(EXTRACT_DATE) == F.lit(extract_date).cast("date"))
+                                 & (F.col(INGESTED_AT) == F.lit(stamp).cast("timestamp_ntz")))
+                     for t, df in batch.items()}
+        self.state.advance(batch)
 
     def newest(self, table: str) -> DataFrame:
-        path = self._newest_path(table)
-        v = current_version(self.spark, path)
-        if v is None:
-            raise FileNotFoundError(f"no newest-row state under {path}")
-        return read_version(self.spark, path, v, BRONZE[table])
+        return self.state.newest(table)
 
     def bronze(self, table: str) -> DataFrame:
-        return self.lake.read(self.spark, self.lake.bronze_path(table), BRONZE[table])
+        df = self.lake.read(self.spark, self.lake.bronze_path(table), BRONZE[table])
+        return df.select(*BRONZE[table].fieldNames())
 
     # ---- silver ------------------------------------------------------------
     def silver(self, table: str) -> DataFrame:
-        return self.lake.read(self.spark, self.lake.silver_path(table), SILVER[table])
+        df = self.lake.read(self.spark, self.lake.silver_path(table), SILVER[table])
+        return df.select(*SILVER[table].fieldNames())
 
     def serving(self, table: str) -> DataFrame:
         return self.lake.read(self.spark, self._serving_path(table), SILVER[table],
@@ -141,17 +133,11 @@ class Pipeline:
         """SV5: write silver table by table; each later table reads the stored
         earlier ones (no recomputation of the cascade).  Independent tables
         are written concurrently.  Returns the kept/dropped report."""
-        bronze = {t: self.bronze(t) for t in TABLES}
         if self.mode == "incremental":
-            newest = {t: self.newest(t) for t in TABLES}
-        else:
-            newest = {t: S.newest_rows(bronze[t], t) for t in TABLES}
-
-        def write(t: str, df: DataFrame) -> None:
-            self.lake.overwrite(df, self.lake.silver_path(t))
-            if self.lake.fmt != "parquet":
-                self.lake.overwrite(self.silver(t), self.lake.serving_path(t), fmt="parquet")
-
+            return self._refine_months()
+        bronze = {t: self.bronze(t) for t in TABLES}
+        newest = {t: S.newest_rows(bronze[t], t) for t in TABLES}
+        write = self._write_silver
         _concurrently(lambda: write("customers", S.finish_customers(newest["customers"])),
                       lambda: write("products", S.finish_products(newest["products"])))
         write("orders", S.finish_orders(newest["orders"], self.silver("customers")))
@@ -161,6 +147,53 @@ class Pipeline:
         self.log.append(("refine",))
         return stats
 
+    def _write_silver(self, t: str, df: DataFrame) -> None:
+        self.lake.overwrite(df, self.lake.silver_path(t))
+        self._export(t)
+
+    def _export(self, t: str) -> None:
+        if self.lake.fmt != "parquet":
+            self.lake.overwrite(self.silver(t), self.lake.serving_path(t), fmt="parquet")
+
+    def _to_build(self, layer: str, *paths: str) -> tuple[list[str], set[str]]:
+        """The unsettled marks of a layer and the months to build: the marked
+        ones, or all where a table is not laid out by month yet."""
+        marks, months = self.state.marked(layer)
+        if not all(self.lake.partitioned(self.spark, p, MONTH) for p in paths):
+            months = self.state.all_months()
+        return marks, months
+
+    def _replace_months(self, df: DataFrame, path: str, months: set[str]) -> None:
+        if self.lake.partitioned(self.spark, path, MONTH):
+            if months:
+                self.lake.overwrite_partitions(df, path, MONTH, months)
+        else:
+            self.lake.overwrite(df, path, partition_by=[MONTH] if months else None)
+
+    def _month_rows(self, path: str, schema, months: set[str]) -> DataFrame:
+        return self.state.monthly(path, schema, months)
+
+    def _refine_months(self) -> DataFrame:
+        """SV1-SV5 of the months that the batches since the last build touch."""
+        state, path = self.state, self.lake.silver_path
+        marks, months = self._to_build("silver", path("orders"), path("order_items"))
+        _concurrently(lambda: self._write_silver("customers", S.finish_customers(state.newest("customers"))),
+                      lambda: self._write_silver("products", S.finish_products(state.newest("products"))))
+        self._replace_months(S.finish_orders(state.rows("orders", months), self.silver("customers"), (MONTH,)),
+                             path("orders"), months)
+        orders = self._month_rows(path("orders"), SILVER["orders"], months)
+        self._replace_months(S.finish_order_items(state.rows("order_items", months), orders,
+                                                  self.silver("products"), (MONTH,)),
+                             path("order_items"), months)
+        if months:
+            state.account_silver(orders, self._month_rows(path("order_items"), SILVER["order_items"], months), months)
+            for t in ("orders", "order_items"):
+                self._export(t)
+        state.mark(months, "gold")
+        state.settle(marks)
+        self.log.append(("refine", sorted(months)))
+        return state.refine_stats({t: self.silver(t) for t in ("customers", "products")})
+
     # ---- contracts ---------------------------------------------------------
     def validate(self) -> DataFrame:
         """Q5 over the serving copy; raises :class:`ContractError` on failure."""
@@ -174,37 +207,37 @@ class Pipeline:
     def gold(self, table: str) -> DataFrame:
         if table == "customer_snapshot":
             return self.snapshot()
-        return self.lake.read(self.spark, self.lake.gold_path(table), GOLD[table])
+        df = self.lake.read(self.spark, self.lake.gold_path(table), GOLD[table])
+        return df.select(*GOLD[table].fieldNames())
 
-    def snapshot(self, before: str | None = None) -> DataFrame | None:
+    def snapshot(self) -> DataFrame | None:
         """The SCD2 history.  Rebuild mode derives it from bronze on every
         build, so it is not stored twice: it is read back from ``dim_customer``
-        (same rows, snapshot column names).  Incremental mode keeps it as
-        versioned state; this returns its newest version."""
+        (same rows, snapshot column names).  Incremental mode keeps the version
+        chains as state; this returns the versions they stand for."""
         if self.mode == "rebuild":
             d = self.gold("dim_customer")
             return d.select("customer_id", "name", "segment", "city",
                             F.col("valid_from").alias("updated_at"),
                             F.col("customer_sk").alias("scd_id"), "valid_from", "valid_to")
-        path = self.lake.state_path("customer_snapshot")
-        v = current_version(self.spark, path, before=before)
-        return None if v is None else read_version(self.spark, path, v)
+        chain = self.state.chain()
+        return None if chain is None else G.customer_snapshot(chain)
 
     def _write_dim_customer(self) -> None:
-        w = lambda df: self.lake.overwrite(df, self.lake.gold_path("dim_customer"))
-        if self.mode == "rebuild":
-            w(G.dim_customer(G.customer_snapshot_rebuild(self.bronze("customers"))))
-            return
-        # one snapshot run per build, versioned like the state it reads
-        tag = current_version(self.spark, self._newest_path("customers"))
-        snap_path = self.lake.state_path("customer_snapshot")
-        prev = current_version(self.spark, snap_path, before=tag)
-        history = self.snapshot(before=tag)
-        merged = G.customer_snapshot_merge(history, self.silver("customers"))
-        write_version(merged, snap_path, tag)
-        if prev is not None:
-            prune_versions(self.spark, snap_path, keep_from=prev)
-        w(G.dim_customer(self.snapshot()))
+        snapshot = self.snapshot() if self.mode == "incremental" else \
+            G.customer_snapshot_rebuild(self.bronze("customers"))
+        self.lake.overwrite(G.dim_customer(snapshot), self.lake.gold_path("dim_customer"))
+
+    def _fact_months(self) -> list[str]:
+        """G4 of the months that the batches since the last build touch; returns the marks to settle."""
+        silver, path = self.lake.silver_path, self.lake.gold_path("fact_sales")
+        marks, months = self._to_build("gold", path)
+        stg = {t: G.stage(self._month_rows(silver(t), SILVER[t], months), t) for t in ("orders", "order_items")}
+        fact = G.fact_sales(stg["order_items"], stg["orders"], self.gold("dim_customer"))
+        self._replace_months(fact.withColumn(MONTH, month_of(F.col("date_day"))), path, months)
+        if months:
+            self.state.account_fact(self._month_rows(path, GOLD["fact_sales"], months), months)
+        return marks
 
     def build_gold(self) -> DataFrame:
         """Dims and fact, each written and read back; then the model tests
@@ -214,27 +247,52 @@ class Pipeline:
         stg = G.stage_all(silver)
         w = lambda name, df: self.lake.overwrite(df, self.lake.gold_path(name))
 
-        def customer_chain() -> None:
+        def customer_chain() -> list[str]:
             self._write_dim_customer()
+            if self.mode == "incremental":
+                return self._fact_months()
             w("fact_sales", G.fact_sales(stg["order_items"], stg["orders"],
                                          self.gold("dim_customer")))
+            return []
 
-        _concurrently(customer_chain,
-                      lambda: w("dim_product", G.dim_product(stg["products"])),
-                      lambda: w("dim_date", G.dim_date(stg["orders"])))
+        marks, *_ = _concurrently(customer_chain,
+                                  lambda: w("dim_product", G.dim_product(stg["products"])),
+                                  lambda: w("dim_date", G.dim_date(stg["orders"])))
         report = C.model_test_report({t: self.gold(t) for t in GOLD_TABLES})
         failed = C.failed_rules(report)
         if failed:
             raise C.ContractError(f"gold model tests failed: {failed}")
+        self.state.settle(marks)
         self.log.append(("gold",))
         return report
 
     # ---- reconcile ---------------------------------------------------------
-    def reconcile(self) -> DataFrame:
-        """R6 on the stored layers; a one-row report."""
+    def reconcile(self, full: bool = True) -> DataFrame:
+        """R6 on the stored layers; a one-row report.  ``full=False`` adds up the
+        accounts of the months in place of reading the fact and the lines."""
+        if self.mode == "incremental" and not full:
+            total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("decimal(38,2)" if c == "revenue" else "long")
+            return recon_checks(fold_metrics([
+                self.state.fact_accounts().agg(total("revenue").alias("fact_revenue"), total("rows").alias("fact_rows"),
+                                               total("unresolved").alias("unresolved_customer_sk")),
+                self.state.silver_accounts().agg(total("revenue").alias("silver_revenue"),
+                                                 total("items").alias("silver_items")),
+                *dimension_parts(self.gold("dim_customer"), self.silver("customers"))]))
         return reconcile(self.gold("fact_sales"), self.silver("order_items"),
                          self.gold("dim_customer"), self.silver("customers"))
 
+    def differing_lines(self) -> DataFrame:
+        """R1, R2 by content: lines whose amount differs between the fact and silver, or which only one has."""
+        lines = G.stage(self.silver("order_items"), "order_items").select(
+            "order_item_id", line_amount("quantity", "unit_price").alias("amount"))
+        return differing_rows(self.gold("fact_sales"), lines, "order_item_id", ["amount"])
+
+    def export_fact(self) -> str:
+        """The fact as a copy for readers outside, in ranges of the day; returns its folder."""
+        path = self.lake.serving_path("fact_sales")
+        self.lake.export(self.gold("fact_sales"), path, "date_day")
+        return current_folder(self.spark, path)
+
     # ---- orchestration -----------------------------------------------------
     def run_day(self, extract_date: str, ingested_at: str | None = None,
                 raw: dict[str, DataFrame] | None = None) -> None:
@@ -258,26 +316,30 @@ class Pipeline:
 
     # ---- inspection --------------------------------------------------------
     def inspect(self) -> DataFrame:
-        """(layer, table_name, version, rows) for every stored table."""
+        """(layer, table_name, version, rows) for every stored table, from
+        the file footers: no rows are read.  Versions of bronze are its appends."""
+        nothing = F.lit(None).cast("bigint").alias("version")
         parts = []
+
+        def add(layer: str, table: str, path: str) -> None:
+            if not self.lake.exists(self.spark, path):
+                return
+            if layer == "bronze" and self.lake.fmt == "parquet":
+                counted = append_version(self.spark, path)
+            elif layer == "bronze":
+                counted = table_version(self.bronze(table))
+            elif self.lake.fmt == "parquet":
+                counted = footer_scan(self.spark, path).agg(F.count(F.lit(1)).alias("rows")).select(nothing, "rows")
+            else:
+                counted = self.lake.read(self.spark, path).agg(F.count(F.lit(1)).alias("rows")).select(nothing, "rows")
+            parts.append(counted.select(F.lit(layer).alias("layer"), F.lit(table).alias("table_name"), "version", "rows"))
+
         for t in TABLES:
-            if self.lake.exists(self.spark, self.lake.bronze_path(t)):
-                parts.append(table_version(self.bronze(t)).select(
-                    F.lit("bronze").alias("layer"), F.lit(t).alias("table_name"),
-                    "version", "rows"))
-            if self.lake.exists(self.spark, self.lake.silver_path(t)):
-                parts.append(self.silver(t).agg(F.count(F.lit(1)).alias("rows")).select(
-                    F.lit("silver").alias("layer"), F.lit(t).alias("table_name"),
-                    F.lit(None).cast("bigint").alias("version"), "rows"))
+            add("bronze", t, self.lake.bronze_path(t))
+            add("silver", t, self.lake.silver_path(t))
         for t in GOLD_TABLES:
-            stored = "dim_customer" if t == "customer_snapshot" else t
-            if self.lake.exists(self.spark, self.lake.gold_path(stored)):
-                parts.append(self.gold(t).agg(F.count(F.lit(1)).alias("rows")).select(
-                    F.lit("gold").alias("layer"), F.lit(t).alias("table_name"),
-                    F.lit(None).cast("bigint").alias("version"), "rows"))
+            # rebuild mode stores the snapshot as dim_customer; so many versions have the chains too
+            add("gold", t, self.lake.gold_path("dim_customer" if t == "customer_snapshot" else t))
         if not parts:
             raise FileNotFoundError(f"no lake tables under {self.lake.root}")
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.unionByName(p)
-        return out
+        return reduce(lambda a, b: a.unionByName(b), parts)

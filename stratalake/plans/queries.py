@@ -15,15 +15,19 @@ from pyspark.sql import functions as F
 
 from .. import TABLES
 from ..operators import contracts as C
-from ..operators.joins import asof_within
+from ..operators.joins import asof_within, sweep_join
 from ..operators.windows import next_in_key
-from ..operators.reconcile import CHECKS, METRICS, recon_checks, recon_metrics, validity_audit
+from ..operators.reconcile import (CHECKS, METRICS, differing_rows, recon_checks, recon_metrics,
+                                   validity_audit)
+from ..functions.expressions import line_amount
 from ..sources import fixtures as fx
-from ..sources.lake import table_history, table_version
-from ..sources.schemas import EXTRACT_DATE, INGESTED_AT
+from ..sources.lake import scratch_lake, table_history, table_version
+from ..sources.schemas import EXTRACT_DATE, GOLD, INGESTED_AT, SILVER
 from ..sources.tables import read_source
 from . import gold as G
 from . import silver as S
+from . import stored
+from .faults import faulty_gold, faulty_silver, misdated_fact, swapped_amounts
 
 
 def _union(dfs: list[DataFrame]) -> DataFrame:
@@ -95,6 +99,63 @@ class Chain:
                              self.silver["customers"])
 
 
+class StoredChain(Chain):
+    """The layers of a fixture variant, each written once below the session's
+    shared folder and read back.
+
+    For reports that read a layer many times: as one lazy plan, every use would
+    scan the sources and build the layer again."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, variant: str = "clean"):
+        super().__init__(spark, sf_dir, variant)
+        self.lake = scratch_lake(spark)
+
+    def _stored(self, path: str, df: DataFrame, schema) -> DataFrame:
+        self.lake.overwrite(df, path)
+        return self.lake.read(self.spark, path, schema)
+
+    def _silver_table(self, t: str, df: DataFrame) -> DataFrame:
+        return self._stored(self.lake.silver_path(t), df, SILVER[t])
+
+    @property
+    def silver(self) -> dict[str, DataFrame]:
+        return self._m("silver", self._write_silver)
+
+    def _write_silver(self) -> dict[str, DataFrame]:
+        newest = {t: S.newest_rows(self.bronze[t], t) for t in TABLES}
+        out = {"customers": self._silver_table("customers", S.finish_customers(newest["customers"])),
+               "products": self._silver_table("products", S.finish_products(newest["products"]))}
+        out["orders"] = self._silver_table("orders", S.finish_orders(newest["orders"], out["customers"]))
+        out["order_items"] = self._silver_table("order_items", S.finish_order_items(
+            newest["order_items"], out["orders"], out["products"]))
+        return out
+
+    @property
+    def dim_customer(self) -> DataFrame:
+        return self._m("dim_customer", lambda: self._stored(
+            self.lake.gold_path("dim_customer"), G.dim_customer(super(StoredChain, self).snapshot), GOLD["dim_customer"]))
+
+    @property
+    def snapshot(self) -> DataFrame:
+        return self.dim_customer.select("customer_id", "name", "segment", "city",
+                                        F.col("valid_from").alias("updated_at"),
+                                        F.col("customer_sk").alias("scd_id"), "valid_from", "valid_to")
+
+    @property
+    def fact_lines(self) -> DataFrame:
+        return self.staged["order_items"]
+
+    @property
+    def gold(self) -> dict[str, DataFrame]:
+        return self._m("gold", lambda: {
+            "customer_snapshot": self.snapshot,
+            "dim_customer": self.dim_customer,
+            "dim_product": G.dim_product(self.staged["products"]),
+            "dim_date": G.dim_date(self.staged["orders"]),
+            "fact_sales": self._stored(self.lake.gold_path("fact_sales"), self.fact_sales(), GOLD["fact_sales"]),
+        })
+
+
 # ---- bronze -------------------------------------------------------------------
 
 def bronze_lineage_counts(spark, sf_dir):
@@ -140,7 +201,7 @@ def silver_as_of(spark, sf_dir):
 
 def refine_stats(spark, sf_dir):
     """SV5/A8: kept and dropped rows per table."""
-    ch = Chain(spark, sf_dir)
+    ch = StoredChain(spark, sf_dir)
     return S.refine_stats(ch.bronze, ch.silver)
 
 
@@ -242,23 +303,46 @@ def bogus_segment_copy(customers: DataFrame) -> DataFrame:
 
 
 def contract_suite_report(spark, sf_dir):
-    """Q5 on the clean silver and on silver with an injected BOGUS segment row."""
-    silver = Chain(spark, sf_dir).silver
-    dirty = dict(silver, customers=bogus_segment_copy(silver["customers"]))
-    return _union([C.suite_report(s).select(F.lit(v).alias("variant"), "*")
-                   for v, s in (("clean", silver), ("bogus_segment", dirty))])
+    """Q5 on the clean silver and on silver with an injected BOGUS segment row.
+
+    Only customers differ, so the rules of the other tables are evaluated once."""
+    silver = StoredChain(spark, sf_dir).silver
+    suites = dict(C.SILVER_SUITES)
+    customers = {"customers": suites.pop("customers")}
+    both = F.explode(F.array(F.lit("clean"), F.lit("bogus_segment"))).alias("variant")
+    return _union([
+        C.suite_report(silver, suites).select(both, "*"),
+        C.suite_report(silver, customers).select(F.lit("clean").alias("variant"), "*"),
+        C.suite_report({"customers": bogus_segment_copy(silver["customers"])}, customers).select(
+            F.lit("bogus_segment").alias("variant"), "*")])
 
 
 def model_test_report(spark, sf_dir):
     """DT1-DT5 over the gold tables."""
-    return C.model_test_report(Chain(spark, sf_dir).gold)
+    return C.model_test_report(StoredChain(spark, sf_dir).gold)
+
+
+def contract_faults(spark, sf_dir):
+    """Q1-Q5 on silver with faults of every kind: each rule counts some."""
+    return C.suite_report(faulty_silver(StoredChain(spark, sf_dir).silver))
+
+
+def model_test_faults(spark, sf_dir):
+    """DT1-DT5, J6 on gold with faults of every kind: each test counts some."""
+    return C.model_test_report(faulty_gold(StoredChain(spark, sf_dir).gold))
+
+
+def pit_validity_faults(spark, sf_dir):
+    """J7 on a fact of which every eleventh line is misdated."""
+    ch = Chain(spark, sf_dir)
+    return validity_audit(misdated_fact(ch.gold["fact_sales"]), ch.dim_customer)
 
 
 # ---- reconciliation -----------------------------------------------------------
 
 def recon_metrics_q(spark, sf_dir):
     """R1-R5 metrics plus the check flags and ``ok``."""
-    out = recon_checks(Chain(spark, sf_dir).recon())
+    out = recon_checks(StoredChain(spark, sf_dir).recon())
     return out.select(*METRICS, *CHECKS, F.size("breaks").alias("n_breaks"), "ok")
 
 
@@ -267,9 +351,27 @@ def _first_ids(df: DataFrame, col: str, n: int) -> DataFrame:
     return df.select(col).orderBy(col).limit(n)
 
 
+def reopened(snap: DataFrame) -> DataFrame:
+    """Fault: the first closed version of the first customer with one is open again."""
+    closed = snap.where(F.col("valid_to").isNotNull())
+    k = closed.agg(F.min("customer_id")).scalar()
+    v = closed.where(F.col("customer_id") == k).agg(F.min("valid_from")).scalar()
+    return snap.withColumn("valid_to", F.when(
+        (F.col("customer_id") == k) & (F.col("valid_from") == v),
+        F.lit(None).cast("timestamp_ntz")).otherwise(F.col("valid_to")))
+
+
+def pit_reopened_sweep(spark, sf_dir):
+    """J5 where some windows overlap: every order with the versions valid at its time."""
+    ch = StoredChain(spark, sf_dir)
+    orders = ch.staged["orders"].select("order_id", "customer_id", "order_ts")
+    return sweep_join(orders, G.dim_customer(reopened(ch.snapshot)), "customer_id", "order_ts", ["customer_sk"],
+                      bucket=lambda c: F.date_trunc("month", c))
+
+
 def recon_variants(spark, sf_dir) -> dict[str, DataFrame]:
     """Metrics of the clean build and of one build per injected fault."""
-    ch = Chain(spark, sf_dir)
+    ch = StoredChain(spark, sf_dir)
     fact, dim, snap = ch.gold["fact_sales"], ch.dim_customer, ch.snapshot
     out = {"clean": ch.recon()}
     # delete three fact rows -> revenue and row count break
@@ -286,17 +388,11 @@ def recon_variants(spark, sf_dir) -> dict[str, DataFrame]:
     out["drop_current_dim_row"] = ch.recon(dim=dim.where(
         ~(F.col("is_current") & (F.col("customer_id") == cur_first))))
     # new customers' early orders kept -> unresolved keys
-    out["early_new_orders"] = Chain(spark, sf_dir, variant="early_new_orders").recon()
+    out["early_new_orders"] = StoredChain(spark, sf_dir, variant="early_new_orders").recon()
     # point-in-time join without the open-end coalesce -> unresolved keys
     out["no_open_end"] = ch.recon(fact=ch.fact_sales(open_upper=False))
     # reopen the first closed version -> two current versions, fan-out in the fact
-    closed = snap.where(F.col("valid_to").isNotNull())
-    k = closed.agg(F.min("customer_id")).scalar()
-    v = closed.where(F.col("customer_id") == k).agg(F.min("valid_from")).scalar()
-    snap2 = snap.withColumn("valid_to", F.when(
-        (F.col("customer_id") == k) & (F.col("valid_from") == v),
-        F.lit(None).cast("timestamp_ntz")).otherwise(F.col("valid_to")))
-    dim2 = G.dim_customer(snap2)
+    dim2 = G.dim_customer(reopened(snap))
     out["reopen_closed_version"] = ch.recon(fact=ch.fact_sales(dim=dim2), dim=dim2)
     return out
 
@@ -308,12 +404,19 @@ def recon_breaks(spark, sf_dir):
                    for v, m in recon_variants(spark, sf_dir).items()])
 
 
+def recon_swapped_amounts(spark, sf_dir):
+    """R1, R2 by content: amounts exchanged between lines, which no total shows, found by digests."""
+    ch = Chain(spark, sf_dir)
+    lines = ch.staged["order_items"].select("order_item_id", line_amount("quantity", "unit_price").alias("amount"))
+    return differing_rows(swapped_amounts(ch.gold["fact_sales"]), lines, "order_item_id", ["amount"])
+
+
 # ---- inspection and the flagship ---------------------------------------------
 
 def layer_inspect(spark, sf_dir):
     """(layer, table_name, rows) for every layer table.  Bronze versions
     are reported by ``bronze_version``; overwrite layers keep no history."""
-    ch = Chain(spark, sf_dir)
+    ch = StoredChain(spark, sf_dir)
     parts = []
     for layer, tables in (("bronze", ch.bronze), ("silver", ch.silver), ("gold", ch.gold)):
         for t, df in tables.items():
@@ -355,16 +458,22 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fact_sales": _gold_table("fact_sales"),
     "pit_events": pit_events,
     "pit_validity_audit": pit_validity_audit,
+    "pit_reopened_sweep": pit_reopened_sweep,
     "contract_not_null": _contract_kind("not_null"),
     "contract_unique": _contract_kind("unique"),
     "contract_in_set": _contract_kind("in_set"),
     "contract_between": _contract_kind("between"),
     "contract_suite_report": contract_suite_report,
     "model_test_report": model_test_report,
+    "contract_faults": contract_faults,
+    "model_test_faults": model_test_faults,
+    "pit_validity_faults": pit_validity_faults,
     "recon_metrics": recon_metrics_q,
     "recon_breaks": recon_breaks,
+    "recon_swapped_amounts": recon_swapped_amounts,
     "layer_inspect": layer_inspect,
     "revenue_by_status": revenue_by_status,
+    **stored.QUERIES,
 }
 
 __all__ = ["QUERIES", "Chain"]

@@ -45,8 +45,8 @@ def newest_rows(rows: DataFrame, table: str) -> DataFrame:
     return latest_per_key(rows, KEYS[table], ORDER[table])
 
 
-def _silver_cols(df: DataFrame, table: str) -> DataFrame:
-    return df.select(*SILVER[table].fieldNames())
+def _silver_cols(df: DataFrame, table: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    return df.select(*SILVER[table].fieldNames(), *keep)
 
 
 def finish_customers(newest: DataFrame) -> DataFrame:
@@ -57,13 +57,14 @@ def finish_products(newest: DataFrame) -> DataFrame:
     return _silver_cols(newest, "products")
 
 
-def finish_orders(newest: DataFrame, customers: DataFrame) -> DataFrame:
+def finish_orders(newest: DataFrame, customers: DataFrame,
+                  keep: tuple[str, ...] = ()) -> DataFrame:
     kept = newest.where(F.col("status").isNotNull())
-    return _silver_cols(keep_matching(kept, customers, "customer_id"), "orders")
+    return _silver_cols(keep_matching(kept, customers, "customer_id"), "orders", keep)
 
 
 def finish_order_items(newest: DataFrame, orders: DataFrame | None,
-                       products: DataFrame) -> DataFrame:
+                       products: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """``orders=None`` leaves out the order check, for a caller that inner
     joins the lines to the silver orders on ``order_id`` anyway (the fact
     build): that join keeps exactly the lines the check would keep, so the
@@ -72,7 +73,7 @@ def finish_order_items(newest: DataFrame, orders: DataFrame | None,
     if orders is not None:
         kept = keep_matching(kept, orders, "order_id")
     kept = keep_matching(kept, products, "product_id")
-    return _silver_cols(kept, "order_items")
+    return _silver_cols(kept, "order_items", keep)
 
 
 def refine_customers(bronze: DataFrame) -> DataFrame:

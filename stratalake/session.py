@@ -19,6 +19,8 @@ REQUIRED_CONF = {
     # split a hot key's join partition even where that costs an extra shuffle
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # counts and bounds from Parquet footers, where a table is read by the newer file source
+    "spark.sql.parquet.aggregatePushdown": "true",
 }
 
 

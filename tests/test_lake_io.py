@@ -59,3 +59,42 @@ def test_failed_overwrite_keeps_the_old_table(spark, scratch):
     assert lake.read(spark, path).count() == 10
     lake.overwrite(lake.read(spark, path).where("id < 3"), path)
     assert lake.read(spark, path).count() == 3
+
+
+def test_two_appends_of_one_stamp_are_two_versions(spark, scratch):
+    from stratalake.sources.lake import append_history, append_version
+    lake = Lake(scratch)
+    path = lake.bronze_path("t")
+    for values in ([(1, "a"), (2, "b")], [(3, "c")]):
+        lake.append(stamp_lineage(spark.createDataFrame(values, "id long, v string"), "2024-01-01",
+                                  "2024-01-01 01:00:00"), path, partition_by=["_extract_date"])
+    version = append_version(spark, path)
+    assert tuple(version.first()) == (1, 3)
+    assert [(h.version, h.rows) for h in append_history(spark, path).orderBy("version").collect()] == [(0, 2), (1, 1)]
+    # the counts come from the footers
+    assert "PushedAggregation: [COUNT(*)]" in version._jdf.queryExecution().executedPlan().toString()
+
+
+def test_overwrite_that_broke_off_is_not_read(spark, scratch):
+    """A version without Spark's commit mark is ignored, and removed by the next overwrite."""
+    import os
+    lake = Lake(scratch)
+    path = lake.silver_path("t")
+    lake.overwrite(spark.range(4), path)
+    os.makedirs(f"{path}/v=00000002")
+    spark.range(9).write.parquet(f"{path}/v=00000002/half")
+    assert lake.read(spark, path).count() == 4
+    lake.overwrite(lake.read(spark, path).where("id > 0"), path)   # reads what it replaces
+    assert lake.read(spark, path).count() == 3
+    lake.overwrite(spark.range(1), path)
+    assert sorted(os.listdir(path)) == ["v=00000002", "v=00000003"]   # the last and the one before
+
+
+def test_partitions_left_empty_go(spark, scratch):
+    lake = Lake(scratch)
+    path = lake.silver_path("t")
+    lake.overwrite(spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "id long, p string"), path, ["p"])
+    lake.overwrite_partitions(lake.read(spark, path).where("id = 2 OR id = 3").where("p != 'c'"), path, "p", ["a", "b", "c"])
+    assert sorted(tuple(r) for r in lake.read(spark, path).select("id", "p").collect()) == [(2, "b")]
+    lake.overwrite_partitions(spark.createDataFrame([(9, "a")], "id long, p string"), path, "p", {"a"})
+    assert sorted(tuple(r) for r in lake.read(spark, path).select("id", "p").collect()) == [(2, "b"), (9, "a")]

@@ -103,3 +103,56 @@ def test_asof_within_one_table(spark):
                       fact_cols=["eid", "k", "ts"], versions={"sid": F.col("eid")})
     assert out.columns == ["eid", "k", "ts", "sid"]
     assert rows(out, "eid", "sid") == [(2, 1), (4, 3), (7, None), (8, None), (9, None)]
+
+
+def _windows(spark, seed, overlap):
+    import random
+    rng = random.Random(seed)
+    vs = []
+    for k in range(30):
+        t, n = 0, 0
+        for _ in range(rng.randint(0, 6)):
+            start = t + rng.randint(0, 3)
+            end = start + rng.randint(0, 4)
+            if overlap and rng.random() < 0.3:
+                start = max(0, start - 3)
+            vs.append((k, f"{k}-{n}", start, end))
+            t, n = max(t, end), n + 1
+        if rng.random() < 0.5:
+            vs.append((k, f"{k}-open", t, None))
+        if rng.random() < 0.2:
+            vs.append((k, f"{k}-null", None, 9))
+    facts = [(i, rng.choice([*range(32), None]), rng.choice([*range(30), None])) for i in range(400)]
+    day = "timestamp_ntz'2024-01-01 00:00:00' + make_interval(0, 0, 0, {})"
+    v = spark.createDataFrame(vs, "k int, sk string, f int, t int").selectExpr(
+        "k", "sk", f"{day.format('f')} AS valid_from", f"{day.format('t')} AS valid_to")
+    f = spark.createDataFrame(facts, "id int, k int, d int").selectExpr("id", "k", f"{day.format('d')} AS ts")
+    return f, v
+
+
+@pytest.mark.parametrize("seed,overlap", [(1, False), (2, True), (3, True)])
+def test_sweep_join_equals_the_range_join(spark, seed, overlap):
+    """With gaps, empty windows, open ends, null keys, times and starts; overlapping windows fan out."""
+    from stratalake.operators.joins import overlapping_keys, pit_join, sweep_join
+    f, v = _windows(spark, seed, overlap)
+    want = sorted(map(repr, pit_join(f, v, "k", "ts", version_cols=["sk"]).collect()))
+    got = sweep_join(f, v, "k", "ts", ["sk"])
+    assert sorted(map(repr, got.collect())) == want
+    assert (len(want) > 400) == overlap == (overlapping_keys(v, "k").count() > 0)
+    cut = sweep_join(f, v, "k", "ts", ["sk"], max_bucket_rows=3)
+    assert sorted(map(repr, cut.collect())) == want
+
+
+def test_a_key_of_very_many_versions_stays_linear(spark):
+    """100,000 versions and as many facts of one customer: compared pairwise, ten billion pairs."""
+    import time
+    from pyspark.sql import functions as F
+    from stratalake.operators.joins import sweep_join
+    at = F.expr("timestamp_ntz'2020-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, cast(id AS int) * 10, 0)")
+    v = spark.range(100_000).select(F.lit(1).alias("k"), F.col("id").alias("sk"), at.alias("valid_from"),
+                                    (at + F.expr("INTERVAL 10 MINUTES")).alias("valid_to"))
+    f = spark.range(100_000).select("id", F.lit(1).alias("k"), (at + F.expr("INTERVAL 3 MINUTES")).alias("ts"))
+    began = time.time()
+    out = sweep_join(f, v, "k", "ts", ["sk"], bucket=lambda c: F.date_trunc("day", c))
+    assert out.where("sk = id").count() == 100_000 == out.count()
+    assert time.time() - began < 120
