@@ -10,6 +10,7 @@ from __future__ import annotations
 from .. import TABLES
 from ..sources.lake import current_folder
 from ..sources.schemas import STAGED_TYPES
+from .incremental import MONTH
 from .pipeline import Pipeline
 
 DATABASE = "stratalake"
@@ -31,6 +32,8 @@ def register(pipe: Pipeline, database: str = DATABASE) -> None:
     def table(name: str, path: str) -> None:
         spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
         spark.sql(f"CREATE TABLE {database}.{name} USING {lake.fmt} LOCATION '{current_folder(spark, path)}'")
+        if lake.fmt != "delta" and lake.partitioned(spark, path, MONTH):
+            spark.sql(f"ALTER TABLE {database}.{name} RECOVER PARTITIONS")
 
     for t in TABLES:
         table(f"silver_{t}", lake.silver_path(t))

@@ -23,6 +23,8 @@ no month that it did not touch.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -49,9 +51,9 @@ LANDED = T.StructType([T.StructField(EXTRACT_DATE, T.DateType()), T.StructField(
                        T.StructField("rows", T.LongType()), T.StructField("table_name", T.StringType())])
 _MONEY = T.DecimalType(38, 2)
 SILVER_ACCOUNTS = T.StructType([T.StructField("orders", T.LongType()), T.StructField("items", T.LongType()),
-                                T.StructField("revenue", _MONEY)])
+                                T.StructField("revenue", _MONEY), T.StructField(MONTH, T.StringType())])
 FACT_ACCOUNTS = T.StructType([T.StructField("rows", T.LongType()), T.StructField("revenue", _MONEY),
-                              T.StructField("unresolved", T.LongType())])
+                              T.StructField("unresolved", T.LongType()), T.StructField(MONTH, T.StringType())])
 CHAIN = T.StructType([T.StructField(c, T.TimestampNTZType() if STAGED_TYPES["customers"][c] == "timestamp_ntz" else
                                     T.LongType() if STAGED_TYPES["customers"][c] == "bigint" else T.StringType())
                       for c in G.CUSTOMER_ATTRS] + [T.StructField(INGESTED_AT, T.TimestampNTZType())])
@@ -71,6 +73,16 @@ def months_in(df: DataFrame, *columns: str) -> set[str]:
     return {r["m"] for r in found}
 
 
+def concurrently(*steps: Callable[[], object]) -> list:
+    """Submit independent Spark jobs together (e.g. the writes of unrelated
+    tables), so small tables do not queue behind large ones."""
+    if len(steps) == 1:
+        return [steps[0]()]
+    with ThreadPoolExecutor(max_workers=len(steps)) as pool:
+        futures = [pool.submit(s) for s in steps]
+        return [f.result() for f in futures]
+
+
 class IncrementalState:
     """``parts`` and ``buckets``: layout of the newest rows of customers and products (``sources.bucketed``)."""
 
@@ -212,23 +224,36 @@ class IncrementalState:
         top = {t: S.newest_rows(batch[t], t) for t in TABLES}
         chain = self.chain()
         chain = chain if chain is not None else self._empty(CHAIN)
-        customers = self._kept(G.customer_changes(chain, G.staged_customers(batch["customers"])), "customers")
-        products = top["products"].select("product_id")
-        if self.dimension("products").exists():
-            products = products.join(self.newest("products"), "product_id", "left_anti")
-        products = self._kept(products, "products")
-        orders = self._kept(self._changed_orders(top["orders"]), "orders")
-        lines = self._kept(self._changed_lines(top["order_items"], orders), "order_items")
-        self.mark(months_in(orders, MONTH, "old_month") | months_in(lines, MONTH, "old_month")
-                  | self._months_of_customers(customers) | self._months_of_products(products))
-        # from here on the state is replaced; lines before orders, whose months place them
-        for t in DIMENSIONS:
-            self.dimension(t).merge(top[t])
-        if not customers.isEmpty() or self.chain() is None:
-            self._commit_version(G.customer_chain(chain, customers), self.chain_path)
-        self._put("order_items", lines)
-        self._put("orders", orders)
-        self._count_landed(batch)
+
+        def customer_changes() -> tuple[DataFrame, set[str]]:
+            found = self._kept(G.customer_changes(chain, G.staged_customers(batch["customers"])), "customers")
+            return found, self._months_of_customers(found)
+
+        def new_products() -> set[str]:
+            new = top["products"].select("product_id")
+            if self.dimension("products").exists():
+                new = new.join(self.newest("products"), "product_id", "left_anti")
+            return self._months_of_products(self._kept(new, "products"))
+
+        def changed_rows() -> tuple[DataFrame, DataFrame, set[str]]:
+            orders = self._kept(self._changed_orders(top["orders"]), "orders")
+            lines = self._kept(self._changed_lines(top["order_items"], orders), "order_items")
+            return orders, lines, months_in(orders, MONTH, "old_month") | months_in(lines, MONTH, "old_month")
+
+        (customers, since), let_in, (orders, lines, moved) = concurrently(customer_changes, new_products, changed_rows)
+        self.mark(since | let_in | moved)
+
+        # from here on the state is replaced
+        def splice() -> None:
+            if not customers.isEmpty() or self.chain() is None:
+                self._commit_version(G.customer_chain(chain, customers), self.chain_path)
+
+        def put_rows() -> None:
+            self._put("order_items", lines)   # lines before orders, whose months place them
+            self._put("orders", orders)
+
+        concurrently(*[lambda t=t: self.dimension(t).merge(top[t]) for t in DIMENSIONS], splice, put_rows,
+                     lambda: self._count_landed(batch))
 
     def _count_landed(self, batch: dict[str, DataFrame]) -> None:
         """Rows in bronze of each ingest in ``batch``; counted again, they replace the old count."""
@@ -263,31 +288,41 @@ class IncrementalState:
         return months_in(self.rows("orders"), MONTH) | months_in(self.rows("order_items"), MONTH)
 
     # ---- accounts ------------------------------------------------------------------
-    def _account(self, name: str, sums: DataFrame, months: set[str]) -> None:
+    def _account(self, name: str, schema: T.StructType, sums: DataFrame, months: set[str]) -> None:
         """Replace the account rows of ``months``; a month without rows counts nothing."""
-        every = self.spark.createDataFrame([(m,) for m in sorted(months)], f"{MONTH} string")
-        amounts = [c for c in sums.columns if c != MONTH]
-        rows = every.join(F.broadcast(sums), MONTH, "left").select(
-            MONTH, *[F.coalesce(c, F.lit(0)).cast(sums.schema[c].dataType).alias(c) for c in amounts])
-        self.lake.overwrite_partitions(rows.coalesce(1), self.lake.state_path(name), MONTH, months, fmt="parquet")
+        path = self.lake.state_path(name)
+        rows = sums.select(*schema.fieldNames())
+        if self.lake.exists(self.spark, path):
+            rows = self._accounts(name, schema).where(~F.col(MONTH).isin(sorted(months))).unionByName(rows)
+        # one row per month
+        self.lake.overwrite(rows.coalesce(1), path, fmt="parquet")
+
+    def _accounts(self, name: str, schema: T.StructType) -> DataFrame:
+        path = self.lake.state_path(name)
+        if not self.lake.exists(self.spark, path):
+            return self._empty(schema)
+        return self.lake.read(self.spark, path, schema, fmt="parquet")
 
     def account_silver(self, orders: DataFrame, items: DataFrame, months: set[str]) -> None:
         """``orders`` and ``items``: silver rows of these months, with their month."""
         counted = orders.groupBy(MONTH).agg(F.count(F.lit(1)).alias("orders"))
         summed = items.groupBy(MONTH).agg(F.count(F.lit(1)).alias("items"),
                                           exact_total(F.col("quantity") * F.col("unit_price")).alias("revenue"))
-        self._account("accounts_silver", counted.join(summed, MONTH, "left"), months)
+        both = counted.join(summed, MONTH, "left").select(
+            "orders", F.coalesce("items", F.lit(0)).alias("items"),
+            F.coalesce("revenue", F.lit(0)).cast(_MONEY).alias("revenue"), MONTH)
+        self._account("accounts_silver", SILVER_ACCOUNTS, both, months)
 
     def account_fact(self, fact: DataFrame, months: set[str]) -> None:
-        self._account("accounts_fact", fact.groupBy(MONTH).agg(
+        self._account("accounts_fact", FACT_ACCOUNTS, fact.groupBy(MONTH).agg(
             F.count(F.lit(1)).alias("rows"), exact_total("amount").alias("revenue"),
             F.count_if(F.col("customer_sk").isNull()).alias("unresolved")), months)
 
     def silver_accounts(self) -> DataFrame:
-        return self.monthly(self.lake.state_path("accounts_silver"), SILVER_ACCOUNTS)
+        return self._accounts("accounts_silver", SILVER_ACCOUNTS)
 
     def fact_accounts(self) -> DataFrame:
-        return self.monthly(self.lake.state_path("accounts_fact"), FACT_ACCOUNTS)
+        return self._accounts("accounts_fact", FACT_ACCOUNTS)
 
     def landed(self) -> DataFrame:
         return self.spark.read.schema(LANDED).parquet(self.lake.state_path("landed"))

@@ -8,8 +8,6 @@ layer is written.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -25,7 +23,7 @@ from ..sources.schemas import BRONZE, EXTRACT_DATE, GOLD, INGESTED_AT, RAW, SILV
 from . import gold as G
 from . import silver as S
 from .bronze import conform_raw, ingest_stamp, stamp_lineage
-from .incremental import MONTH, IncrementalState, month_of
+from .incremental import MONTH, IncrementalState, concurrently, month_of
 
 GOLD_TABLES = ("customer_snapshot", "dim_customer", "dim_product", "dim_date", "fact_sales")
 
@@ -34,16 +32,6 @@ class ReconciliationError(RuntimeError):
     """Raised when gold does not reconcile with silver."""
 
 
-def _concurrently(*steps: Callable[[], object]) -> list:
-    """Submit independent Spark jobs together (e.g. the writes of unrelated
-    tables), so small tables do not queue behind large ones."""
-    if len(steps) == 1:
-        return [steps[0]()]
-    with ThreadPoolExecutor(max_workers=len(steps)) as pool:
-        futures = [pool.submit(s) for s in steps]
-        return [f.result() for f in futures]
-
-
 @dataclass
 class Pipeline:
     """``mode="rebuild"`` recomputes silver and the SCD2 snapshot from all of
@@ -82,7 +70,7 @@ class Pipeline:
             self.lake.append(rows, self.lake.bronze_path(t), partition_by=[EXTRACT_DATE])
             return int(seen.get["rows"])
 
-        counts = dict(zip(TABLES, _concurrently(*[lambda t=t: one(t) for t in TABLES])))
+        counts = dict(zip(TABLES, concurrently(*[lambda t=t: one(t) for t in TABLES])))
         if self.mode == "incremental":
             self._advance_newest(extract_date, stamp)
         self.log.append(("ingest", extract_date, counts))
@@ -138,7 +126,7 @@ class Pipeline:
         bronze = {t: self.bronze(t) for t in TABLES}
         newest = {t: S.newest_rows(bronze[t], t) for t in TABLES}
         write = self._write_silver
-        _concurrently(lambda: write("customers", S.finish_customers(newest["customers"])),
+        concurrently(lambda: write("customers", S.finish_customers(newest["customers"])),
                       lambda: write("products", S.finish_products(newest["products"])))
         write("orders", S.finish_orders(newest["orders"], self.silver("customers")))
         write("order_items", S.finish_order_items(
@@ -177,7 +165,7 @@ class Pipeline:
         """SV1-SV5 of the months that the batches since the last build touch."""
         state, path = self.state, self.lake.silver_path
         marks, months = self._to_build("silver", path("orders"), path("order_items"))
-        _concurrently(lambda: self._write_silver("customers", S.finish_customers(state.newest("customers"))),
+        concurrently(lambda: self._write_silver("customers", S.finish_customers(state.newest("customers"))),
                       lambda: self._write_silver("products", S.finish_products(state.newest("products"))))
         self._replace_months(S.finish_orders(state.rows("orders", months), self.silver("customers"), (MONTH,)),
                              path("orders"), months)
@@ -255,9 +243,9 @@ class Pipeline:
                                          self.gold("dim_customer")))
             return []
 
-        marks, *_ = _concurrently(customer_chain,
-                                  lambda: w("dim_product", G.dim_product(stg["products"])),
-                                  lambda: w("dim_date", G.dim_date(stg["orders"])))
+        marks, *_ = concurrently(customer_chain,
+                                 lambda: w("dim_product", G.dim_product(stg["products"])),
+                                 lambda: w("dim_date", G.dim_date(stg["orders"])))
         report = C.model_test_report({t: self.gold(t) for t in GOLD_TABLES})
         failed = C.failed_rules(report)
         if failed:

@@ -21,12 +21,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..operators.dedup import latest_per_key
-from .lake import list_names
+from .lake import names_like
 
 PART = "_p"
 #: Parts of a table: how finely a merge picks what it writes.  Buckets of a part: how many tasks merge it.  Both
 #: should grow with the table, to some 100 MB a bucket; they belong to its layout.
-PARTS, BUCKETS = 8, 8
+PARTS, BUCKETS = 4, 4
 
 
 def beats(new: str, old: str, order: Sequence[str]) -> Column:
@@ -52,14 +52,14 @@ class BucketedState:
         self.name = "state_" + hashlib.md5(self.path.encode()).hexdigest()
 
     def exists(self) -> bool:
-        return any(n.startswith(f"{PART}=") for n in list_names(self.spark, self.path))
+        return bool(names_like(self.spark, self.path, f"{PART}=*"))
 
     def _declare(self) -> None:
         if not self.spark.catalog.tableExists(self.name):
             cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.schema.fields)
             self.spark.sql(f"CREATE TABLE {self.name} ({cols}, {PART} INT) USING parquet PARTITIONED BY ({PART}) "
                            f"CLUSTERED BY (`{self.key}`) SORTED BY (`{self.key}`) INTO {self.buckets} BUCKETS "
-                           f"LOCATION '{self.path}'")
+                           f"LOCATION '{self.path}' OPTIONS (partitionOverwriteMode 'dynamic')")
             if self.exists():
                 self.spark.sql(f"ALTER TABLE {self.name} RECOVER PARTITIONS")
 
@@ -98,12 +98,6 @@ class BucketedState:
         changed = {r[0] for r in merged.where("__changed").select(PART).distinct().collect()}
         if changed:
             rows = self.merged(batch, sorted(changed), loose).select(*self.schema.fieldNames(), PART)
-            mode = "spark.sql.sources.partitionOverwriteMode"
-            was = self.spark.conf.get(mode)
-            self.spark.conf.set(mode, "dynamic")
-            try:
-                rows.write.insertInto(self.name, overwrite=True)
-            finally:
-                self.spark.conf.set(mode, was)
+            rows.write.insertInto(self.name, overwrite=True)   # these parts only, by the table's options
             self.spark.catalog.refreshTable(self.name)
         return changed

@@ -87,7 +87,7 @@ class Lake:
         w.save(path)
 
     def overwrite(self, df: DataFrame, path: str, partition_by: list[str] | None = None,
-                  fmt: str | None = None) -> None:
+                  fmt: str | None = None, **options) -> None:
         """Replace a table; readers see the old one until the write has committed.
 
         Delta commits atomically itself.  Other formats get a folder for each
@@ -106,7 +106,7 @@ class Lake:
             stay = {_version_folder(v) for v in (*marked[-1:], number)}
             old = [n for n in list_names(spark, path) if n not in stay]
             delete(spark, new)
-        w = (by_partition(df, *partition_by) if partition_by else df).write.format(fmt).mode("overwrite")
+        w = (by_partition(df, *partition_by) if partition_by else df).write.format(fmt).mode("overwrite").options(**options)
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.save(new)
@@ -143,17 +143,11 @@ class Lake:
         however ``by`` is distributed, and the minima and maxima in their
         footers do not overlap: a predicate on ``by`` skips files and row groups."""
         ranged = df.repartitionByRange(F.col(by)).sortWithinPartitions(by)
-        spark = df.sparkSession
-        limit = spark.conf.get("spark.sql.files.maxRecordsPerFile")
-        spark.conf.set("spark.sql.files.maxRecordsPerFile", str(rows_per_file))
-        try:
-            self.overwrite(ranged, path, fmt="parquet")
-        finally:
-            spark.conf.set("spark.sql.files.maxRecordsPerFile", limit)
+        self.overwrite(ranged, path, fmt="parquet", maxRecordsPerFile=rows_per_file)
 
     def partitioned(self, spark: SparkSession, path: str, column: str) -> bool:
         """True when ``path`` holds a table laid out by ``column``."""
-        return any(n.startswith(f"{column}=") for n in list_names(spark, current_folder(spark, path)))
+        return bool(names_like(spark, current_folder(spark, path), f"{column}=*", first=True))
 
     # ---- metadata (S9-S11) -------------------------------------------------
     def exists(self, spark: SparkSession, path: str, fmt: str | None = None) -> bool:
@@ -214,8 +208,15 @@ def _fs(spark: SparkSession, path: str):
 
 def list_names(spark: SparkSession, path: str) -> list[str]:
     """Names right under a folder; none where there is no folder."""
+    return names_like(spark, path, "*")
+
+
+def names_like(spark: SparkSession, path: str, pattern: str, first: bool = False) -> list[str]:
+    """Names right under a folder that fit a glob pattern, or one of them."""
+    path_of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     fs, p = _fs(spark, path)
-    return sorted(st.getPath().getName() for st in fs.listStatus(p)) if fs.exists(p) else []
+    found = fs.globStatus(path_of(p, pattern)) or []
+    return sorted(st.getPath().getName() for st in (found[:1] if first and len(found) else found))
 
 
 def delete(spark: SparkSession, path: str) -> None:
@@ -237,8 +238,8 @@ def table_versions(spark: SparkSession, path: str) -> list[int]:
     """Numbers of a replaced table's committed versions, oldest first."""
     fs, p = _fs(spark, path)
     path_of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    return [int(n.removeprefix(_VERSION_FOLDER)) for n in list_names(spark, path)
-            if n.startswith(_VERSION_FOLDER) and fs.exists(path_of(path_of(p, n), "_SUCCESS"))]
+    return [int(n.removeprefix(_VERSION_FOLDER)) for n in names_like(spark, path, f"{_VERSION_FOLDER}*")
+            if fs.exists(path_of(path_of(p, n), "_SUCCESS"))]
 
 
 def current_folder(spark: SparkSession, path: str) -> str:
