@@ -12,7 +12,9 @@ from stratalake.operators.reconcile import METRICS
 from stratalake.operators.scd2 import scd2_chain, scd2_decisive, scd2_rebuild, scd2_splice, scd2_versions
 from stratalake.plans import silver as S
 from stratalake.plans.incremental import MONTH
+from stratalake.plans import stored
 from stratalake.plans.pipeline import GOLD_TABLES, Pipeline
+from stratalake.plans.queries import StoredChain
 from stratalake.sources import fixtures as fx
 from stratalake.sources.lake import Lake
 
@@ -108,30 +110,17 @@ def _files(lake, path):
 
 
 @pytest.fixture(scope="module")
-def rebuilt(spark, sf, tmp_path_factory):
-    lake = Lake(str(tmp_path_factory.mktemp("reb")))
-    fx.land_extracts(spark, sf, lake)
-    pipe = Pipeline(spark, lake)
-    pipe.run([(d, fx.ingested_at(b)) for b, d in fx.BATCHES])
-    return pipe
-
-
-@pytest.fixture(scope="module")
-def backfilled(spark, sf, tmp_path_factory):
+def backfilled(spark, sf):
     """Batches 1, 3 and 2, each built."""
-    lake = Lake(str(tmp_path_factory.mktemp("back")))
-    fx.land_extracts(spark, sf, lake)
-    pipe = Pipeline(spark, lake, mode="incremental")
-    for b in (1, 3, 2):
-        pipe.run_day(fx.extract_date(b), fx.ingested_at(b))
-    return pipe
+    return stored.backfilled(spark, sf)
 
 
-def test_late_batch_gives_all_layers_of_a_rebuild(backfilled, rebuilt):
+def test_late_batch_gives_all_layers_of_a_rebuild(spark, sf, backfilled):
+    rebuilt = StoredChain(spark, sf)
     for t in TABLES:
-        assert same(backfilled.silver(t), rebuilt.silver(t)), t
+        assert same(backfilled.silver(t), rebuilt.silver[t]), t
     for t in GOLD_TABLES:
-        assert same(backfilled.gold(t), rebuilt.gold(t)), t
+        assert same(backfilled.gold(t), rebuilt.gold[t]), t
 
 
 def test_accounts_equal_the_full_count(backfilled):
@@ -155,8 +144,8 @@ def test_ingest_sent_again_builds_nothing(spark, backfilled):
     backfilled._advance_newest(fx.extract_date(3), fx.ingested_at(3))
     assert backfilled.state.marked("silver") == ([], set())
     backfilled.refine()
-    backfilled.build_gold()
-    assert backfilled.log[-2] == ("refine", [])
+    backfilled._fact_months()
+    assert backfilled.log[-1] == ("refine", [])
     assert {p: _files(backfilled.lake, p) for p in before} == before
 
 
@@ -165,15 +154,23 @@ def _extract(spark, table, values):
     return spark.createDataFrame(values, RAW[table])
 
 
+def build(pipe, bronze=None):
+    """Silver, customer dimension and fact, without the gates."""
+    if bronze is not None:
+        pipe.state.advance({t: bronze(t) for t in TABLES})
+    pipe.refine()
+    pipe._write_dim_customer()
+    pipe.state.settle(pipe._fact_months())
+
+
 def test_small_batch_replaces_its_months_only(spark, sf, tmp_path):
     """A correction of one order and of one customer: other months keep their files, the result is a rebuild's."""
     lake = Lake(str(tmp_path))
     fx.land_extracts(spark, sf, lake)
-    inc = Pipeline(spark, lake, mode="incremental")
     for b in (1, 2, 3):
-        inc.ingest(fx.extract_date(b), fx.ingested_at(b))
-    inc.refine()
-    inc.build_gold()
+        Pipeline(spark, lake).ingest(fx.extract_date(b), fx.ingested_at(b))
+    inc = Pipeline(spark, lake, mode="incremental")
+    build(inc, inc.bronze)               # a lake without state starts from all of its bronze
     fact = lake.gold_path("fact_sales")
     line = inc.gold("fact_sales").orderBy("order_item_id").first()
     order = inc.silver("orders").where(F.col("order_id") == line["order_id"]).first()
@@ -187,8 +184,7 @@ def test_small_batch_replaces_its_months_only(spark, sf, tmp_path):
            "orders": _extract(spark, "orders", [(order["order_id"], order["customer_id"], "2003-02-03 00:00:00", "PAID")]),
            "order_items": _extract(spark, "order_items", [])}
     inc.ingest("1999-02-01", "1999-02-01 01:00:00", raw=raw)
-    inc.refine()
-    inc.build_gold()
+    build(inc)
     after = _files(lake, fact)
     touched = {f.split("/")[0].removeprefix(f"{MONTH}=") for f in set(before.items()) ^ set(after.items())
                for f in [f[0]]}
@@ -202,7 +198,7 @@ def test_small_batch_replaces_its_months_only(spark, sf, tmp_path):
     gold = build_gold(silver, reb.bronze("customers"))
     for t in TABLES:
         assert same(inc.silver(t), silver[t]), t
-    for t in ("dim_customer", "dim_date", "fact_sales"):
+    for t in ("dim_customer", "fact_sales"):
         assert same(inc.gold(t), gold[t]), t
     assert inc.reconcile(full=False).first() == inc.reconcile().first()
 
@@ -210,11 +206,14 @@ def test_small_batch_replaces_its_months_only(spark, sf, tmp_path):
 def test_lake_built_by_rebuild_goes_on_incrementally(spark, sf, tmp_path):
     lake = Lake(str(tmp_path))
     fx.land_extracts(spark, sf, lake)
-    Pipeline(spark, lake).run([(fx.extract_date(b), fx.ingested_at(b)) for b in (1, 2)])
+    first = Pipeline(spark, lake)
+    for b in (1, 2):
+        first.ingest(fx.extract_date(b), fx.ingested_at(b))
+    first.refine()
     inc = Pipeline(spark, lake, mode="incremental")
-    inc.run_day(fx.extract_date(3), fx.ingested_at(3))
-    reb = Pipeline(spark, lake)
-    silver = S.refine_all({t: reb.bronze(t) for t in TABLES})
+    inc.ingest(fx.extract_date(3), fx.ingested_at(3))
+    build(inc)
+    silver = StoredChain(spark, sf).silver
     for t in TABLES:
         assert same(inc.silver(t), silver[t]), t
     assert inc.reconcile(full=False).first()["ok"]
@@ -226,20 +225,19 @@ def test_new_customer_and_product_let_old_rows_in(spark, tmp_path):
     one = Decimal("1.00")
     lake = Lake(str(tmp_path))
     inc = Pipeline(spark, lake, mode="incremental")
-    inc.run_day("2024-01-01", "2024-01-01 01:00:00", raw={
+    inc.ingest("2024-01-01", "2024-01-01 01:00:00", raw={
         "customers": _extract(spark, "customers", [(1, "a", "smb", "x", "2023-01-01 00:00:00")]),
         "products": _extract(spark, "products", [(1, "p", "HW", one)]),
         "orders": _extract(spark, "orders", [(1, 1, "2023-05-01 00:00:00", "PAID"), (2, 2, "2023-06-01 00:00:00", "PAID")]),
         "order_items": _extract(spark, "order_items", [(1, 1, 1, 1, one), (2, 1, 2, 1, one), (3, 2, 1, 2, one),
                                                        (4, 9, 1, 1, one)])})
+    build(inc)
     assert rows(inc.gold("fact_sales"), "order_item_id") == [(1,)]
     inc.ingest("2024-01-02", "2024-01-02 01:00:00", raw={
         "customers": _extract(spark, "customers", [(2, "b", "ent", None, "2023-02-01 00:00:00")]),
         "products": _extract(spark, "products", [(2, "q", "SW", one)]),
         "orders": _extract(spark, "orders", [(9, 1, "2023-07-01 00:00:00", "NEW")]),
         "order_items": _extract(spark, "order_items", [])})
-    inc.refine()
-    inc._write_dim_customer()
-    inc._fact_months()
+    build(inc)
     assert rows(inc.gold("fact_sales"), "order_item_id") == [(1,), (2,), (3,), (4,)]
     assert rows(inc.gold("fact_sales").where("customer_sk IS NULL"), "order_item_id") == []

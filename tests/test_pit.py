@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+import pytest
+
 from stratalake.operators.joins import pit_join
 from stratalake.plans.queries import pit_events
 
