@@ -98,3 +98,25 @@ def test_partitions_left_empty_go(spark, scratch):
     assert sorted(tuple(r) for r in lake.read(spark, path).select("id", "p").collect()) == [(2, "b")]
     lake.overwrite_partitions(spark.createDataFrame([(9, "a")], "id long, p string"), path, "p", {"a"})
     assert sorted(tuple(r) for r in lake.read(spark, path).select("id", "p").collect()) == [(2, "b"), (9, "a")]
+
+
+def test_export_lies_in_ranges(spark, scratch):
+    """Files of an export do not overlap in the column they are ranged by, so a predicate skips most of them."""
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from stratalake.sources.lake import current_folder
+    lake = Lake(scratch)
+    days = spark.range(5000).select("id", F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") * 7919 % 400).cast("int"))
+                                    .alias("day"))
+    lake.export(days, lake.serving_path("t"), "day", rows_per_file=700)
+    bounds = []
+    for f in glob.glob(f"{current_folder(spark, lake.serving_path('t'))}/*.parquet"):
+        meta = pq.ParquetFile(f).metadata
+        assert meta.num_rows <= 700
+        stats = meta.row_group(0).column(1).statistics
+        bounds.append((stats.min, stats.max))
+    bounds.sort()
+    assert len(bounds) >= 8 and all(a[1] <= b[0] for a, b in zip(bounds, bounds[1:]))
+    assert lake.read(spark, lake.serving_path("t")).count() == 5000
