@@ -2,8 +2,8 @@
 
 Intermediate tables go to the folder the cluster names in
 ``spark.checkpoint.dir``, which driver and executors share, so a lost executor
-costs a re-read and no recomputation.  Only a session without that setting
-(tests) gets a folder of its own.
+costs a re-read and no recomputation.  Only a local-mode session without that
+setting (tests) gets a folder of its own; on a cluster its absence is an error.
 """
 
 from __future__ import annotations
@@ -11,8 +11,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -47,11 +49,13 @@ def prepare(spark: SparkSession) -> None:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder of the cluster, or one of our own where none is named."""
+    """The shared folder of the cluster, or one of our own in local mode where none is named."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
         named = spark.sparkContext.getCheckpointDir()
     if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("name a folder that driver and executors share in spark.checkpoint.dir")
         named = tempfile.mkdtemp(prefix="stratalake-llm-")
         spark.sparkContext.setCheckpointDir(named)
     return named
@@ -65,6 +69,41 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def quoted(name: str) -> str:
+    """A column's name as SQL text, whatever characters it holds."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def map_column(df: DataFrame, column: str, added: dict[str, str],
+               batches: Callable[[Iterator[pd.Series]], Iterator[pd.DataFrame]]) -> DataFrame:
+    """``df`` without ``column``, followed by the ``added`` columns (name: type) that ``batches`` makes of it.
+
+    ``batches`` turns each batch's values into a frame of the added columns, in
+    order.  The other columns pass through under numbers, so their names may
+    hold any character; those named like an added one are replaced.
+    """
+    names = [c for c in df.columns if c != column and c not in added]
+    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    inner = [f"c{i}" for i in range(len(names))]
+    new = [f"n{i}" for i in range(len(added))]
+    schema = ", ".join(f"{c} {t}" for c, t in zip(inner + new, [types[n] for n in names] + list(added.values())))
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[pd.DataFrame] = []
+
+        def values() -> Iterator[pd.Series]:
+            for pdf in frames:
+                held.append(pdf)
+                yield pdf["value"]
+
+        for got in batches(values()):
+            pdf = held.pop()
+            yield pd.concat([pdf.drop(columns="value"), got.set_axis(new, axis=1).set_index(pdf.index)], axis=1)
+
+    return (df.select(*[F.col(quoted(n)).alias(c) for n, c in zip(names, inner)], F.col(quoted(column)).alias("value"))
+            .mapInPandas(run, schema).toDF(*names, *added))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     """The named columns of one table of ``sf_dir``."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
