@@ -36,6 +36,23 @@ def missing_from(df: DataFrame, ref: DataFrame, key: str,
     return df.where(F.col(key).isNotNull()).join(r, key, "left_anti")
 
 
+def lookup_keys(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """Rows of a large table whose ``key`` is among far fewer ``keys`` (a stored table, such as a batch).
+
+    The keys' own range becomes a predicate of both sides: row groups of ``df``
+    outside it are not read, and Spark takes the keys for a selective side and
+    checks a Bloom filter of them in the scan of ``df``, before its shuffle,
+    where ``df`` is large and the keys are within the thresholds of
+    ``spark.sql.optimizer.runtime.bloomFilter``.  Null keys match nothing; no
+    keys give no rows."""
+    least, most = keys.agg(F.min(key), F.max(key)).first()
+    if least is None:
+        return df.where(F.lit(False))
+    kind = keys.schema[key].dataType
+    ranged = keys.select(key).where((F.col(key) >= F.lit(least).cast(kind)) & (F.col(key) <= F.lit(most).cast(kind)))
+    return df.join(ranged, key, "left_semi")
+
+
 def pit_join(facts: DataFrame, versions: DataFrame, key: str, ts: str,
              valid_from: str = "valid_from", valid_to: str = "valid_to",
              version_cols: Sequence[str] = (), version_key: str | None = None,

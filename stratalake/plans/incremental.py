@@ -34,6 +34,7 @@ from pyspark.sql import types as T
 from .. import TABLES
 from ..functions.expressions import exact_total
 from ..operators.dedup import _order
+from ..operators.joins import lookup_keys
 from ..sources.bucketed import BUCKETS, PARTS, BucketedState
 from ..sources.lake import (Lake, current_folder, current_version, delete, list_names, next_version, prune_versions, read_version,
                             write_version)
@@ -154,13 +155,13 @@ class IncrementalState:
         return self.spark.read.schema(df.schema).parquet(path)
 
     def _changed(self, table: str, top: DataFrame) -> DataFrame:
-        """The rows of ``top`` (one per key, with their month) that are the newest now, with the month they left.
+        """The rows of ``top`` (one per key, with their month, stored) that are the newest now, with the month they left.
 
         The key column alone finds the months that hold these keys; whole rows are read of those months only."""
         key, cols = KEYS[table], BRONZE[table].fieldNames()
         keys = top.select(key)
-        holding = months_in(self.rows(table).join(keys, key, "left_semi"), MONTH)
-        old = self.rows(table, holding).join(keys, key, "left_semi")
+        holding = months_in(lookup_keys(self.rows(table), keys, key), MONTH)
+        old = lookup_keys(self.rows(table, holding), keys, key)
         both = (old.select(*cols, MONTH).withColumn("__new", F.lit(0))
                 .unionByName(top.select(*cols, MONTH).withColumn("__new", F.lit(1))))
         by_key = Window.partitionBy(key)
@@ -175,7 +176,8 @@ class IncrementalState:
 
     def _changed_lines(self, top: DataFrame, orders: DataFrame) -> DataFrame:
         """Lines of the batch that are the newest now, and lines of orders that entered another month."""
-        placed = self.rows("orders").select("order_id", MONTH).join(orders.select("order_id"), "order_id", "left_anti")
+        placed = lookup_keys(self.rows("orders").select("order_id", MONTH), top, "order_id")
+        placed = placed.join(orders.select("order_id"), "order_id", "left_anti")
         placed = placed.unionByName(orders.select("order_id", MONTH))
         cols = BRONZE["order_items"].fieldNames()
         top = top.join(placed, "order_id", "left").select(
@@ -205,7 +207,7 @@ class IncrementalState:
     def _months_of_products(self, new: DataFrame) -> set[str]:
         if new.isEmpty():
             return set()
-        return months_in(self.rows("order_items").select("product_id", MONTH).join(new, "product_id", "left_semi"), MONTH)
+        return months_in(lookup_keys(self.rows("order_items").select("product_id", MONTH), new, "product_id"), MONTH)
 
     # ---- taking a batch ------------------------------------------------------------
     def _put(self, table: str, changed: DataFrame) -> None:
@@ -222,6 +224,9 @@ class IncrementalState:
     def advance(self, batch: dict[str, DataFrame]) -> None:
         """Take bronze rows of any stamps into the state; rows sent again change nothing."""
         top = {t: S.newest_rows(batch[t], t) for t in TABLES}
+        # written once: their keys are looked up in the state, before its shuffle (``lookup_keys``)
+        top |= dict(zip(("orders", "order_items"), concurrently(
+            *[lambda t=t: self._kept(top[t], f"newest_{t}") for t in ("orders", "order_items")])))
         chain = self.chain()
         chain = chain if chain is not None else self._empty(CHAIN)
 

@@ -21,6 +21,9 @@ REQUIRED_CONF = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     # counts and bounds from Parquet footers, where a table is read by the newer file source
     "spark.sql.parquet.aggregatePushdown": "true",
+    # a batch's keys, some millions, may filter the scan of a large table before its shuffle
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "64MB",
 }
 
 
