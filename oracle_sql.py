@@ -367,6 +367,14 @@ def _stored_inspect() -> str:
     return _with(" UNION ALL ".join(parts))
 
 
+def _batch_lines() -> str:
+    lines = _newest("bronze_order_items", "order_item_id", ["product_id", "quantity", "unit_price"])
+    return _with(f"""
+SELECT substr(o.order_ts, 1, 7) AS month, count(DISTINCT l.order_id) AS orders, count(*) AS lines
+FROM ({lines}) l JOIN bronze_orders o USING (order_id)
+WHERE o._extract_date = DATE '1997-01-01' GROUP BY 1""")
+
+
 def _metrics_sql(fact: str, items: str, dim: str, cust: str, label: str | None = None) -> str:
     lab = f"'{label}' AS variant, " if label else ""
     return f"""
@@ -560,6 +568,7 @@ def oracle_sql() -> dict[str, str]:
         "recon_swapped_amounts": _swapped_amounts(),
         "stored_bronze_counts": _lineage_counts(),
         "stored_inspect": _stored_inspect(),
+        "stored_batch_lines": _batch_lines(),
         "stored_revenue_sql": _revenue_by_status(),
         "backfill_dim_customer": sel("dim_customer"),
         "backfill_fact_sales": sel("fact_sales"),
