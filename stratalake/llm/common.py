@@ -74,6 +74,14 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one that no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def map_column(df: DataFrame, column: str, added: dict[str, str],
                batches: Callable[[Iterator[pd.Series]], Iterator[pd.DataFrame]]) -> DataFrame:
     """``df`` without ``column``, followed by the ``added`` columns (name: type) that ``batches`` makes of it.

@@ -10,15 +10,16 @@ texts of that language and length showed in calibration is rejected.
 
 The models are fitted on a bounded sample of labelled rows: at most
 ``SAMPLE_DOCS`` documents of each language, those of smallest hash, a quarter
-of them kept for calibration, and at most ``MAX_NGRAMS`` n-grams a language,
-the most frequent ones.  That bounds the broadcast model.  Every document is
-scored over its whole text.
+of them kept for calibration; rows of equal doc_id, lang and text count as one
+document.  All n-grams of the sample are counted, so the sample's texts bound
+the broadcast model.  Every document is scored over its whole text.
 
 Defined results: a null text or one without letters is ``und`` with score 0
 and rejected; equal cross-entropies go to the smaller language name; rows are
 scored one by one, so repeats agree; without labelled rows all are ``und``; a
 language without a calibration text rejects nothing;
-an empty table gives no rows; extra columns pass through ``classify``.
+an empty table gives no rows; extra columns of any name pass through
+``classify``, which replaces those named like its own.
 """
 
 from __future__ import annotations
@@ -34,11 +35,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import materialize, prepare
+from .common import map_column, materialize, prepare
 
 ORDER = 4
 SAMPLE_DOCS = 2000
-MAX_NGRAMS = 200_000
 #: Uniform floor: every code point may follow, known or not.
 CHARACTERS = 1 << 17
 #: A text is rejected above this quantile of the calibration texts of its language and length, times the margin: the
@@ -228,22 +228,24 @@ def count_ngrams(docs: DataFrame) -> DataFrame:
             .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
 
 
-def fit(docs: DataFrame, learn: Column, sample_docs: int = SAMPLE_DOCS, max_ngrams: int = MAX_NGRAMS) -> Model:
+def fit(docs: DataFrame, learn: Column, sample_docs: int = SAMPLE_DOCS) -> Model:
     """Fit on the rows of (doc_id, text, lang) where ``learn`` holds and lang is known."""
     prepare(docs.sparkSession)
     key = F.md5(F.concat(F.lit("langid|"), F.col("doc_id").cast("string")))
-    place = F.row_number().over(Window.partitionBy("lang").orderBy("__key", "doc_id"))
-    chosen = (docs.where(learn & F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
-              .select("doc_id", "lang").distinct().withColumn("__key", key).withColumn("__place", place)
-              .where(F.col("__place") <= sample_docs)
-              .select("doc_id", "lang", (F.col("__place") % 4 == 0).alias("calibrate")))
+    # equal rows share a place
+    place = F.dense_rank().over(Window.partitionBy("lang").orderBy("__key", "doc_id", "__text"))
+    labelled = (docs.where(learn & F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
+                .select("doc_id", "lang", F.coalesce("text", F.lit("")).alias("text"))
+                .withColumn("__text", F.xxhash64("text")))
+    chosen = (labelled.select("doc_id", "lang", "__text").distinct().withColumn("__key", key)
+              .withColumn("__place", place).where(F.col("__place") <= sample_docs)
+              .select("doc_id", "lang", "__text", (F.col("__place") % 4 == 0).alias("calibrate")))
     # written first: the planner then knows how few ids there are and need not shuffle all texts
     chosen = materialize(chosen, "langid-ids")
-    sample = materialize(docs.select("doc_id", "lang", "text").join(chosen, ["doc_id", "lang"]), "langid-sample")
-    best = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
+    same = ["doc_id", "lang", "__text"]
+    sample = materialize(labelled.join(chosen, same).dropDuplicates(same), "langid-sample")
     counts: dict[str, dict[str, int]] = defaultdict(dict)
-    for r in (count_ngrams(sample.where("not calibrate")).withColumn("__best", best)
-              .where(F.col("__best") <= max_ngrams).collect()):
+    for r in count_ngrams(sample.where("not calibrate")).collect():
         counts[r["lang"]][r["gram"]] = r["n"]
     model = build(counts)
     if model.languages:
@@ -259,20 +261,14 @@ def fit(docs: DataFrame, learn: Column, sample_docs: int = SAMPLE_DOCS, max_ngra
 def classify(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` without text, with lang_pred, score, bits, length_class and rejected."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    keep = [f for f in docs.schema.fields
-            if f.name not in ("text", "lang_pred", "score", "bits", "length_class", "rejected")]
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in keep]
-                       + ["lang_pred string, score double, bits double, length_class int, rejected boolean"])
+    added = {"lang_pred": "string", "score": "double", "bits": "double", "length_class": "int", "rejected": "boolean"}
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         m = shared.value
-        for pdf in batches:
-            rows = [m.classify(t) for t in pdf["text"]]
-            got = pd.DataFrame(rows, columns=["lang_pred", "score", "bits", "length_class", "rejected"],
-                               index=pdf.index)
-            yield pd.concat([pdf.drop(columns="text"), got], axis=1)
+        for texts in batches:
+            yield pd.DataFrame([m.classify(t) for t in texts], columns=list(added))
 
-    return docs.select(*[f.name for f in keep], "text").mapInPandas(run, schema)
+    return map_column(docs, "text", added, run)
 
 
 def keep_accepted(docs: DataFrame, model: Model) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import WORD, buckets_for, hash_bucket, materialize, prepare, running_total
+from .common import WORD, buckets_for, hash_bucket, materialize, prepare, quoted, running_total, unused
 
 WEIGHTS = (5, 2, 1)      # repeating, by the source's place in code point order
 SHARE = 1.5              # of all words
@@ -92,29 +92,30 @@ def take(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHA
     words first, in the order of their texts' hashes.
     """
     decided = mix(docs, weights, share, max_epochs, seed)
+    same, nth, piece = (unused(docs, c) for c in ("__same", "__nth", "__piece"))
+    words, taken = (unused(docs, c) for c in ("__size", "__taken"))
 
-    def same(size):
+    def alike(size):
         return F.concat_ws("\x1f", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")),
                            F.coalesce(F.concat(F.lit("="), "source"), F.lit("null")), size.cast("string"))
 
-    def nth(*order):
-        return F.row_number().over(Window.partitionBy("__same").orderBy(*order))
-
-    chosen = (decided.withColumn("__same", same(F.col("size")))
-              .withColumn("__nth", nth(F.desc("taken")))
-              .select("__same", "__nth", F.col("size").alias("__size"), F.col("taken").alias("__taken")))
-    rows = (docs.withColumn("__same", same(word_count(F.col("text"))))
-            .withColumn("__nth", nth(F.xxhash64("text"))))
-    rows = rows.join(chosen, ["__same", "__nth"]).where("__taken > 0")
-    whole = F.floor(F.col("__taken") / F.col("__size"))
-    rest = F.col("__taken") - whole * F.col("__size")
+    def place(*order):
+        return F.row_number().over(Window.partitionBy(same).orderBy(*order))
+
+    chosen = (decided.withColumn(same, alike(F.col("size"))).withColumn(nth, place(F.desc("taken")))
+              .select(same, nth, F.col("size").alias(words), F.col("taken").alias(taken)))
+    rows = (docs.withColumn(same, alike(word_count(F.col("text"))))
+            .withColumn(nth, place(F.xxhash64("text"))))
+    rows = rows.join(chosen, [same, nth]).where(F.col(taken) > 0)
+    whole = F.floor(F.col(taken) / F.col(words))
+    rest = F.col(taken) - whole * F.col(words)
     # one row per whole epoch (-1) and one for the part, if any
     pieces = F.filter(F.concat(F.array_repeat(F.lit(-1).cast("long"), whole.cast("int")),
                                F.array(rest.cast("long"))), lambda n: n != 0)
-    rows = rows.withColumn("__piece", F.explode(pieces))
+    rows = rows.withColumn(piece, F.explode(pieces))
     head = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0)),
-                                F.lit(1), F.col("__piece").cast("int")), "")
-    rows = rows.withColumn("text", F.when(F.col("__piece") < 0, F.col("text")).otherwise(head))
+                                F.lit(1), F.col(piece).cast("int")), "")
+    rows = rows.withColumn("text", F.when(F.col(piece) < 0, F.col("text")).otherwise(head))
     if "n_chars" in docs.columns:
         rows = rows.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
-    return rows.select(*docs.columns)
+    return rows.select(*[F.col(quoted(c)) for c in docs.columns])

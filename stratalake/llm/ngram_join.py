@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import WORD, materialize, prepare
+from .common import WORD, materialize, prepare, quoted, unused
 from .components import connected_components
 
 N = 5
@@ -273,8 +273,10 @@ def keep_one(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
     signed, classes, found = links(docs, threshold)
     named = _components(classes, found).groupBy("component").agg(F.min("first").alias("first")).select("first.key")
     alone = signed.where("class is null").select("key").distinct()
-    keys = materialize(named.unionByName(alone).withColumnRenamed("key", "__key"), "kept-keys")
-    kept = docs.withColumn("__key", row_key()).join(keys, "__key", "left_semi")
-    others = F.struct(*[c for c in docs.columns if c != "text"]).cast("string")  # copies may differ in other columns
-    first = F.row_number().over(Window.partitionBy("__key").orderBy(F.xxhash64(others)))
-    return kept.withColumn("__first", first).where("__first = 1").drop("__first", "__key")
+    own, place = unused(docs, "__key"), unused(docs, "__first")
+    keys = materialize(named.unionByName(alone).withColumnRenamed("key", own), "kept-keys")
+    kept = docs.withColumn(own, row_key()).join(keys, own, "left_semi")
+    # copies may differ in other columns
+    others = F.struct(*[F.col(quoted(c)).alias(f"c{i}") for i, c in enumerate(docs.columns) if c != "text"]).cast("string")
+    first = F.row_number().over(Window.partitionBy(own).orderBy(F.xxhash64(others)))
+    return kept.withColumn(place, first).where(F.col(place) == 1).select(*[F.col(quoted(c)) for c in docs.columns])

@@ -42,7 +42,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import WORD, materialize, prepare
+from .common import WORD, map_column, materialize, prepare
 
 LABELLED_ROWS = 20_000
 BASE_DOCS = 600            # ordinary documents that the shared part is trained on
@@ -137,15 +137,13 @@ def scorer(model: Model) -> Scorer:
 def distances(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` without text, with ``distance``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    keep = [f for f in docs.schema.fields if f.name not in ("text", "distance")]
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in keep] + ["distance double"])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         s = scorer(shared.value)
-        for pdf in batches:
-            yield pdf.drop(columns="text").assign(distance=[s.distance(t) for t in pdf["text"]])
+        for texts in batches:
+            yield pd.DataFrame({"distance": [s.distance(t) for t in texts]}, dtype="float64")
 
-    return docs.select(*[f.name for f in keep], "text").mapInPandas(run, schema)
+    return map_column(docs, "text", {"distance": "double"}, run)
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, learn: Column, rows: int = LABELLED_ROWS) -> DataFrame:
@@ -155,7 +153,10 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, learn: Column, rows: int
     order = F.md5(F.concat(F.lit("toxicity|"), F.col("doc_id").cast("string")))
     chosen = materialize(clean.where(learn).orderBy(order).limit(rows), "toxic-ids")
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return texts.join(chosen, "doc_id").dropDuplicates(["doc_id"])
+    # of an id's texts the one of smallest digest
+    first = F.min(F.struct(F.xxhash64("text"), F.col("text").alias("text"))).alias("__first")
+    return (texts.join(chosen, "doc_id").groupBy("doc_id", "toxic").agg(first)
+            .select("doc_id", F.col("__first.text").alias("text"), "toxic"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, rows: int = LABELLED_ROWS) -> Model:
@@ -232,4 +233,4 @@ def keep_ordinary(docs: DataFrame, model: Model) -> DataFrame:
         s = scorer(shared.value)
         return pd.Series([s.distance(t) for t in text], dtype="float64")
 
-    return docs.withColumn("__d", distance("text")).where(_score(F.col("__d"), model) < THRESHOLD_SCORE).drop("__d")
+    return docs.where(_score(distance("text"), model) < THRESHOLD_SCORE)
