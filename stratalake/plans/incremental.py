@@ -36,7 +36,7 @@ from ..functions.expressions import exact_total
 from ..operators.dedup import _order
 from ..operators.joins import lookup_keys
 from ..sources.bucketed import BUCKETS, PARTS, BucketedState
-from ..sources.lake import (Lake, current_folder, current_version, delete, list_names, next_version, prune_versions, read_version,
+from ..sources.lake import (CODEC, Lake, current_folder, current_version, delete, list_names, next_version, prune_versions, read_version,
                             write_version)
 from ..sources.schemas import BRONZE, EXTRACT_DATE, INGESTED_AT, KEYS, STAGED_TYPES
 from . import gold as G
@@ -151,7 +151,7 @@ class IncrementalState:
     def _kept(self, df: DataFrame, name: str) -> DataFrame:
         """Changes, written once: several steps read them."""
         path = self.lake.state_path(f"changes/{name}")
-        df.write.mode("overwrite").parquet(path)
+        df.write.mode("overwrite").option("compression", CODEC).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def _changed(self, table: str, top: DataFrame) -> DataFrame:
@@ -161,6 +161,8 @@ class IncrementalState:
         key, cols = KEYS[table], BRONZE[table].fieldNames()
         keys = top.select(key)
         holding = months_in(lookup_keys(self.rows(table), keys, key), MONTH)
+        if not holding:   # new keys only: nothing to compare
+            return top.select(*cols, MONTH, F.lit(None).cast("string").alias("old_month"))
         old = lookup_keys(self.rows(table, holding), keys, key)
         both = (old.select(*cols, MONTH).withColumn("__new", F.lit(0))
                 .unionByName(top.select(*cols, MONTH).withColumn("__new", F.lit(1))))
@@ -175,7 +177,7 @@ class IncrementalState:
         return self._changed("orders", top.withColumn(MONTH, month_of(F.try_to_timestamp("order_ts"))))
 
     def _changed_lines(self, top: DataFrame, orders: DataFrame) -> DataFrame:
-        """Lines of the batch that are the newest now, and lines of orders that entered another month."""
+        """Lines of the batch that are the newest now, and lines of orders that entered another month; stored."""
         placed = lookup_keys(self.rows("orders").select("order_id", MONTH), top, "order_id")
         placed = placed.join(orders.select("order_id"), "order_id", "left_anti")
         placed = placed.unionByName(orders.select("order_id", MONTH))
@@ -185,11 +187,15 @@ class IncrementalState:
         changed = self._kept(self._changed("order_items", top), "batch_lines")
         moves = orders.select("order_id", F.col(MONTH).alias("__to"),
                               F.coalesce("old_month", F.lit(NO_MONTH)).alias("__from")).where("__to != __from")
-        followers = (self.rows("order_items", months_in(moves, "__from")).join(moves, "order_id")
+        left = self.rows("order_items", months_in(moves, "__from"))
+        if left.isEmpty():   # no line lies in a month that an order left
+            return changed.select(*cols, MONTH, "old_month")
+        followers = (left.join(moves, "order_id")
                      .where(F.col(MONTH) == F.col("__from"))
                      .select(*cols, F.col("__to").alias(MONTH), F.col("__from").alias("old_month"))
                      .join(changed.select("order_item_id"), "order_item_id", "left_anti"))
-        return changed.select(*cols, MONTH, "old_month").unionByName(followers.select(*cols, MONTH, "old_month"))
+        return self._kept(changed.select(*cols, MONTH, "old_month").unionByName(
+            followers.select(*cols, MONTH, "old_month")), "order_items")
 
     def _months_of_customers(self, changes: DataFrame) -> set[str]:
         """Months in which customers have orders since their versions changed."""
@@ -242,7 +248,7 @@ class IncrementalState:
 
         def changed_rows() -> tuple[DataFrame, DataFrame, set[str]]:
             orders = self._kept(self._changed_orders(top["orders"]), "orders")
-            lines = self._kept(self._changed_lines(top["order_items"], orders), "order_items")
+            lines = self._changed_lines(top["order_items"], orders)
             return orders, lines, months_in(orders, MONTH, "old_month") | months_in(lines, MONTH, "old_month")
 
         (customers, since), let_in, (orders, lines, moved) = concurrently(customer_changes, new_products, changed_rows)
