@@ -8,12 +8,12 @@ order_items.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import TABLES
 from ..functions.expressions import fill_unknown, normalize_code
-from ..operators.dedup import latest_per_key
+from ..operators.dedup import _order, latest_per_key
 from ..operators.joins import keep_matching
 from ..sources.schemas import INGESTED_AT, KEYS, SILVER
 
@@ -45,6 +45,17 @@ def newest_rows(rows: DataFrame, table: str) -> DataFrame:
     return latest_per_key(rows, KEYS[table], ORDER[table])
 
 
+def newest_rows_where(rows: DataFrame, table: str, some: str) -> DataFrame:
+    """The newest row per key of all rows, marked ``all``, and of those where the flag ``some`` is set, marked
+    ``some``: two orders of one shuffle.  A row may be both."""
+    by_key = Window.partitionBy(KEYS[table])
+    order = [_order(c) for c in ORDER[table]]
+    # rows of the flag first, in their own order: the first is their newest, if there are any
+    return (rows.withColumn("__all", F.row_number().over(by_key.orderBy(*order)) == 1)
+            .withColumn("__some", (F.row_number().over(by_key.orderBy(F.col(some).desc(), *order)) == 1) & F.col(some))
+            .where(F.col("__all") | F.col("__some")).drop(some))
+
+
 def _silver_cols(df: DataFrame, table: str, keep: tuple[str, ...] = ()) -> DataFrame:
     return df.select(*SILVER[table].fieldNames(), *keep)
 

@@ -38,6 +38,8 @@ ZERO_QTY_MOD = 100                                     # part key % 100 == 0
 
 BATCH = "_batch"
 VARIANTS = ("clean", "early_new_orders")
+#: On rows of orders and lines of the other variant: whether the clean one has them too.
+IN_CLEAN = "_in_clean"
 
 
 def batch_numbers(upto: int | None = None) -> list[int]:
@@ -132,6 +134,12 @@ def _products(spark: SparkSession, sf_dir: str, batches: Sequence[int]) -> DataF
     )
 
 
+def _in_clean() -> Column:
+    """Whether the clean variant has an order: not where its customer is new and it came before the customer."""
+    first_new = F.lit(extract_date(2)).cast("timestamp_ntz")
+    return ~((F.col("o_custkey") % NEW_CUSTOMER_MOD == NEW_CUSTOMER_REM) & (F.col("o_orderdate") < first_new))
+
+
 def _orders_keyed(spark: SparkSession, sf_dir: str, batches: Sequence[int],
                   variant: str) -> DataFrame:
     o = read_source(spark, sf_dir, "orders",
@@ -140,15 +148,14 @@ def _orders_keyed(spark: SparkSession, sf_dir: str, batches: Sequence[int],
     if rng is not None:
         o = o.where(rng)
     if variant == "clean":
-        first_new = F.lit(extract_date(2)).cast("timestamp_ntz")
-        o = o.where(~((F.col("o_custkey") % NEW_CUSTOMER_MOD == NEW_CUSTOMER_REM)
-                      & (F.col("o_orderdate") < first_new)))
+        o = o.where(_in_clean())
     elif variant != "early_new_orders":
         raise ValueError(f"unknown fixture variant {variant!r}")
-    return o.withColumn(BATCH, _order_batch(F.col("o_orderdate")))
+    return o.withColumn(IN_CLEAN, F.coalesce(_in_clean(), F.lit(False))).withColumn(
+        BATCH, _order_batch(F.col("o_orderdate")))
 
 
-def _orders(spark, sf_dir, batches, variant) -> DataFrame:
+def _orders(spark, sf_dir, batches, variant, keep: Sequence[str] = ()) -> DataFrame:
     o = _orders_keyed(spark, sf_dir, batches, variant)
     k = F.col("o_orderkey")
     status = (F.when(k % 100 == NULL_STATUS_REM, F.lit(None).cast("string"))
@@ -162,12 +169,13 @@ def _orders(spark, sf_dir, batches, variant) -> DataFrame:
         F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("order_ts"),
         status.alias("status"),
         *_lineage(F.col(BATCH)),
+        *keep,
     )
 
 
-def _order_items(spark, sf_dir, batches, variant) -> DataFrame:
+def _order_items(spark, sf_dir, batches, variant, keep: Sequence[str] = ()) -> DataFrame:
     o = _orders_keyed(spark, sf_dir, batches, variant).select(
-        F.col("o_orderkey"), F.col(BATCH))
+        F.col("o_orderkey"), F.col(BATCH), *keep)
     li = read_source(spark, sf_dir, "lineitem",
                      ["l_orderkey", "l_partkey", "l_linenumber", "l_quantity",
                       "l_extendedprice"])
@@ -180,6 +188,7 @@ def _order_items(spark, sf_dir, batches, variant) -> DataFrame:
          .otherwise(F.col("l_quantity").cast("int").cast("bigint")).alias("quantity"),
         F.col("l_extendedprice").cast("decimal(12,2)").alias("unit_price"),
         *_lineage(F.col(BATCH)),
+        *keep,
     )
 
 
@@ -208,6 +217,13 @@ def bronze_history(spark: SparkSession, sf_dir: str, table: str,
     return _build(spark, sf_dir, table, batch_numbers(upto), variant)
 
 
+def bronze_of_both(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """Every extract of orders or lines of the variant with early orders, and which rows the clean one has
+    too (``IN_CLEAN``): both variants by one scan and join of the sources."""
+    fn = {"orders": _orders, "order_items": _order_items}[table]
+    return fn(spark, sf_dir, batch_numbers(), "early_new_orders", (IN_CLEAN,))
+
+
 def land_extracts(spark: SparkSession, sf_dir: str, lake, variant: str = "clean",
                   upto: int | None = None) -> None:
     """Land every day's extract of every table in the lake's landing zone.
@@ -217,13 +233,13 @@ def land_extracts(spark: SparkSession, sf_dir: str, lake, variant: str = "clean"
     tables are independent, so their writes run as concurrent jobs."""
     from concurrent.futures import ThreadPoolExecutor
 
-    from .lake import RAW_PARTITION
+    from .lake import CODEC, RAW_PARTITION
 
     def land(t: str) -> None:
         df = bronze_history(spark, sf_dir, t, upto, variant)
         out = df.select(*RAW[t].fieldNames(),
                         F.col(EXTRACT_DATE).cast("string").alias(RAW_PARTITION))
-        (out.write.mode("overwrite").partitionBy(RAW_PARTITION)
+        (out.write.mode("overwrite").option("compression", CODEC).partitionBy(RAW_PARTITION)
             .parquet(lake.raw_root(t)))
 
     with ThreadPoolExecutor(max_workers=len(RAW)) as pool:
