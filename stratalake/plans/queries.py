@@ -186,7 +186,7 @@ def stored_variants(spark: SparkSession, sf_dir: str) -> tuple[StoredChain, Earl
     lake = scratch_lake(spark)
     both = {}
     for t in ("orders", "order_items"):
-        rows = S.newest_rows_where(fx.bronze_of_both(spark, sf_dir, t), t, fx.IN_CLEAN).drop(EXTRACT_DATE, INGESTED_AT)
+        rows = S.newest_rows_where(fx.bronze_of_both(spark, sf_dir, t), t, fx.IN_CLEAN)
         lake.overwrite(rows, lake.state_path(f"newest_{t}"))
         both[t] = lake.read(spark, lake.state_path(f"newest_{t}"), rows.schema)
     clean = StoredChain(spark, sf_dir, newest={t: df.where("__some") for t, df in both.items()})

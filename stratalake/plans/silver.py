@@ -8,12 +8,12 @@ order_items.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import TABLES
 from ..functions.expressions import fill_unknown, normalize_code
-from ..operators.dedup import _order, latest_per_key
+from ..operators.dedup import latest_per_key
 from ..operators.joins import keep_matching
 from ..sources.schemas import INGESTED_AT, KEYS, SILVER
 
@@ -46,14 +46,22 @@ def newest_rows(rows: DataFrame, table: str) -> DataFrame:
 
 
 def newest_rows_where(rows: DataFrame, table: str, some: str) -> DataFrame:
-    """The newest row per key of all rows, marked ``all``, and of those where the flag ``some`` is set, marked
-    ``some``: two orders of one shuffle.  A row may be both."""
-    by_key = Window.partitionBy(KEYS[table])
-    order = [_order(c) for c in ORDER[table]]
-    # rows of the flag first, in their own order: the first is their newest, if there are any
-    return (rows.withColumn("__all", F.row_number().over(by_key.orderBy(*order)) == 1)
-            .withColumn("__some", (F.row_number().over(by_key.orderBy(F.col(some).desc(), *order)) == 1) & F.col(some))
-            .where(F.col("__all") | F.col("__some")).drop(some))
+    """The newest row per key of all rows, marked ``__all``, and of those where the flag ``some`` is set, marked
+    ``__some`` (one row may be both), without lineage, for orders and lines.
+
+    Two minima of one grouping, partly taken before its shuffle: a key sent many times ships a row per task."""
+    key, (stamp, *ties) = KEYS[table], ORDER[table]
+    if stamp != "-" + INGESTED_AT or any(c.startswith("-") for c in ties):
+        raise ValueError(f"{table} is not ordered by descending stamp, then ascending columns")
+    ties += [c for c in SILVER[table].fieldNames() if c not in (key, *ties)]
+    at = F.col(INGESTED_AT)
+    # compared field by field, nulls first: the order of ORDER[table]
+    row = F.struct(at.isNull().alias("__late"), (-F.unix_micros(at.cast("timestamp"))).alias("__at"), *ties)
+    both = rows.groupBy(key).agg(F.min(row).alias("a"), F.min(F.when(F.col(some), row)).alias("s"))
+    one = lambda r, all_, some_: F.struct(F.col(r).alias("r"), all_.alias("__all"), some_.alias("__some"))
+    same, yes, no = F.col("a").eqNullSafe(F.col("s")), F.lit(True), F.lit(False)
+    out = both.select(key, F.explode(F.array(one("a", yes, same), F.when(~same, one("s", no, yes)))).alias("o"))
+    return out.where("o.r IS NOT NULL").select(key, *[F.col(f"o.r.{c}").alias(c) for c in ties], "o.__all", "o.__some")
 
 
 def _silver_cols(df: DataFrame, table: str, keep: tuple[str, ...] = ()) -> DataFrame:

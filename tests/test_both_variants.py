@@ -22,7 +22,7 @@ def _odd_tables(spark, folder):
         spark.range(100, 105).select(F.col("id").alias("o_orderkey"), F.lit(49).cast("long").alias("o_custkey"),
                                      F.lit("F").alias("o_orderstatus"), day(F.lit(1)).alias("o_orderdate"))).coalesce(1).write.parquet(f"{folder}/orders.parquet")
     spark.range(150).select(
-        (F.col("id") % 25).alias("l_orderkey"), (F.col("id") % 9).alias("l_partkey"), (F.col("id") % 4).cast("int").alias("l_linenumber"),
+        F.when(F.col("id") < 140, F.col("id") % 25).otherwise(F.col("id") % 5 + 100).alias("l_orderkey"), (F.col("id") % 9).alias("l_partkey"), (F.col("id") % 4).cast("int").alias("l_linenumber"),
         (F.col("id") % 7).cast("double").alias("l_quantity"), (F.col("id") / 4).alias("l_extendedprice")).coalesce(1).write.parquet(
         f"{folder}/lineitem.parquet")
 
@@ -36,7 +36,14 @@ def test_newest_rows_of_both_variants_at_once(spark, scratch, table):
         want = S.newest_rows(fx.bronze_history(spark, scratch, table, None, variant), table).select(*cols)
         got = both.where(flag).select(*cols)
         assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect())), variant
-    assert both.where("__all AND NOT __some").count() > 0
+    assert both.where("__all AND NOT __some").count() > 0 and both.where("__all AND __some").count() > 0
+
+
+def test_hot_key_is_reduced_before_the_shuffle(spark, scratch):
+    _odd_tables(spark, scratch)
+    rows = fx.bronze_of_both(spark, scratch, "orders").withColumn("order_id", F.col("order_id") * 0)
+    plan = S.newest_rows_where(rows, "orders", fx.IN_CLEAN)._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Exchange hashpartitioning(order_id") < plan.index("partial_min")
 
 
 def test_breaks_build_lines_once_for_both_variants(spark, sf):
