@@ -20,6 +20,7 @@ from ..operators.windows import next_in_key
 from ..operators.reconcile import (CHECKS, METRICS, differing_rows, recon_checks, recon_metrics,
                                    validity_audit)
 from ..functions.expressions import line_amount
+from ..session import settings
 from ..sources import fixtures as fx
 from ..sources.lake import scratch_lake, table_history, table_version
 from ..sources.schemas import EXTRACT_DATE, GOLD, INGESTED_AT, SILVER
@@ -436,9 +437,11 @@ def recon_variants(spark, sf_dir) -> dict[str, DataFrame]:
 
 def recon_breaks(spark, sf_dir):
     """R6 under each injected fault: which checks break."""
+    with settings(spark, stored.BUILD_CONF):   # the layers are written here
+        variants = recon_variants(spark, sf_dir)
     return _union([recon_checks(m).select(F.lit(v).alias("variant"), *METRICS, *CHECKS,
                                           F.size("breaks").alias("n_breaks"), "ok")
-                   for v, m in recon_variants(spark, sf_dir).items()])
+                   for v, m in variants.items()])
 
 
 def recon_swapped_amounts(spark, sf_dir):

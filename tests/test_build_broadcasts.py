@@ -2,7 +2,7 @@
 
 import pytest
 
-from stratalake.plans import stored
+from stratalake.plans import queries, stored
 from stratalake.plans.pipeline import Pipeline
 from stratalake.session import settings
 from stratalake.sources import fixtures as fx
@@ -28,3 +28,11 @@ def test_stored_build_broadcasts_small_sides_only(spark, sf, monkeypatch):
     stored.backfilled(spark, sf)
     assert seen == [["512k", "512k"]] * 4
     assert [spark.conf.get(k, None) for k in THRESHOLDS] == before
+
+
+def test_layers_of_breaks_are_built_with_small_broadcasts(spark, sf, monkeypatch):
+    seen, build = [], queries.recon_variants
+    monkeypatch.setattr(queries, "recon_variants",
+                        lambda *a: seen.append([spark.conf.get(k) for k in THRESHOLDS]) or build(*a))
+    queries.recon_breaks(spark, sf)
+    assert seen == [["512k", "512k"]]
